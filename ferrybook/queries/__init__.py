@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("files", "rules", "history", "deadlines")
+AREAS = ("files", "rules", "history", "deadlines", "intake", "views", "export")
 
 QUERIES, ORACLES = {}, {}
 for _area in AREAS:

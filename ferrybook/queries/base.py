@@ -35,13 +35,16 @@ class Tables:
         return self.spark.sql(getattr(R, name)(self.dialect))
 
     def record(self) -> DataFrame:
-        """Lines parsed to columns, with the sent flag: every tenth record went out with its own job."""
-        sent = "case when line_number % 10 = 0 then job_key end as out_job_key"
-        return parse(self.relation("line"), R.RECORD).selectExpr("*", sent)
+        """Lines parsed to columns, with the columns a loaded record has beside its slices."""
+        return parse(self.relation("line"), R.RECORD).selectExpr("*", *LOADED)
 
 
-RECORD_SQL = f"""select job_key, line_number, {R.record_columns()},
-  case when line_number % 10 = 0 then job_key end as out_job_key
+# Every tenth record was sent before; a third of the jobs comes from the upstream partner.
+LOADED = (
+    "case when line_number % 10 = 0 then cast(floor(job_key / 2) as bigint) end as out_job_key",
+    "case when job_key % 3 = 0 then 'UPSTREAM' else 'SENDER1' end as sender",
+)
+RECORD_SQL = f"""select job_key, line_number, {R.record_columns()}, {", ".join(LOADED)}
 from line"""
 
 
