@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("files", "rules", "history", "deadlines", "intake", "views", "export")
+AREAS = ("files", "rules", "convert", "intake", "export", "history", "deadlines", "views", "streams")
 
 QUERIES, ORACLES = {}, {}
 for _area in AREAS:
