@@ -25,7 +25,7 @@ def minutes(n: Column | int) -> Column:
 def schedules_due(schedules: DataFrame, feeds: DataFrame, clients: DataFrame, as_of: datetime) -> DataFrame:
     """Active, idle schedules whose next poll has come, with feed and client where known."""
     due = schedules.where(F.col("is_active") & ~F.col("is_running") & (F.col("next_poll") <= at(as_of)))
-    return due.join(F.broadcast(feeds.select("feed_id", "client_id")), "feed_id", "left").join(
+    return due.join(feeds.select("feed_id", "client_id"), "feed_id", "left").join(
         clients, "client_id", "left"
     )
 
@@ -80,7 +80,7 @@ def successful(jobs: DataFrame) -> DataFrame:
 
 def outside_maintenance(schedules: DataFrame, maintenance: DataFrame, moment: Column) -> DataFrame:
     """Schedules whose feed has no maintenance window around the given moment."""
-    windows = F.broadcast(maintenance.select(F.col("feed_id").alias("m_feed"), "from_ts", "to_ts"))
+    windows = maintenance.select(F.col("feed_id").alias("m_feed"), "from_ts", "to_ts")
     return schedules.join(
         windows, (F.col("feed_id") == F.col("m_feed")) & moment.between(F.col("from_ts"), F.col("to_ts")), "left_anti"
     )
@@ -104,7 +104,7 @@ def undelivered(
     inbound = feeds.where((F.col("feed_type") == "INBOUND") & (F.col("client_id") != upstream)).select("feed_id")
     clean = (
         successful(jobs)
-        .join(F.broadcast(inbound), "feed_id", "left_semi")
+        .join(inbound, "feed_id", "left_semi")
         .join(top_errors.where(F.col("error_level") == 1).select("job_key"), "job_key", "left_anti")
         .select("job_key", "end_ts", F.lit(1).alias("any_feed"))
     )

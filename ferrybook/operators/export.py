@@ -27,9 +27,9 @@ def last_export(records: DataFrame, jobs: DataFrame, feed_id: int) -> DataFrame:
     )
 
 
-def precondition(jobs: DataFrame, last: DataFrame, wanted: Column) -> DataFrame:
-    """One row: files that came in since the last export; nothing is exported when there are none."""
-    return jobs.where(wanted & (F.col("job_key") > last.scalar())).agg(F.count(F.lit(1)).alias("files"))
+def precondition(wanted: DataFrame, last: DataFrame) -> DataFrame:
+    """One row: wanted files newer than the last export; nothing is exported when there are none."""
+    return wanted.where(F.col("job_key") > last.scalar()).agg(F.count(F.lit(1)).alias("files"))
 
 
 def open_requests(records: DataFrame) -> DataFrame:
@@ -64,7 +64,7 @@ def eligible_for_upstream(
 ) -> DataFrame:
     """Client records whose line has no level-1 top error. A level-2 line still ships."""
     inbound = feeds.where((F.col("feed_type") == "INBOUND") & (F.col("client_id") != upstream)).select("feed_id")
-    good = jobs.where(F.col("status") == "Success").join(F.broadcast(inbound), "feed_id", "left_semi")
+    good = jobs.where(F.col("status") == "Success").join(inbound, "feed_id", "left_semi")
     blocked = top_errors.where(F.col("error_level") == 1).select(*KEY)
     return (
         open_requests(records)

@@ -26,7 +26,7 @@ def held_files(jobs: DataFrame, feeds: DataFrame, exempt: Sequence[int] = ()) ->
     bars = (
         candidates.withColumn("place", F.row_number().over(by_start))
         .where(F.col("place") <= F.lit(most))
-        .join(F.broadcast(feeds.select("feed_id", "per_day")), "feed_id")
+        .join(feeds.select("feed_id", "per_day"), "feed_id")
         .where(F.col("place") == F.col("per_day"))
         .select("feed_id", "day", F.struct("start_ts", "job_key").alias("bar"))
     )
@@ -50,7 +50,7 @@ def duration_alerts(jobs: DataFrame, feeds: DataFrame) -> DataFrame:
     """Jobs that ran at least as long as their feed's limit in seconds."""
     seconds = F.timestamp_diff("SECOND", F.col("start_ts"), F.col("end_ts"))
     return (
-        jobs.join(F.broadcast(feeds.select("feed_id", "duration")), "feed_id")
+        jobs.join(feeds.select("feed_id", "duration"), "feed_id")
         .select("job_key", "feed_id", seconds.alias("seconds"), "duration")
         .where(F.col("seconds") >= F.col("duration"))
     )
@@ -129,4 +129,4 @@ def name_errors(names: DataFrame, pattern: str) -> DataFrame:
 
 def not_outbound(ids: DataFrame, feeds: DataFrame) -> DataFrame:
     """Requested feeds that are no outbound feeds."""
-    return ids.join(F.broadcast(feeds.where(F.col("feed_type") == "OUTBOUND").select("feed_id")), "feed_id", "left_anti")
+    return ids.join(feeds.where(F.col("feed_type") == "OUTBOUND").select("feed_id"), "feed_id", "left_anti")

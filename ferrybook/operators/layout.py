@@ -89,6 +89,9 @@ class Cutter:
     def block_columns(self) -> list[str]:
         return [f"substring(value, {s + 1}, {e - s}) as _b{i}" for i, (s, e) in enumerate(self.blocks)]
 
+    def block_columns_kept(self) -> list[str]:
+        return [f"_b{i}" for i in range(len(self.blocks))]
+
     def field(self, start: int, end: int) -> str:
         i = self.home[start, end]
         return f"substring(_b{i}, {start - self.blocks[i][0] + 1}, {end - start})"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ferrybook.functions import messages as M
 from ferrybook.functions.messages import message
 from ferrybook.operators.catalogue import RuledColumn
+from ferrybook.session import broadcast_if_small
 
 
 def rule_meta(spark: SparkSession, columns: Iterable[RuledColumn]) -> DataFrame:
@@ -81,7 +82,7 @@ def top_errors(outcomes: DataFrame, meta: DataFrame) -> DataFrame:
     """The failure of each line with the lowest level, then the lowest column, then the lowest rule."""
     return (
         outcomes.where(F.col("validation_result") == "N")
-        .join(F.broadcast(meta), "rule_id")
+        .join(broadcast_if_small(meta), "rule_id")
         .groupBy("job_key", "line_number")
         .agg(F.min(F.struct("error_level", "file_column_id", "rule_id", "error_code")).alias("top"))
         .select("job_key", "line_number", "top.error_level", "top.file_column_id", "top.rule_id", "top.error_code")

@@ -93,11 +93,24 @@ class _Compiler:
         self.line = Line(
             rules.layout, self.cutter, rules.as_of, {**rules.settings, "slot_qualifiers": rules.slots}
         )
+        slots = [rules.layout[name] for name in rules.slots]
+        columns = {(c.start, c.end): str(c.column_id) for c in rules.columns}
+        self.names = {**{(f.start, f.end): f"q{i}" for i, f in enumerate(slots)}, **columns}
+        self.slot_names = [self.names[f.start, f.end] for f in slots]
         self.flags: dict[str, str] = {}
         self.stops: list[str] = []
+        count = rules.role("slot_count")
+        if count is not None:
+            v = f"_v{count.column_id}"
+            self.count = f"case when {v} rlike '{K.DIGITS}' then int({v}) end"
+        elif rules.role("slot") is not None:
+            raise ValueError("slot columns need the slot count column")
+        if rules.role("category") is not None:
+            hit = " or ".join(f"_v{n} = '{CATEGORY_QUALIFIER}'" for n in self.slot_names)
+            self.flags["_category"] = hit
 
     def stop(self, name: str, condition: str) -> None:
-        self.flags[name] = condition
+        self.flags[name] = f"coalesce({condition}, false)"
         self.stops.append(name)
 
     def error(self, column: RuledColumn, rule) -> str:
@@ -119,8 +132,10 @@ class _Compiler:
         first = column.rules[0]
         errors = [self.error(column, r) for r in column.rules]
         failed = f"coalesce({', '.join(errors)}, '') <> ''"
-        self.flags["_count_wrong"] = f"not ({failed}) and coalesce(_count <> _run, true)"
-        self.stop("_count_stop", f"{failed} or coalesce(_count <> _run, true)")
+        run = leading_run([f"_s{name}" for name in self.slot_names])
+        self.stop("_count_failed", failed)
+        self.stop("_count_wrong", f"not ({failed}) and coalesce({self.count} <> {run}, true)")
+        self.flags["_count"] = self.count
         told = K.text(M.SLOT_COUNT, column, first, value=f"_v{column.column_id}")
         out = [(first.rule_id, None, f"case when _count_wrong then {told} else {errors[0]} end")]
         return out + [(r.rule_id, "not _count_wrong", e) for r, e in zip(column.rules[1:], errors[1:])]
@@ -131,9 +146,7 @@ class _Compiler:
         v = f"_v{column.column_id}"
         told = column.rules[min(1, len(column.rules) - 1)]
         errors = [self.error(column, r) for r in column.rules]
-        self.flags["_differs"] = (
-            f"coalesce({', '.join(errors)}, '') = '' and coalesce({v} <> first_value, false)"
-        )
+        self.flags["_differs"] = f"coalesce({', '.join(errors)}, '') = '' and coalesce({v} <> first_value, false)"
         text = K.text(M.FIRST_VALUE, column, told, value=v, first="first_value")
         return [
             (r.rule_id, None, f"case when _differs then {text} else {e} end")
@@ -194,34 +207,20 @@ def evaluate(lines: DataFrame, rules: RuleSet, keep: Iterable[str] = ("job_key",
     blocks = lines.selectExpr(
         *keep, *first, *cutter.block_columns(), f"value rlike '{PRINTABLE}' as _printable"
     )
-    slots = [rules.layout[name] for name in rules.slots]
-    columns = {(c.start, c.end): str(c.column_id) for c in rules.columns}
-    names = {**{(f.start, f.end): f"q{i}" for i, f in enumerate(slots)}, **columns}
-    base = blocks.selectExpr("*", *[f"{cutter.field(*span)} as _v{name}" for span, name in names.items()])
     # a line without control or non-ASCII characters needs no search for other white space
-    base = base.selectExpr(
-        "*",
+    work = blocks.selectExpr(
+        *keep,
+        *first,
+        *cutter.block_columns_kept(),
+        *[f"{cutter.field(*span)} as _v{name}" for span, name in compiler.names.items()],
         *[
-            f"case when _printable then trim(_v{name}) else trim(both {quote(WHITESPACE)} from _v{name}) end"
-            f" as _s{name}"
-            for name in names.values()
+            f"case when _printable then trim({cutter.field(*span)})"
+            f" else trim(both {quote(WHITESPACE)} from {cutter.field(*span)}) end as _s{name}"
+            for span, name in compiler.names.items()
         ],
     )
-    slot_names = [names[f.start, f.end] for f in slots]
-    helpers = []
-    count = rules.role("slot_count")
-    if count is not None:
-        v = f"_v{count.column_id}"
-        helpers.append(f"{leading_run([f'_s{n}' for n in slot_names])} as _run")
-        helpers.append(f"case when {v} rlike '{K.DIGITS}' then int({v}) end as _count")
-    elif rules.role("slot") is not None:
-        raise ValueError("slot columns need the slot count column")
-    if rules.role("category") is not None:
-        hit = " or ".join(f"_v{n} = '{CATEGORY_QUALIFIER}'" for n in slot_names)
-        helpers.append(f"{hit} as _category")
-    work = base.selectExpr("*", *helpers) if helpers else base
     if compiler.flags:
-        work = work.selectExpr("*", *[f"coalesce({sql}, false) as {name}" for name, sql in compiler.flags.items()])
+        work = work.selectExpr("*", *[f"{sql} as {name}" for name, sql in compiler.flags.items()])
     return (
         # The array is a projection of its own, so that it is compiled in small functions. The outer
         # form keeps Spark from copying the whole array into a "not empty" filter below the generator.

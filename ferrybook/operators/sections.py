@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrybook.functions.text import is_digits, slice_of
+from ferrybook.functions.text import is_digits, slice_of, strip
 from ferrybook.session import broadcast_if_small
 
 
@@ -32,7 +32,7 @@ def split_sections(lines: DataFrame, key: str = "job_key") -> DataFrame:
 
 def record_counts(lines: DataFrame, start: int, end: int, key: str = "job_key") -> DataFrame:
     """Record count of every file: from its lines, and from the count slice of its last line."""
-    text = slice_of(F.col("last_value"), start, end)
+    text = strip(slice_of(F.col("last_value"), start, end))
     return (
         lines.groupBy(key)
         .agg(F.count(F.lit(1)).alias("lines"), F.max_by("value", "line_number").alias("last_value"))

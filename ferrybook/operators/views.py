@@ -7,13 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ferrybook.session import broadcast_if_small
+
 
 def rule_report(outcomes: DataFrame, rules: DataFrame, columns: DataFrame, codes: DataFrame) -> DataFrame:
-    """Outcomes with column name, code, level and standard text; the three sides are a catalogue."""
+    """Outcomes with column name, code, level and standard text; the three sides are a catalogue,
+    joined one after the other so that the outcomes stay where they are."""
     return (
-        outcomes.join(F.broadcast(rules), "rule_id", "left")
-        .join(F.broadcast(columns), "file_column_id", "left")
-        .join(F.broadcast(codes), "error_code", "left")
+        outcomes.join(broadcast_if_small(rules), "rule_id", "left")
+        .join(broadcast_if_small(columns), "file_column_id", "left")
+        .join(broadcast_if_small(codes), "error_code", "left")
         .select(
             "job_key", "line_number", "column_name",
             F.when(F.col("validation_result") == "Y", "Passed").when(F.col("validation_result") == "N", "Failed")
@@ -36,7 +39,7 @@ def tagged(
     ]
     return (
         records.join(jobs.select("job_key", "feed_id", "file_name"), "job_key", "left")
-        .join(F.broadcast(feeds.select("feed_id", "client_id")), "feed_id", "left")
+        .join(feeds.select("feed_id", "client_id"), "feed_id", "left")
         .select(*keep, "feed_id", "file_name", "client_id", *tags, *wrapped)
     )
 

@@ -90,7 +90,7 @@ def batches(t: Tables):
 def parts(t: Tables):
     return (
         split_sections(t.relation("custom_file"), "file_id")
-        .join(F.broadcast(batches(t).limit(100_000)), "file_id")
+        .join(batches(t), "file_id")
         .withColumn("number", F.col("line_number") - 1)
     )
 

@@ -224,5 +224,5 @@ def next_schedule(t: Tables):
     ),
 )
 def expected_name(t: Tables):
-    jobs = t.relation("job").join(F.broadcast(t.relation("feed").select("feed_id", "name_pattern")), "feed_id")
+    jobs = t.relation("job").join(t.relation("feed").select("feed_id", "name_pattern"), "feed_id")
     return jobs.select("job_key", D.expected_name(F.col("name_pattern"), F.col("start_ts")).alias("expected"))

@@ -68,9 +68,9 @@ def export_setting_asof(t: Tables):
 )
 def export_precondition(t: Tables):
     jobs = t.relation("job")
-    upstream = [r[0] for r in t.relation("feed").where(f"client_id = {UPSTREAM} and feed_type = 'INBOUND'").select("feed_id").limit(1000).collect()]
-    wanted = F.col("feed_id").isin(upstream) & (F.col("file_status") == "Available")
-    return X.precondition(jobs, X.last_export(t.record(), jobs, OUT_FEED), wanted)
+    feeds = t.relation("feed").where(f"client_id = {UPSTREAM} and feed_type = 'INBOUND'").select("feed_id")
+    wanted = jobs.where(F.col("file_status") == "Available").join(feeds, "feed_id", "left_semi")
+    return X.precondition(wanted, X.last_export(t.record(), jobs, OUT_FEED))
 
 
 OPEN = "out_job_key is null and file_type = 'DQ' and rtrim(response) = ''"
@@ -228,7 +228,7 @@ HEADER_REST = "'T' || {day} || {clock} || rpad({sender}, 10, ' ') || rpad({recei
 )
 def export_header(t: Tables):
     """The header each job would have sent at its end."""
-    jobs = t.relation("job").join(F.broadcast(t.relation("feed").select("feed_id", "sender", "receiver")), "feed_id")
+    jobs = t.relation("job").join(t.relation("feed").select("feed_id", "sender", "receiver"), "feed_id")
     routing = routing_id(F.col("sender"), F.col("end_ts"))
     value = header_value(routing, F.col("end_ts"), F.col("sender"), F.col("receiver"), PARTIES, LENGTH)
     return jobs.select("job_key", routing.alias("routing_id"), value.alias("value"))
@@ -279,7 +279,6 @@ def export_empty_guard(t: Tables):
 HEADER = f"rpad('{ROUTING}', 40, ' ') || 'HD' || {HEADER_REST}".format(
     day="'19990615'", clock="'0105'", sender="'HUB'", receiver="'SENDER1'"
 )
-UP_BUSINESS = BUSINESS
 FILE = f"""select 1 as section, cast(null as varchar) as sort_key, cast(null as bigint) as job_key, cast(null as bigint) as line_number,
     {HEADER} || repeat(' ', {LENGTH - 85}) as value
   union all select 2, sort_key, job_key, line_number, value from ({details_sql(FOR_UPSTREAM)})

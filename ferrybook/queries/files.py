@@ -9,7 +9,7 @@ from ferrybook.fixtures import relations as R
 from ferrybook.operators import sections, structure
 from ferrybook.operators.catalogue import Rule, RuledColumn
 from ferrybook.operators.layout import encode, encode_record, parse
-from ferrybook.queries.base import SPEC, Tables, with_relations
+from ferrybook.queries.base import LOADED, SPEC, Tables, with_relations
 from ferrybook.session import new_folder
 from ferrybook.sources import sinks, text
 
@@ -158,9 +158,7 @@ def fixed_width_encode(t: Tables):
          (F.col("amount"), 12), (F.col("tag"), 4), (F.col("out_job_key"), 10)]
     )
     lines = t.relation("line")
-    parsed = parse(lines, R.RECORD, ("job_key", "line_number", "value")).selectExpr(
-        "*", "case when line_number % 10 = 0 then job_key end as out_job_key"
-    )
+    parsed = parse(lines, R.RECORD, ("job_key", "line_number", "value")).selectExpr("*", *LOADED)
     return parsed.select(
         "job_key", "line_number", outbound.alias("line"), (encode_record(R.RECORD) == F.col("value")).alias("round_trip")
     )

@@ -151,6 +151,6 @@ def name_checks(t: Tables):
     wrong = I.not_outbound(asked.select("feed_id").distinct(), t.relation("feed")).withColumn("wrong", F.lit(True))
     return (
         I.name_errors(asked, "FEED3_TST_HUB_YYMMDDHHMMSS")
-        .join(F.broadcast(wrong), "feed_id", "left")
+        .join(wrong, "feed_id", "left")
         .select("job_key", "file_name", "error", F.coalesce("wrong", F.lit(False)).alias("wrong_feed"))
     )

@@ -18,6 +18,8 @@ RUNTIME = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # longer generated methods are never compiled by the JVM; Spark then splits them instead
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # the wide projections of the rule engine go there directly
+    "spark.sql.codegen.maxFields": "60",
 }
 
 # Rows a side may have and still be broadcast. The relations handed to
