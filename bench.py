@@ -46,7 +46,7 @@ def main() -> None:
     jobs, history = stored(t.relation("job"), parts), stored(t.relation("history"), parts)
     feeds, crosswalk = t.relation("feed"), stored(t.relation("crosswalk"), parts)
     rules = R.rule_set()
-    outcomes = stored(E.failures(E.evaluate(E.with_first_value(lines, rules), rules)), parts)
+    outcomes = stored(E.evaluate(E.with_first_value(lines, rules), rules, failures_only=True), parts)
     meta = O.rule_meta(spark, R.ruled_columns())
 
     def records():
@@ -62,6 +62,7 @@ def main() -> None:
         "fixed_width_parse": lambda: parse(lines, R.RECORD),
         "fixed_width_encode": lambda: parse(lines, R.RECORD).select(encode_record(R.RECORD).alias("value")),
         "rule_results": lambda: E.evaluate(lines, rules),
+        "rule_failures": lambda: E.evaluate(lines, rules, failures_only=True),
         "rule_results_first_value": lambda: E.evaluate(E.with_first_value(lines, rules), rules),
         "structure_verdict": lambda: structure.verdict(files, SPEC),
         "dup_transmission": lambda: O.duplicate_ids(records(), "transmission_id", 61, "17:26", 103, 1),

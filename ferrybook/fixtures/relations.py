@@ -207,8 +207,8 @@ def schedule(d: Dialect) -> str:
 select cast(n_nationkey * 10 as int) as schedule_id, cast(n_nationkey % 6 + 1 as int) as feed_id,
   case n_nationkey % 4 when 0 then 'INBOUND->HUB' when 1 then 'HUB->OUTBOUND' when 2 then 'HUB->UPSTREAM'
     else 'FILE COUNT' end as processing_type,
-  {last} as last_poll, {last} + {d.minutes("1440")} as next_poll,
-  cast(60 * (n_nationkey % 12 + 1) as int) as grace_minutes,
+  {last} as last_poll, {last} + {d.minutes("43200")} as next_poll,
+  cast(1440 * (n_nationkey % 12 + 1) as int) as grace_minutes,
   n_nationkey % 5 <> 0 as is_active, n_nationkey % 7 = 0 as is_running,
   cast(n_nationkey % 3 + 1 as int) as files_per_day
 from {d.table("nation")}"""

@@ -8,10 +8,10 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrybook.session import measured
+from ferrybook.session import broadcast_if_small
 
-# Windows above this number are looked up by day instead of being broadcast.
-WINDOW_ROWS = 100_000
+# Days of windows that may be broadcast.
+WINDOW_ROWS = 200_000
 
 
 def at(moment: datetime) -> Column:
@@ -46,18 +46,16 @@ def in_windows(
 ) -> DataFrame:
     """Points joined to the windows of the same key they fall into, both ends included.
 
-    A checked small number of windows is broadcast and the points stay where they are. Beyond that,
-    every window is listed under the days it touches, so the join is by key and day.
+    Windows are listed under each day they touch, so the join is an equi join on key and day. A
+    checked small list is broadcast and the points stay where they are; beyond that both sides are
+    shuffled, and a hot day is split by the skew join.
     """
-    hit = F.col(moment).between(F.col(start), F.col(end))
-    windows, small = measured(windows, WINDOW_ROWS)
-    if small:
-        return points.join(F.broadcast(windows), list(keys)).where(hit)
     days = F.sequence(F.col(start).cast("date"), F.col(end).cast("date"))
+    listed = windows.where(F.col(start) <= F.col(end)).withColumn("_day", F.explode(days))
     return (
         points.withColumn("_day", F.col(moment).cast("date"))
-        .join(windows.where(F.col(start) <= F.col(end)).withColumn("_day", F.explode(days)), [*keys, "_day"])
-        .where(hit)
+        .join(broadcast_if_small(listed, WINDOW_ROWS), [*keys, "_day"])
+        .where(F.col(moment).between(F.col(start), F.col(end)))
         .drop("_day")
     )
 
@@ -106,16 +104,16 @@ def undelivered(
         successful(jobs)
         .join(inbound, "feed_id", "left_semi")
         .join(top_errors.where(F.col("error_level") == 1).select("job_key"), "job_key", "left_anti")
-        .select("job_key", "end_ts", F.lit(1).alias("any_feed"))
+        .select("job_key", "end_ts")
     )
     pending = (
         records.where(F.col("out_job_key").isNull() & (F.col("file_type") == "DQ"))
         .groupBy("job_key")
         .agg(F.count(F.lit(1)).alias("pending"))
     )
-    windows = with_windows(schedules).select("schedule_id", "window_start", "less_end", F.lit(1).alias("any_feed"))
+    windows = with_windows(schedules).select("schedule_id", "window_start", "less_end")
     found = (
-        in_windows(clean.join(pending, "job_key"), "end_ts", windows, "window_start", "less_end", ["any_feed"])
+        in_windows(clean.join(pending, "job_key"), "end_ts", windows, "window_start", "less_end", keys=[])
         .groupBy("schedule_id")
         .agg(F.sum("pending").alias("undelivered"))
     )

@@ -183,11 +183,17 @@ class _Compiler:
         return out
 
 
-def evaluate(lines: DataFrame, rules: RuleSet, keep: Iterable[str] = ("job_key", "line_number")) -> DataFrame:
+def evaluate(
+    lines: DataFrame,
+    rules: RuleSet,
+    keep: Iterable[str] = ("job_key", "line_number"),
+    failures_only: bool = False,
+) -> DataFrame:
     """One row per evaluated rule and line. No shuffle, no Python on the rows.
 
     Columns are taken in layout order; a failed slot count or a skip ends the line. Pass lines
     that carry ``first_value`` (see ``with_first_value``) to check values against the first line.
+    With ``failures_only``, passed rules are dropped before they become rows.
     """
     keep = list(keep)
     with_first = "first_value" in lines.columns
@@ -221,11 +227,14 @@ def evaluate(lines: DataFrame, rules: RuleSet, keep: Iterable[str] = ("job_key",
     )
     if compiler.flags:
         work = work.selectExpr("*", *[f"{sql} as {name}" for name, sql in compiler.flags.items()])
+    wanted = F.col("outcomes")
+    if failures_only:
+        wanted = F.filter(wanted, lambda o: o["error"].isNotNull())
     return (
         # The array is a projection of its own, so that it is compiled in small functions. The outer
         # form keeps Spark from copying the whole array into a "not empty" filter below the generator.
         work.selectExpr(*keep, f"array({', '.join(outcomes)}) as outcomes")
-        .select(*keep, F.inline_outer("outcomes"))
+        .select(*keep, F.inline_outer(wanted))
         .where(F.col("rule_id").isNotNull())
         .select(
             *keep,
@@ -234,7 +243,3 @@ def evaluate(lines: DataFrame, rules: RuleSet, keep: Iterable[str] = ("job_key",
             F.coalesce("error", F.lit(" ")).alias("error_message"),
         )
     )
-
-
-def failures(outcomes: DataFrame) -> DataFrame:
-    return outcomes.where(F.col("validation_result") == "N")

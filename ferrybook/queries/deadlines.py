@@ -10,7 +10,7 @@ from ferrybook.fixtures import relations as R
 from ferrybook.operators import deadlines as D
 from ferrybook.operators import outcomes as O
 from ferrybook.queries.base import RECORD_SQL, Tables, with_relations
-from ferrybook.queries.rules import FLAGS, TOP_SQL, engine_sql, full_outcomes
+from ferrybook.queries.rules import FLAGS, TOP_SQL, engine_sql, all_failures
 from ferrybook.sources.text import route_by_name
 
 QUERIES, ORACLES = {}, {}
@@ -27,8 +27,8 @@ def query(name: str, oracle: str | None = None):
 
 
 AS_OF = datetime(1996, 9, 1, 12, 0, 0)
-IN_MAINTENANCE = datetime(1996, 1, 30, 11, 0, 0)
-TODAY = datetime(1996, 1, 16, 9, 0, 0)
+IN_MAINTENANCE = datetime(1996, 2, 28, 11, 0, 0)
+TODAY = datetime(1996, 2, 5, 9, 0, 0)
 UPSTREAM = 2
 
 WINDOW_SQL = """next_poll - to_minutes(cast(grace_minutes as int)) as window_start, next_poll as window_end,
@@ -105,7 +105,7 @@ def with_top(relations: str, body: str) -> str:
 
 
 def undelivered(t: Tables, schedules):
-    top = O.top_errors(full_outcomes(t), O.rule_meta(t.spark, R.ruled_columns()))
+    top = O.top_errors(all_failures(t), O.rule_meta(t.spark, R.ruled_columns()))
     return D.undelivered(t.record(), t.relation("job"), t.relation("feed"), top, schedules, UPSTREAM)
 
 

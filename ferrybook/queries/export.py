@@ -11,7 +11,7 @@ from ferrybook.operators import export as X
 from ferrybook.operators import outcomes as O
 from ferrybook.plans.outbound import Export, Parties, header_value, routing_id
 from ferrybook.queries.base import RECORD_SQL, Tables, with_relations
-from ferrybook.queries.rules import FLAGS, TOP_SQL, engine_sql, full_outcomes
+from ferrybook.queries.rules import FLAGS, TOP_SQL, engine_sql, all_failures
 
 QUERIES, ORACLES = {}, {}
 
@@ -38,7 +38,7 @@ DEFAULTS = {**{c: "00" for c in R.QUALIFIERS}, **{c: "0000" for c in R.APPLIED}}
 
 
 def top_errors(t: Tables):
-    return O.top_errors(full_outcomes(t), O.rule_meta(t.spark, R.ruled_columns()))
+    return O.top_errors(all_failures(t), O.rule_meta(t.spark, R.ruled_columns()))
 
 
 def sender(t: Tables):

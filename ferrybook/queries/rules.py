@@ -244,6 +244,11 @@ def full_outcomes(t: Tables):
     return E.evaluate(E.with_first_value(t.relation("line"), rules), rules)
 
 
+def all_failures(t: Tables):
+    rules = R.rule_set()
+    return E.evaluate(E.with_first_value(t.relation("line"), rules), rules, failures_only=True)
+
+
 def stateless_outcomes(t: Tables):
     return E.evaluate(t.relation("line"), R.rule_set())
 
@@ -367,7 +372,7 @@ def rule_results(t: Tables):
 @query("rule_failures", with_engine(f"select {COLUMNS} from outcome where validation_result = 'N'"))
 def rule_failures(t: Tables):
     """Every failure row of the whole engine."""
-    return E.failures(full_outcomes(t))
+    return all_failures(t)
 
 
 # ---- catalogue and follow-ups --------------------------------------------------------------------
@@ -445,7 +450,7 @@ def dup_transmission(t: Tables):
     ),
 )
 def error_line_count(t: Tables):
-    return O.error_line_counts(full_outcomes(t), t.relation("job"))
+    return O.error_line_counts(all_failures(t), t.relation("job"))
 
 
 @query(
@@ -463,7 +468,7 @@ def error_line_count(t: Tables):
 )
 def threshold_alert(t: Tables):
     details = t.relation("line").groupBy("job_key").agg(F.count(F.lit(1)).alias("detail_lines"))
-    counts = O.error_line_counts(full_outcomes(t), t.relation("job"))
+    counts = O.error_line_counts(all_failures(t), t.relation("job"))
     return O.threshold_alerts(counts, details, t.relation("job"), t.relation("feed"))
 
 
@@ -478,4 +483,4 @@ TOP_SQL = f"""select job_key, line_number, error_level, file_column_id, rule_id,
 
 @query("top_error_per_line", with_engine(TOP_SQL))
 def top_error_per_line(t: Tables):
-    return O.top_errors(full_outcomes(t), O.rule_meta(t.spark, R.ruled_columns()))
+    return O.top_errors(all_failures(t), O.rule_meta(t.spark, R.ruled_columns()))

@@ -81,13 +81,10 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def measured(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """The settled side and whether it has at most ``rows`` rows; settling makes the check free."""
-    settled = settle(df)
-    return settled, settled.limit(rows + 1).count() <= rows
-
-
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when the side has at most ``rows`` rows, else leave it to a shuffle join."""
-    settled, small = measured(df, rows)
-    return F.broadcast(settled) if small else settled
+    """Hint a broadcast when the side has at most ``rows`` rows, else leave it to a shuffle join.
+
+    The side is settled first, so that the check costs no second computation.
+    """
+    settled = settle(df)
+    return F.broadcast(settled) if settled.limit(rows + 1).count() <= rows else settled
