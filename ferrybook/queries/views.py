@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ferrybook.fixtures import relations as R
 from ferrybook.operators import rules as E
