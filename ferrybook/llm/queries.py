@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ferrybook.llm import embeddings, token_files
 from ferrybook.llm.common import table
 from ferrybook.llm.near_dup import near_duplicates
+from ferrybook.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +48,23 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of ``documents`` by bottom-k sketches, links confirmed on full sets."""
     found = near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op10_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of all documents, written to token files and read back."""
+    target = new_folder(spark, "token-files")
+    token_files.write(table(spark, folder, "documents"), target, str(tokenizer_path()))
+    return token_files.read(spark, target, ids=False)
+
+
+@query()
+def op4_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all ``embeddings``, whatever their labels."""
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
