@@ -14,8 +14,8 @@ their union with a chance of 0.75 or more, so
 
 Equal sets are one class from the start. In every inverted list the members are linked with its
 smallest member: one candidate per member, never all pairs. Lists that are one component after
-verification are settled. The rest is compared in blocks of bounded size, across components
-only, and only pairs that pass the union-sketch estimate leave a task. Links are confirmed on the
+verification are settled. The members of the rest are compared in blocks of bounded size, across
+components only, and only pairs that pass the union-sketch estimate leave a task. Links are confirmed on the
 full sets.
 """
 
@@ -36,13 +36,10 @@ from ferrybook.llm.shingles import digest, shingle_sets
 K = 48
 PERCENT = 75
 BLOCK = 256
+SLOT_ROWS = 2048
 
 
-def least_shared(size: int) -> int:
-    """Retained values that a set of ``size`` shingles shares with any similar one."""
-    return max(1, min(size, K) // 3)
-
-
+# retained values that a set of n shingles shares with any similar one
 LEAST_SHARED = f"greatest(1, cast(floor(least(n, {K}) / 3) as int))"
 
 
@@ -114,42 +111,59 @@ def _inverted(classes: DataFrame) -> DataFrame:
     return prefix.select("node", "n", F.explode("held.value").alias("value"))
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar. docs: (node, text), equal sets may repeat."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = stored(docs.join(wanted, "node", "left_semi").distinct(), "texts")
+def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose full sets are similar."""
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
     both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
     return both.mapInArrow(_verified, "a long, b long").distinct()
 
 
-def _blocks(group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one block pair of one list, of different components, that pass the estimate."""
-    rows = group.sort_values("node")
-    one, two = rows[rows.own == rows.x], rows[rows.own == rows.y]
-    diagonal = rows.x.iloc[0] == rows.y.iloc[0]
+def _shared(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many retained values each of ``one`` shares with each of ``two``."""
+    _, at = np.unique(np.concatenate(one + two), return_inverse=True)
+    held = np.zeros((len(one) + len(two), at.max(initial=0) + 1), np.float32)
+    held[np.repeat(np.arange(len(held)), [len(s) for s in one + two]), at] = 1
+    return held[: len(one)] @ held[len(one) :].T
+
+
+def _blocks(rows: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of different components that pass the estimate, per leader and block pair of a slot."""
     found = []
-    held = [np.asarray(s) for s in two.sketch]
-    for node, root, n, sketch in zip(one.node, one.root, one.n, one.sketch):
-        mine = np.asarray(sketch)
-        for other, other_root, m, theirs in zip(two.node, two.root, two.n, held):
-            if root != other_root and (not diagonal or node < other) and _enough(mine, theirs, n, m):
-                found.append((node, other))
+    for (_, x, y), group in rows.groupby(["leader", "x", "y"], sort=False):
+        own, node, root, n = (group[c].to_numpy() for c in ("own", "node", "root", "n"))
+        sketch = list(group.sketch)
+        one, two = np.flatnonzero(own == x), np.flatnonzero(own == y)
+        if not len(one) or not len(two):
+            continue
+        size = np.minimum(n[one][:, None], n[two][None, :])
+        shared = _shared([sketch[i] for i in one], [sketch[i] for i in two])
+        near = (shared >= np.maximum(1, np.minimum(size, K) // 3)) & (root[one][:, None] != root[two][None, :])
+        near &= 100 * size >= PERCENT * np.maximum(n[one][:, None], n[two][None, :])
+        for i, j in zip(*np.nonzero(near)):
+            a, b = one[i], two[j]
+            if (x != y or node[a] < node[b]) and _enough(sketch[a], sketch[b], n[a], n[b]):
+                found.append((node[a], node[b]))
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def _rest(lists: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Candidates across the components of the lists that are not one component yet."""
+def _rest(lists: DataFrame, leaders: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Candidates across the components of the lists that are not one component yet.
+
+    Lists with the same smallest member are compared as one, so that a pair is not met once per
+    value that it shares.
+    """
     placed = lists.join(roots, "node", "left").select("value", "node", "n", F.coalesce("root", "node").alias("root"))
-    open_lists = placed.groupBy("value").agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members")
-    )
-    open_lists = open_lists.where("lo <> hi").select("value", F.ceil(F.col("members") / BLOCK).alias("blocks"))
-    rows = placed.join(open_lists, "value").withColumn("own", F.expr("pmod(xxhash64(node), blocks)"))
+    open_lists = placed.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    led = leaders.join(open_lists, "value", "left_semi").select("value", F.col("a").alias("leader"))
+    rows = stored(placed.join(led, "value").select("leader", "node", "root", "n").distinct(), "open")
+    sizes = rows.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    slots = rows.count() // SLOT_ROWS + 1
+    rows = rows.join(sizes, "leader").join(classes.select("node", "sketch"), "node")
+    rows = rows.withColumn("own", F.expr("pmod(xxhash64(node), blocks)"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
     rows = rows.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")})
-    rows = rows.join(classes.select("node", "sketch"), "node")
-    found = rows.select("value", "x", "y", "own", "node", "root", "n", "sketch").groupBy("value", "x", "y")
+    few = F.expr(f"if(blocks = 1, pmod(xxhash64(leader), {slots}), xxhash64(leader, x, y))").alias("slot")
+    found = rows.select(few, "leader", "x", "y", "own", "node", "root", "n", "sketch").groupBy("slot")
     return found.applyInPandas(_blocks, "a long, b long").distinct()
 
 
@@ -163,29 +177,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     table gives no rows; other columns of ``docs`` are not read.
     """
     base = stored(sketches(docs, doc_id, text), "sketches")
-    equal = base.where("n > 0").groupBy("digest").agg(F.min("node").alias("root"))
-    equal = stored(equal, "classes")
+    equal = stored(base.where("n > 0").groupBy("digest").agg(F.min("node").alias("root")), "classes")
     # every class is known by its smallest node; a node with several texts holds several classes
     held = base.join(equal.withColumnRenamed("root", "node"), ["digest", "node"], "left_semi")
-    classes = held.groupBy("digest", "node", "n").agg(F.first("sketch").alias("sketch")).drop("digest")
+    classes = stored(held.groupBy("digest", "node", "n").agg(F.first("sketch").alias("sketch")).drop("digest"), "sets")
     lists = stored(_inverted(classes), "lists")
-    sides = [_side(classes, x) for x in "ab"]
+    texts = stored(_texts(docs, doc_id, text, base).join(lists.select("node").distinct(), "node", "left_semi").distinct(), "texts")
     leaders = lists.groupBy("value").agg(F.min("node").alias("a"))
     stars = lists.join(leaders, "value").where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    wide = stars.join(sides[0], "a").join(sides[1], "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
-    pairs = stored(wide.mapInArrow(_passing, "a long, b long").distinct(), "pairs")
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    if docs.where(F.col(doc_id).isNull()).limit(1).count():
-        made = base.where("doc_id is null").select("digest", "node")
-        source = _with_stand_ins(source, made)
-    else:
-        source = source.select(F.col("doc_id").alias("node"), "text")
-    linked = stored(_confirmed(pairs, classes, source), "linked")
+    wide = stars.join(_side(classes, "a"), "a").join(_side(classes, "b"), "b")
+    pairs = wide.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_passing, "a long, b long").distinct()
+    linked = _confirmed(pairs, texts)
     same = base.join(equal, "digest").where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     first = components(linked.union(same))
-    more = stored(_rest(lists, classes, first), "more")
+    more = stored(_rest(lists, leaders, classes, first), "more")
     if more.limit(1).count():
-        found = _confirmed(more, classes, source)
+        found = _confirmed(more, texts)
         first = components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
     out = base.join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return out.select(
@@ -198,14 +205,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
-def _with_stand_ins(source: DataFrame, made: DataFrame) -> DataFrame:
-    """(node, text): rows without an id get the stand-in that their set's digest gave them."""
-    known = source.where("doc_id is not null").select(F.col("doc_id").alias("node"), "text")
-    rest = source.where("doc_id is null").mapInArrow(_digests, "digest binary, text string")
-    return known.union(rest.join(made.distinct(), "digest").select("node", "text"))
+def _texts(docs: DataFrame, doc_id: str, text: str, base: DataFrame) -> DataFrame:
+    """(node, text) of every row; rows without an id get the stand-in that their set's digest gave them."""
+    source = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).cast("string").alias("text"))
+    if not source.where("node is null").limit(1).count():
+        return source
+    made = base.where("doc_id is null").select("digest", F.col("node").alias("own")).distinct()
+    rest = source.where("node is null").select("text").mapInArrow(_digests, "digest binary, text string")
+    return source.where("node is not null").union(rest.join(made, "digest").select("own", "text"))
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in pieces(batches, 1):
-        made = [digest(s) if len(s) else None for s in shingle_sets(part.column(1))]
-        yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary()), part.column(1)], ["digest", "text"])
+    for part in pieces(batches, 0):
+        made = [digest(s) if len(s) else None for s in shingle_sets(part.column(0))]
+        yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary()), part.column(0)], ["digest", "text"])
