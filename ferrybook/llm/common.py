@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``limit`` bytes of one text column; a longer text stands alone."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
         start = taken = 0
         for row, size in enumerate(sizes):
             if taken and taken + size > limit:

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,7 +72,7 @@ def _codes(passes: int):
         drawn: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             nodes, raws = batch.column(0).to_numpy(), batch.column(1)
-            dims = pa.compute.binary_length(raws).to_numpy() // 8
+            dims = pc.binary_length(raws).to_numpy() // 8
             for dim in np.unique(dims):
                 mine = np.flatnonzero(dims == dim)
                 held = raws.take(pa.array(mine))

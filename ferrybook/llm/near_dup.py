@@ -168,7 +168,7 @@ def _rest(lists: DataFrame, leaders: DataFrame, classes: DataFrame, roots: DataF
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, node, root.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, node, root, digest of its set.
 
     ``component_id`` is the smallest doc_id reachable by links, ``kept`` whether it is the row's own.
     ``node`` and ``root`` are the same with stand-ins for null ids, whose rows are never ``kept`` but
@@ -202,9 +202,37 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.coalesce(F.col("doc_id") == F.col("root"), F.lit(False)).alias("kept"),
         "node",
         "root",
+        "digest",
     )
 
 
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of every group of near-duplicates, with all its columns: the one with the smallest id.
+
+    Of rows that repeat an id one stays. A row without id stays where no row of its group has one, and
+    of such a group's equal texts one; blank rows without id all stay.
+    """
+    found = stored(near_duplicates(docs, doc_id, text), "groups")
+    kept = found.where("kept").select(F.col("doc_id").alias(doc_id)).distinct()
+    out = docs.join(kept, doc_id, "left_semi").dropDuplicates([doc_id]).select(*docs.columns)
+    nameless = docs.where(F.col(doc_id).isNull())
+    if not nameless.limit(1).count():
+        return out
+    name = "digest"
+    while name in (c.lower() for c in docs.columns):
+        name += "_"
+    made = nameless.withColumn(name, F.arrow_udf(_digest_column, "binary")(F.col(text).cast("string")))
+    alone = found.where("doc_id is null and digest is not null and node = root").select(F.col("digest").alias(name)).distinct()
+    some = made.join(alone, name, "left_semi").dropDuplicates([name]).union(made.where(F.col(name).isNull()))
+    return out.union(some.select(*docs.columns))
+
+
+def _digest_column(texts: pa.Array) -> pa.Array:
+    parts = pieces([pa.RecordBatch.from_arrays([texts], ["text"])], 0)
+    made = [digest(s) if len(s) else None for part in parts for s in shingle_sets(part.column(0))]
+    return pa.array(made, pa.binary())
+
+
 def _texts(docs: DataFrame, doc_id: str, text: str, base: DataFrame) -> DataFrame:
     """(node, text) of every row; rows without an id get the stand-in that their set's digest gave them."""
     source = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).cast("string").alias("text"))

@@ -53,7 +53,7 @@ class Words:
         texts = texts.cast(pa.large_string()).fill_null("")
         offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-        self.data = _LOWER[data]
+        self.raw, self.data = data, _LOWER[data]
         self.offsets = offsets - offsets[0]
         inner = np.zeros(len(data) + 2, bool)
         inner[1:-1] = ~separators[self.data]
