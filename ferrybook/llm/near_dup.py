@@ -15,8 +15,8 @@ their union with a chance of 0.75 or more, so
 Equal sets are one class from the start. In every inverted list the members are linked with its
 smallest member: one candidate per member, never all pairs. Lists that are one component after
 verification are settled. The members of the rest are compared in blocks of bounded size, across
-components only, and only pairs that pass the union-sketch estimate leave a task. Links are confirmed on the
-full sets.
+components only: by sketches first, then by full sets, and no more links leave a block than join
+its components. All links are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from ferrybook.llm.shingles import digest, shingle_sets
 K = 48
 PERCENT = 75
 BLOCK = 256
-SLOT_ROWS = 2048
+SLOT_ROWS = 1024
 
 
 # retained values that a set of n shingles shares with any similar one
@@ -101,14 +101,14 @@ def _side(sketched: DataFrame, name: str) -> DataFrame:
 
 
 def _inverted(classes: DataFrame) -> DataFrame:
-    """(value, node, n): the lists that can hold a similar pair, without values of one document."""
+    """(node, value): the lists that can hold a similar pair, without values of one document."""
     rows = classes.select("node", "n", F.explode("sketch").alias("value"))
     sizes = rows.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     shared = rows.join(sizes, "value")
     # the rarest values first; those of a single document came before all of these
     kept = shared.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("members", "value"))).alias("held"))
     prefix = kept.selectExpr("node", "n", f"slice(held, 1, greatest(0, size(held) - {LEAST_SHARED} + 1)) as held")
-    return prefix.select("node", "n", F.explode("held.value").alias("value"))
+    return prefix.select("node", F.explode("held.value").alias("value"))
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -118,52 +118,98 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(_verified, "a long, b long").distinct()
 
 
-def _shared(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
-    """How many retained values each of ``one`` shares with each of ``two``."""
-    _, at = np.unique(np.concatenate(one + two), return_inverse=True)
-    held = np.zeros((len(one) + len(two), at.max(initial=0) + 1), np.float32)
-    held[np.repeat(np.arange(len(held)), [len(s) for s in one + two]), at] = 1
-    return held[: len(one)] @ held[len(one) :].T
+def _shared(one: list[np.ndarray], two: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """How many values each of ``one`` shares with each of ``two``; some thousand values at a time."""
+    values = np.concatenate(one + two)
+    owner = np.repeat(np.arange(len(one) + len(two)), [len(s) for s in one + two])
+    order = np.argsort(values, kind="stable")
+    _, at, times = np.unique(values[order], return_inverse=True, return_counts=True)
+    common = times > 1
+    column = (np.cumsum(common) - 1)[at]
+    kept = common[at]
+    owner, column = owner[order][kept], column[kept]
+    out = np.zeros((len(one), len(two)), np.float32)
+    for low in range(0, int(common.sum()), columns):
+        a, b = np.searchsorted(column, [low, low + columns])
+        held = np.zeros((len(one) + len(two), columns), np.float32)
+        held[owner[a:b], column[a:b] - low] = 1
+        out += held[: len(one)] @ held[len(one) :].T
+    return out
+
+
+def _forest(pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Pairs that join what earlier ones have not joined yet."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for a, b in pairs:
+        x, y = find(a), find(b)
+        if x != y:
+            root[y] = x
+            out.append((a, b))
+    return out
 
 
 def _blocks(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different components that pass the estimate, per leader and block pair of a slot."""
-    found = []
+    """Links across components, per leader and block pair of a slot: as many as join what is similar there."""
+    found: list[tuple[int, int]] = []
     for (_, x, y), group in rows.groupby(["leader", "x", "y"], sort=False):
-        own, node, root, n = (group[c].to_numpy() for c in ("own", "node", "root", "n"))
-        sketch = list(group.sketch)
+        own, node, root = (group[c].to_numpy() for c in ("own", "node", "root"))
+        sets = [np.frombuffer(v, np.uint64) for v in group["set"]]
         one, two = np.flatnonzero(own == x), np.flatnonzero(own == y)
         if not len(one) or not len(two):
             continue
-        size = np.minimum(n[one][:, None], n[two][None, :])
-        shared = _shared([sketch[i] for i in one], [sketch[i] for i in two])
-        near = (shared >= np.maximum(1, np.minimum(size, K) // 3)) & (root[one][:, None] != root[two][None, :])
-        near &= 100 * size >= PERCENT * np.maximum(n[one][:, None], n[two][None, :])
-        for i, j in zip(*np.nonzero(near)):
-            a, b = one[i], two[j]
-            if (x != y or node[a] < node[b]) and _enough(sketch[a], sketch[b], n[a], n[b]):
-                found.append((node[a], node[b]))
+        n = np.array([len(s) for s in sets])
+        less, more = np.minimum(n[one][:, None], n[two]), np.maximum(n[one][:, None], n[two])
+        met = _shared([sets[i][:K] for i in one], [sets[i][:K] for i in two])
+        near = (met >= np.maximum(1, np.minimum(less, K) // 3)) & (root[one][:, None] != root[two])
+        near &= 100 * less >= PERCENT * more
+        left, right = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+        if not len(left):
+            continue
+        both = _shared([sets[one[i]] for i in left], [sets[two[i]] for i in right])
+        total = n[one[left]][:, None] + n[two[right]] - both
+        linked = near[np.ix_(left, right)] & (100 * both >= PERCENT * total)
+        pairs = [(one[left[i]], two[right[j]]) for i, j in zip(*np.nonzero(linked))]
+        keep = set(_forest((root[i], root[j]) for i, j in pairs))
+        for i, j in pairs:
+            if (root[i], root[j]) in keep:
+                keep.discard((root[i], root[j]))
+                found.append((node[i], node[j]))
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def _rest(lists: DataFrame, leaders: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Candidates across the components of the lists that are not one component yet.
+def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in pieces(batches, 1):
+        sets = pa.array([s.tobytes() for s in shingle_sets(part.column(1))], pa.binary())
+        yield pa.RecordBatch.from_arrays([part.column(0), sets], ["node", "set"])
+
+
+def _rest(lists: DataFrame, leaders: DataFrame, texts: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links across the components of the lists that are not one component yet.
 
     Lists with the same smallest member are compared as one, so that a pair is not met once per
     value that it shares.
     """
-    placed = lists.join(roots, "node", "left").select("value", "node", "n", F.coalesce("root", "node").alias("root"))
+    placed = lists.join(roots, "node", "left").select("value", "node", F.coalesce("root", "node").alias("root"))
     open_lists = placed.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     led = leaders.join(open_lists, "value", "left_semi").select("value", F.col("a").alias("leader"))
-    rows = stored(placed.join(led, "value").select("leader", "node", "root", "n").distinct(), "open")
+    rows = stored(placed.join(led, "value").select("leader", "node", "root").distinct(), "open")
     sizes = rows.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     slots = rows.count() // SLOT_ROWS + 1
-    rows = rows.join(sizes, "leader").join(classes.select("node", "sketch"), "node")
+    sets = texts.join(rows.select("node").distinct(), "node", "left_semi").mapInArrow(_full_sets, "node long, set binary")
+    rows = rows.join(sizes, "leader").join(sets, "node")
     rows = rows.withColumn("own", F.expr("pmod(xxhash64(node), blocks)"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
     rows = rows.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")})
     few = F.expr(f"if(blocks = 1, pmod(xxhash64(leader), {slots}), xxhash64(leader, x, y))").alias("slot")
-    found = rows.select(few, "leader", "x", "y", "own", "node", "root", "n", "sketch").groupBy("slot")
+    found = rows.select(few, "leader", "x", "y", "own", "node", "root", "set").groupBy("slot")
     return found.applyInPandas(_blocks, "a long, b long").distinct()
 
 
@@ -190,10 +236,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     linked = _confirmed(pairs, texts)
     same = base.join(equal, "digest").where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     first = components(linked.union(same))
-    more = stored(_rest(lists, leaders, classes, first), "more")
+    more = stored(_rest(lists, leaders, texts, first), "more")
     if more.limit(1).count():
-        found = _confirmed(more, texts)
-        first = components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
+        first = components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     out = base.join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return out.select(
         "doc_id",
@@ -223,8 +268,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         name += "_"
     made = nameless.withColumn(name, F.arrow_udf(_digest_column, "binary")(F.col(text).cast("string")))
     alone = found.where("doc_id is null and digest is not null and node = root").select(F.col("digest").alias(name)).distinct()
-    some = made.join(alone, name, "left_semi").dropDuplicates([name]).union(made.where(F.col(name).isNull()))
-    return out.union(some.select(*docs.columns))
+    some = made.join(alone, name, "left_semi").dropDuplicates([name]).select(*docs.columns)
+    return out.union(some).union(made.where(F.col(name).isNull()).select(*docs.columns))
 
 
 def _digest_column(texts: pa.Array) -> pa.Array:
