@@ -45,7 +45,7 @@ def main() -> None:
     lines, files = stored(t.relation("line"), parts), stored(t.relation("file"), parts)
     jobs, history = stored(t.relation("job"), parts), stored(t.relation("history"), parts)
     feeds, crosswalk = t.relation("feed"), stored(t.relation("crosswalk"), parts)
-    rules = R.rule_set()
+    rules, wide = R.rule_set(), stored(t.relation("wide_line"), parts)
     outcomes = stored(E.evaluate(E.with_first_value(lines, rules), rules, failures_only=True), parts)
     meta = O.rule_meta(spark, R.ruled_columns())
 
@@ -53,7 +53,7 @@ def main() -> None:
         return parse(lines, R.RECORD).selectExpr("*", *LOADED)
 
     def export_file():
-        eligible = X.eligible_for_upstream(records(), jobs, feeds, O.top_errors(outcomes, meta), UPSTREAM)
+        eligible = X.eligible_for_upstream(records(), jobs, feeds, O.level_one(outcomes, meta), UPSTREAM)
         chosen = X.with_defaults(X.first_per_business_key(eligible, BUSINESS, ["service_date"]), DEFAULTS)
         return Export.of(chosen, PARTIES, MOMENT, LENGTH).file(fields(), create_empty=True)
 
@@ -62,14 +62,16 @@ def main() -> None:
         "fixed_width_parse": lambda: parse(lines, R.RECORD),
         "fixed_width_encode": lambda: parse(lines, R.RECORD).select(encode_record(R.RECORD).alias("value")),
         "rule_results": lambda: E.evaluate(lines, rules),
+        "rule_results_wide": lambda: E.evaluate(wide, R.wide_rule_set()),
         "rule_failures": lambda: E.evaluate(lines, rules, failures_only=True),
         "structure_verdict": lambda: structure.verdict(files, SPEC),
-        "dup_transmission": lambda: O.duplicate_ids(records(), "transmission_id", 61, "17:26", 103, 1),
+        "dup_transmission": lambda: O.duplicate_ids(records(), "transmission_id", 61, "17:26", 12, 1),
         "top_error_per_line": lambda: O.top_errors(outcomes, meta),
         "export_file": export_file,
         "amount_split": lambda: H.split_amounts(H.decoded(history)),
         "history_union": lambda: H.detail_lines(H.with_new_ids(H.decoded(history), crosswalk, keys, "term_date", "version")),
         "sla_inbound": lambda: D.sla_met(jobs, "start_ts", t.relation("schedule")),
+        "sla_inbound_book": lambda: D.sla_met(jobs, "start_ts", t.relation("schedule_book")),
         "threshold_alert": lambda: O.threshold_alerts(
             O.error_line_counts(outcomes, jobs), lines.groupBy("job_key").agg(F.count(F.lit(1)).alias("detail_lines")), jobs, feeds
         ),

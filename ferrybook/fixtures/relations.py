@@ -270,9 +270,10 @@ def big_rule(d: Dialect) -> str:
     return f"""
 select l_orderkey * 8 + l_linenumber as rule_id, l_partkey as file_column_id, l_linenumber as priority,
   case l_linenumber when 1 then 'REQUIRED' when 2 then 'EQUALTO' when 3 then 'RANGE' when 4 then 'EXTERNAL'
-    else 'NUMBER' end as validation_type,
+    when 6 then 'CUSTOM' else 'NUMBER' end as validation_type,
   case when l_linenumber = 2 then l_returnflag end as equal_to,
   case when l_linenumber = 3 then l_returnflag || ',' || l_linestatus end as list_of_values,
+  case when l_linenumber = 6 then 'date_window' end as formula,
   cast(l_suppkey % 100 as int) as error_code, cast(l_linenumber % 2 + 1 as int) as error_level,
   case when l_quantity < 45 then 'Y' else 'N' end as is_active
 from {d.table("lineitem")}"""
@@ -280,8 +281,20 @@ from {d.table("lineitem")}"""
 
 def big_error(d: Dialect) -> str:
     return f"""
-select cast(c_custkey as int) as error_code, 'Error of ' || c_name as error_message
-from {d.table("customer")} where c_custkey < 100"""
+select distinct cast(s_suppkey % 100 as int) as error_code, 'Error of kind ' || {d.s("s_suppkey % 100")} as error_message
+from {d.table("supplier")}"""
+
+
+def big_mapping(d: Dialect) -> str:
+    """Mapping rows of many feeds, one per part."""
+    return f"""
+select cast(p_partkey as int) as mapping_id, cast(p_size as int) as feed_id,
+  case p_partkey % 3 when 0 then 'Header' when 1 then 'Detail' else 'Footer' end as row_type,
+  case p_partkey % 4 when 0 then 'COPY_AS_IS' when 1 then 'REPLACE' when 2 then 'CUSTOM' else 'FILL_WITH_THIS_VALUE' end as kind,
+  cast(p_size + 1 as int) as width, case when p_partkey % 4 in (0, 2) then '1:' || {d.s("p_size")} end as source,
+  case when p_partkey % 4 in (1, 3) then p_brand end as value, case when p_partkey % 4 = 2 then 'id_limit' end as formula,
+  case when p_partkey % 4 = 2 then '[' || {d.s("p_size")} || ', "9"]' end as arguments
+from {d.table("part")}"""
 
 
 def custom_file(d: Dialect) -> str:
@@ -302,7 +315,8 @@ select cast(c_nationkey as int) as file_id, c_custkey + 2 as line_number,
   || case c_custkey % 4 when 0 then 'M' when 1 then 'F' else 'U' end
   || '1998' || {d.zero("c_custkey % 12 + 1", 2)} || {d.zero("c_custkey % 28 + 1", 2)}
   || case when c_acctbal < 0 then '-' else '+' end
-  || lpad({d.s(f"{cents} * (c_custkey % 30000)")}, 12, '0') || rpad(c_mktsegment, 10, ' ') as value
+  || case when c_custkey % 17 = 5 then 'no amount   ' else lpad({d.s(f"{cents} * (c_custkey % 30000)")}, 12, '0') end
+  || rpad(c_mktsegment, 10, ' ') as value
 from {d.table("customer")}
 union all
 select cast(n_nationkey as int) as file_id, cast({TRAILER_LINE} as bigint) as line_number,
@@ -323,51 +337,51 @@ def ruled_columns() -> list[RuledColumn]:
 
     out = [
         column(1, "Record Type", "record_type",
-               Rule(10, 1, "REQUIRED", error_code=101, error_level=1),
-               Rule(11, 2, "EQUALTO", "DT", error_code=102, error_level=1)),
-        column(2, "Transmission File Type", "file_type",
-               Rule(20, 1, "RANGE", values=("DQ", "DR"), error_code=103, error_level=1)),
-        column(3, "Transaction Response Status", "response",
-               Rule(30, 1, "CUSTOM", custom="response_presence", error_code=106, error_level=1),
-               Rule(31, 2, "CUSTOM", custom="response_by_file_type", error_code=154, error_level=1),
-               Rule(32, 3, "CUSTOM", custom="skip_answered", error_code=158, error_level=2)),
-        column(4, "Reject Code", "reject",
-               Rule(40, 1, "CUSTOM", custom="reject_code_by_response", error_code=157, error_level=1)),
-        column(5, "Date of Service", "service_date",
-               Rule(50, 1, "REQUIRED", error_code=125, error_level=1),
-               Rule(51, 2, "DATE", error_code=127, error_level=2),
-               Rule(52, 3, "CUSTOM", custom="date_window", error_code=126, error_level=2)),
+               Rule(10, 1, "REQUIRED", error_code=10, error_level=1),
+               Rule(11, 2, "EQUALTO", "DT", error_code=11, error_level=1)),
+        column(2, "Message Kind", "file_type",
+               Rule(20, 1, "RANGE", values=("DQ", "DR"), error_code=12, error_level=1)),
+        column(3, "Answer", "response",
+               Rule(30, 1, "CUSTOM", custom="response_presence", error_code=13, error_level=1),
+               Rule(31, 2, "CUSTOM", custom="response_by_file_type", error_code=24, error_level=1),
+               Rule(32, 3, "CUSTOM", custom="skip_answered", error_code=27, error_level=2)),
+        column(4, "Refusal", "reject",
+               Rule(40, 1, "CUSTOM", custom="reject_code_by_response", error_code=26, error_level=1)),
+        column(5, "Service Day", "service_date",
+               Rule(50, 1, "REQUIRED", error_code=18, error_level=1),
+               Rule(51, 2, "DATE", error_code=20, error_level=2),
+               Rule(52, 3, "CUSTOM", custom="date_window", error_code=19, error_level=2)),
         column(6, "Transmission ID", "transmission_id",
-               Rule(60, 1, "REQUIRED", error_code=152, error_level=1),
-               Rule(61, 2, "EXTERNAL", error_code=103, error_level=1)),
+               Rule(60, 1, "REQUIRED", error_code=23, error_level=1),
+               Rule(61, 2, "EXTERNAL", error_code=12, error_level=1)),
         column(7, "Quantity", "quantity",
-               Rule(70, 1, "NUMBER", error_code=108, error_level=2),
-               Rule(71, 2, "MUST_NOT_EQUAL_TO", "07", error_code=109, error_level=2),
-               Rule(72, 3, "ALL_ZEROS", error_code=110, error_level=2, active=False)),
-        column(8, "Amount", "amount", Rule(80, 1, "NUMBER", error_code=111, error_level=1)),
-        column(9, "Action Code", "action",
-               Rule(90, 1, "REQUIRED_AND_RANGE", values=("+", "-"), error_code=624, error_level=1)),
-        column(10, "Tag", "tag",
-               Rule(100, 1, "MUST_NOT_EQUAL_TO", "HIGH", error_code=170, error_level=2),
-               Rule(101, 2, "BLANK_OR_RANGE", values=("LOW", "HIGH"), error_code=171, error_level=2)),
-        column(11, "Transmission Time", "transmission_time", Rule(110, 1, "TIME", error_code=128, error_level=2)),
+               Rule(70, 1, "NUMBER", error_code=14, error_level=2),
+               Rule(71, 2, "MUST_NOT_EQUAL_TO", "07", error_code=15, error_level=2),
+               Rule(72, 3, "ALL_ZEROS", error_code=16, error_level=2, active=False)),
+        column(8, "Amount", "amount", Rule(80, 1, "NUMBER", error_code=17, error_level=1)),
+        column(9, "Sign", "action",
+               Rule(90, 1, "REQUIRED_AND_RANGE", values=("+", "-"), error_code=33, error_level=1)),
+        column(10, "Label", "tag",
+               Rule(100, 1, "MUST_NOT_EQUAL_TO", "HIGH", error_code=29, error_level=2),
+               Rule(101, 2, "BLANK_OR_RANGE", values=("LOW", "HIGH"), error_code=30, error_level=2)),
+        column(11, "Sending Time", "transmission_time", Rule(110, 1, "TIME", error_code=21, error_level=2)),
         column(12, "Submission Number", "submission",
-               Rule(120, 1, "REQUIRED", error_code=156, error_level=2),
-               Rule(121, 2, "NUMBER", error_code=159, error_level=2)),
+               Rule(120, 1, "REQUIRED", error_code=25, error_level=2),
+               Rule(121, 2, "NUMBER", error_code=28, error_level=2)),
         column(13, "Balance Count", "slot_count",
-               Rule(130, 1, "REQUIRED", error_code=635, error_level=2),
-               Rule(131, 2, "NUMBER", error_code=636, error_level=2)),
+               Rule(130, 1, "REQUIRED", error_code=34, error_level=2),
+               Rule(131, 2, "NUMBER", error_code=35, error_level=2)),
         column(14, "Specific Category Type", "category",
-               Rule(140, 1, "REQUIRED_AND_RANGE", values=("01", "02", "03"), error_code=640, error_level=2)),
+               Rule(140, 1, "REQUIRED_AND_RANGE", values=("01", "02", "03"), error_code=36, error_level=2)),
     ]
     for i in SLOTS:
         out += [
-            column(100 + 2 * i, f"Balance Qualifier {i:02d}", f"qualifier_{i}",
+            column(100 + 2 * i, f"Slot Kind {i:02d}", f"qualifier_{i}",
                    Rule(1000 + 10 * i, 1, "REQUIRED_AND_RANGE", values=("02", "04", "05", "06", "07", "08"),
-                        error_code=145, error_level=2), accumulator=True),
+                        error_code=22, error_level=2), accumulator=True),
             column(101 + 2 * i, f"Applied Amount {i:02d}", f"applied_{i}",
-                   Rule(1001 + 10 * i, 1, "REQUIRED", error_code=615, error_level=2),
-                   Rule(1002 + 10 * i, 2, "NUMBER", error_code=616, error_level=2), accumulator=True),
+                   Rule(1001 + 10 * i, 1, "REQUIRED", error_code=31, error_level=2),
+                   Rule(1002 + 10 * i, 2, "NUMBER", error_code=32, error_level=2), accumulator=True),
         ]
     return out
 
@@ -376,3 +390,50 @@ def rule_set() -> RuleSet:
     return RuleSet.of(
         RECORD, ruled_columns(), slots=QUALIFIERS, as_of=AS_OF, settings={"date_window_days": WINDOW_DAYS}
     )
+
+
+# A line as wide as partners send: the record, then twelve sections of twelve fields.
+SECTIONS, PER_SECTION, SECTION_WIDTH, WIDE_LENGTH = 12, 12, 130, 1700
+WIDE = Layout.of(
+    "wide",
+    *[(f.name, f.start, f.end) for f in RECORD.fields],
+    *[
+        (f"part_{s}_{k}", start, start + {2: 8, PER_SECTION - 1: 20}.get(k, 10))
+        for s in range(SECTIONS)
+        for k in range(PER_SECTION)
+        for start in [LINE_LENGTH + SECTION_WIDTH * s + 10 * k]
+    ],
+)
+
+
+def wide_line(d: Dialect) -> str:
+    """Lines of 1,700 characters: every section repeats a mix of the record's digits, dates and blanks."""
+    section = (
+        "rpad(substring(value, 17, 10), 10, ' ') || rpad(substring(value, 29, 10), 10, ' ') || substring(value, 9, 8) || '  '"
+        " || rpad(substring(value, 46, 8), 10, ' ') || rpad(substring(value, 60, 2), 10, ' ') || rpad(substring(value, 40, 6), 10, ' ')"
+        " || '0000000000' || rpad(substring(value, 3, 2), 10, ' ') || rpad(substring(value, 62, 6), 10, ' ') || repeat(' ', 10)"
+        " || rpad(substring(value, 54, 4), 10, ' ') || rpad(substring(value, 80, 20), 20, ' ')"
+    )
+    return f"select job_key, line_number, rpad(value || repeat({section}, {SECTIONS}), {WIDE_LENGTH}, ' ') as value from ({line(d)}) l"
+
+
+def wide_columns() -> list[RuledColumn]:
+    """A rule or two for every field of every section."""
+    kinds = [
+        [("REQUIRED", {})], [("NUMBER", {})], [("DATE", {}), ("REQUIRED", {})], [("NUMBER", {})],
+        [("BLANK_OR_RANGE", {"values": ("01", "07", "12")})], [("MUST_NOT_EQUAL_TO", {"equal_to": "HIGH"}), ("REQUIRED", {})],
+        [("ALL_ZEROS", {})], [("RANGE", {"values": ("DQ", "DR")}), ("REQUIRED", {})], [("REQUIRED", {})], [("BLANK", {})],
+        [("NUMBER", {}), ("REQUIRED", {})], [("REQUIRED", {})],
+    ]
+    out = []
+    for s in range(SECTIONS):
+        for k, rules in enumerate(kinds):
+            number = 100 * s + k
+            made = [Rule(5000 + 10 * number + i, i + 1, kind, error_code=40 + k, error_level=2, **kw) for i, (kind, kw) in enumerate(rules)]
+            f = WIDE[f"part_{s}_{k}"]
+            out.append(RuledColumn(1000 + number, f"Part {s} field {k}", f.start, f.end, False, tuple(made)))
+    return out
+
+
+def wide_rule_set() -> RuleSet:
+    return RuleSet.of(WIDE, wide_columns(), as_of=AS_OF)

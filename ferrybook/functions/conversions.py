@@ -55,7 +55,7 @@ def lookup(row: Row, pairs: dict[str, str], default: str) -> Column:
 @formula("cap_amount")
 def cap_amount(row: Row, limit: int, default: int, width: int) -> Column:
     """The amount, or the default above the limit, zero-filled on the left."""
-    amount = F.when(is_digits(strip(row.value)), strip(row.value).cast("decimal(38,0)"))
+    amount = F.when(is_digits(strip(row.value)), strip(row.value).try_cast("decimal(38,0)"))
     kept = F.when(amount > limit, F.lit(str(default))).otherwise(amount.cast("string"))
     return zero_left(kept, width)
 
@@ -106,5 +106,5 @@ def batch_number(row: Row, width: int) -> Column:
 
 @formula("count_minus")
 def count_minus(row: Row, less: int) -> Column:
-    number = F.when(is_digits(strip(row.value)), strip(row.value).cast("bigint"))
+    number = F.when(is_digits(strip(row.value)), strip(row.value).try_cast("bigint"))
     return (number - less).cast("string")

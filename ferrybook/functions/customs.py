@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from ferrybook.functions.kinds import DIGITS, parsed_day
+from ferrybook.functions.text import strip_sql
 from ferrybook.operators.layout import Cutter, Layout
 
 CUSTOM: dict[str, Callable[["Line", str], tuple[str, str | None]]] = {}
@@ -42,20 +43,20 @@ def custom(name: str):
 def response_by_file_type(line: Line, value: str):
     """A request carries no response, an answer carries A or R, other types always fail."""
     kind = line.field("file_type")
-    return f"case {kind} when 'DR' then {value} not in ('A', 'R') when 'DQ' then trim({value}) <> '' else true end", None
+    return f"case {kind} when 'DR' then {value} not in ('A', 'R') when 'DQ' then {strip_sql(value)} <> '' else true end", None
 
 
 @custom("response_presence")
 def response_presence(line: Line, value: str):
     """Blank for a request, filled for everything else."""
-    return f"({line.field('file_type')} = 'DQ') = (trim({value}) <> '')", None
+    return f"({line.field('file_type')} = 'DQ') = ({strip_sql(value)} <> '')", None
 
 
 @custom("reject_code_by_response")
 def reject_code_by_response(line: Line, value: str):
     """Filled exactly when an answer is a rejection."""
     rejected = f"{line.field('file_type')} = 'DR' and {line.field('response')} = 'R'"
-    return f"({rejected}) = (trim({value}) = '')", None
+    return f"({rejected}) = ({strip_sql(value)} = '')", None
 
 
 @custom("skip_answered")
@@ -75,5 +76,5 @@ def date_window(line: Line, value: str):
 @custom("filled_slot_count")
 def filled_slot_count(line: Line, value: str):
     """The count field equals the number of filled slot qualifiers."""
-    filled = " + ".join(f"int(trim({line.field(s)}) <> '')" for s in line.settings["slot_qualifiers"])
-    return f"case when {value} rlike '{DIGITS}' then {filled} <> int({value}) else true end", None
+    filled = " + ".join(f"int({strip_sql(line.field(s))} <> '')" for s in line.settings["slot_qualifiers"])
+    return f"case when {value} rlike '{DIGITS}' then coalesce({filled} <> try_cast({value} as int), true) else true end", None

@@ -29,32 +29,20 @@ def strip(value: Column) -> Column:
     return F.trim(value, F.lit(WHITESPACE))
 
 
-def is_blank(value: Column) -> Column:
-    return strip(value) == ""
+def strip_sql(value: str) -> str:
+    """The same for an SQL text."""
+    return f"trim(both '{WHITESPACE}' from {value})"
 
 
 def is_digits(value: Column) -> Column:
     return value.rlike(r"\A[0-9]+\z")
 
 
-def is_zeros(value: Column) -> Column:
-    return value.rlike(r"\A0+\z")
-
-
-def is_clock(value: Column) -> Column:
-    """HHMMSS and one or two digits of hundredths."""
-    return value.rlike(r"\A([01][0-9]|2[0-3])[0-5][0-9][0-5][0-9][0-9]{1,2}\z")
-
-
 def to_date(value: Column, fmt: str = "yyyyMMdd") -> Column:
     """Strict date; NULL when the text does not parse."""
     return F.try_to_timestamp(value, F.lit(fmt)).cast("date")
 
 
-def is_date(value: Column) -> Column:
-    return value.rlike(r"\A[0-9]{8}\z") & to_date(value).isNotNull()
-
-
 def pad_only(value: Column, width: int, fill: str = " ") -> Column:
     """Left-justify to ``width`` without cutting longer text."""
     return F.when(F.length(value) < width, F.rpad(value, width, fill)).otherwise(value)

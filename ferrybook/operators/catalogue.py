@@ -15,10 +15,6 @@ CATEGORY_NAME = "Specific Category Type"
 FIRST_VALUE_NAME = "Submission Number"
 AMOUNT_NAME = "Applied Amount"
 
-# Rows the driver accepts when a catalogue is compiled to expressions.
-COMPILE_ROWS = 20_000
-
-
 @dataclass(frozen=True)
 class Rule:
     rule_id: int
@@ -73,9 +69,19 @@ def evaluated(columns: Iterable[RuledColumn]) -> list[RuledColumn]:
 
 
 def catalogue_rows(
-    feeds: DataFrame, columns: DataFrame, rules: DataFrame, errors: DataFrame
+    feeds: DataFrame,
+    columns: DataFrame,
+    rules: DataFrame,
+    errors: DataFrame,
+    client_id: int | None = None,
+    feed_id: int | None = None,
 ) -> DataFrame:
-    """Active, internally checked rules with their column, feed and error text."""
+    """Active, internally checked rules with their column, feed and error text, of one client or feed
+    if given, in the order of evaluation."""
+    if client_id is not None:
+        feeds = feeds.where(F.col("client_id") == client_id)
+    if feed_id is not None:
+        feeds = feeds.where(F.col("feed_id") == feed_id)
     return (
         columns.join(
             rules.where((F.col("is_active") == "Y") & (F.col("validation_type") != "EXTERNAL")),
@@ -85,17 +91,18 @@ def catalogue_rows(
         .join(errors, "error_code")
         .select(
             "client_id", "feed_id", "file_column_id", "file_column_name", "column_position",
-            "rule_id", "validation_type", "priority", "equal_to", "list_of_values",
+            "rule_id", "validation_type", "priority", "equal_to", "list_of_values", "formula",
             "error_code", "error_message", "is_accumulator", "error_level",
         )
+        .orderBy("feed_id", "file_column_id", "priority", "rule_id")
     )
 
 
-def compile_rows(rows: DataFrame) -> list[RuledColumn]:
-    """Bring one feed's catalogue to the driver as rule objects; refuses unbounded input."""
-    ordered = rows.orderBy("file_column_id", "priority").limit(COMPILE_ROWS + 1).collect()
-    if len(ordered) > COMPILE_ROWS:
-        raise ValueError("catalogue of one feed is larger than the driver accepts")
+def compile_rows(rows: DataFrame, feed_id: int | None = None) -> list[RuledColumn]:
+    """One feed's catalogue as rule objects. What a person keeps for one feed is a matter of hundreds of rows."""
+    if feed_id is not None:
+        rows = rows.where(F.col("feed_id") == feed_id)
+    ordered = rows.orderBy("file_column_id", "priority", "rule_id").collect()
     out = []
     for _, group in groupby(ordered, key=lambda r: r["file_column_id"]):
         group = list(group)
@@ -105,7 +112,7 @@ def compile_rows(rows: DataFrame) -> list[RuledColumn]:
             Rule(
                 r["rule_id"], int(r["priority"]), r["validation_type"], r["equal_to"] or "",
                 tuple(r["list_of_values"].split(",")) if r["list_of_values"] else (),
-                r["custom"] if "custom" in r else "", r["error_code"], r["error_level"],
+                (r["formula"] or "") if r["validation_type"] == "CUSTOM" else "", r["error_code"], r["error_level"],
             )
             for r in group
         )

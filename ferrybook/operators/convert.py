@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -43,11 +44,12 @@ def raw_value(mapping: Mapping, row: Row) -> Column:
 
 
 def target_value(mapping: Mapping, row: Row) -> Column:
-    """Stripped, left-justified and filled to the width, never cut."""
+    """Stripped, left-justified and filled to the width, never cut. What can not be converted is blank;
+    see :func:`conversion_errors`."""
     fill = mapping.value if mapping.kind == "FILL_WITH_THIS_VALUE" else " "
     if mapping.kind == "FILL_WITH_THIS_VALUE":
         return F.repeat(F.lit(fill), mapping.width)
-    return pad_only(strip(raw_value(mapping, row)), mapping.width, fill)
+    return pad_only(F.coalesce(strip(raw_value(mapping, row)), F.lit("")), mapping.width, fill)
 
 
 def standard_value(mappings: Sequence[Mapping], row_type: str, row: Row) -> Column:
@@ -67,18 +69,50 @@ def standard_rows(rows: DataFrame, mappings: Sequence[Mapping], row_type: str, a
     return rows.select(*keep, standard_value(mappings, row_type, _row(as_of, header)).alias("value"))
 
 
+def conversion_errors(rows: DataFrame, mappings: Sequence[Mapping], row_type: str, as_of: datetime, keep: Sequence[str]) -> DataFrame:
+    """A row per field that can not be converted: the key columns and ``mapping_id``."""
+    header = F.col("header") if "header" in rows.columns else None
+    row = _row(as_of, header)
+    failed = [F.when(raw_value(m, row).isNull(), m.mapping_id) for m in mappings if m.row_type == row_type and m.kind == "CUSTOM"]
+    found = F.array_compact(F.array(*failed, F.lit(None).cast("int")))
+    return rows.select(*keep, F.explode(found).alias("mapping_id"))
+
+
+def mapping_rows(mappings: DataFrame, feed_id: int | None = None) -> DataFrame:
+    """The rows of a mapping table, of one feed if given, in the order they are applied."""
+    if feed_id is not None:
+        mappings = mappings.where(F.col("feed_id") == feed_id)
+    return mappings.select(
+        "feed_id", "mapping_id", "row_type", "kind", "width", "source", "value", "formula", "arguments"
+    ).orderBy("feed_id", "mapping_id")
+
+
+def compile_mappings(mappings: DataFrame, feed_id: int) -> list[Mapping]:
+    """One feed's mapping as objects. ``source`` is ``first:last``; ``arguments`` a JSON list."""
+
+    def fixed(x):
+        return tuple(fixed(y) for y in x) if isinstance(x, list) else x
+
+    out = []
+    for r in mapping_rows(mappings, feed_id).collect():  # what a person keeps for one feed
+        source = tuple(int(n) for n in r.source.split(":")) if r.source else None
+        arguments = fixed(json.loads(r.arguments)) if r.arguments else ()
+        out.append(Mapping(r.mapping_id, r.row_type, r.kind, r.width, source, r.value or "", r.formula or "", arguments))
+    return out
+
+
 def standard_files(lines: DataFrame, mappings: Sequence[Mapping], batches: DataFrame, as_of: datetime, key: str = "file_id") -> DataFrame:
     """Custom files converted whole: header, details with a running number, footer.
 
-    Only the one header row per file is joined to the other rows.
+    A file without a batch number is converted with a blank one. Only the one header row per file is joined to the other rows.
     """
-    parts = split_sections(lines, key).join(broadcast_if_small(batches), key)
+    parts = split_sections(lines, key).join(broadcast_if_small(batches), key, "left")
     numbered = parts.withColumn("number", F.when(F.col("section") == "header", 0).otherwise(F.col("line_number") - 1))
     headers = standard_rows(
         numbered.where(F.col("section") == "header"), mappings, "Header", as_of, [key, "section", "line_number"]
     )
     known = broadcast_if_small(headers.select(key, F.col("value").alias("header")))
-    others = numbered.where(F.col("section") != "header").join(known, key)
+    others = numbered.where(F.col("section") != "header").join(known, key, "left")
     converted = others.select(
         key, "section", "line_number",
         F.when(F.col("section") == "detail", standard_value(mappings, "Detail", _row(as_of, F.col("header"))))

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ferrybook.session import broadcast_if_small
 
-# Days of windows that may be broadcast.
-WINDOW_ROWS = 200_000
+# Kinds of schedules.
+INBOUND, OUTBOUND, UPSTREAM, FILE_COUNT = "INBOUND->HUB", "HUB->OUTBOUND", "HUB->UPSTREAM", "FILE COUNT"
 
 
 def at(moment: datetime) -> Column:
@@ -54,19 +54,37 @@ def in_windows(
     listed = windows.where(F.col(start) <= F.col(end)).withColumn("_day", F.explode(days))
     return (
         points.withColumn("_day", F.col(moment).cast("date"))
-        .join(broadcast_if_small(listed, WINDOW_ROWS), [*keys, "_day"])
+        .join(broadcast_if_small(listed), [*keys, "_day"])
         .where(F.col(moment).between(F.col(start), F.col(end)))
         .drop("_day")
     )
 
 
+def window_sums(
+    points: DataFrame, moment: str, n: str, windows: DataFrame, start: str, end: str, keys: Sequence[str] = ("feed_id",)
+) -> DataFrame:
+    """(schedule_id, n): the sum of ``n`` over the points in each window, without pairing points and windows.
+
+    Points are summed per key and moment, then per key and day. A day inside a window counts as one sum;
+    only on the first and last day of a window are the day's moments compared with it.
+    """
+    moments = points.groupBy(*keys, moment).agg(F.sum(n).alias("n")).withColumn("_day", F.col(moment).cast("date"))
+    days = moments.groupBy(*keys, "_day").agg(F.sum("n").alias("n"))
+    first, last = F.col(start).cast("date"), F.col(end).cast("date")
+    open_windows = windows.where(F.col(start) <= F.col(end)).select("schedule_id", *keys, start, end)
+    inner = open_windows.where(F.date_add(first, 1) <= F.date_add(last, -1)).withColumn(
+        "_day", F.explode(F.sequence(F.date_add(first, 1), F.date_add(last, -1)))
+    )
+    edges = open_windows.withColumn("_day", F.explode(F.array_distinct(F.array(first, last))))
+    whole = days.join(broadcast_if_small(inner.select("schedule_id", *keys, "_day")), [*keys, "_day"]).select("schedule_id", "n")
+    part = moments.join(broadcast_if_small(edges), [*keys, "_day"]).where(F.col(moment).between(F.col(start), F.col(end)))
+    return whole.unionByName(part.select("schedule_id", "n")).groupBy("schedule_id").agg(F.sum("n").alias("n"))
+
+
 def window_counts(points: DataFrame, moment: str, windows: DataFrame, start: str, end: str) -> DataFrame:
     """Number of points per schedule window, 0 where nothing arrived."""
-    found = (
-        in_windows(points.select("feed_id", moment), moment, windows.select("schedule_id", "feed_id", start, end), start, end)
-        .groupBy("schedule_id")
-        .agg(F.count(F.lit(1)).alias("files"))
-    )
+    ones = points.select("feed_id", moment, F.lit(1).cast("bigint").alias("n"))
+    found = window_sums(ones, moment, "n", windows, start, end).withColumnRenamed("n", "files")
     return windows.join(found, "schedule_id", "left").withColumn(
         "files", F.coalesce("files", F.lit(0).cast("bigint"))
     )
@@ -93,17 +111,17 @@ def sla_met(jobs: DataFrame, moment: str, schedules: DataFrame) -> DataFrame:
 
 
 def undelivered(
-    records: DataFrame, jobs: DataFrame, feeds: DataFrame, top_errors: DataFrame, schedules: DataFrame, upstream: int
+    records: DataFrame, jobs: DataFrame, feeds: DataFrame, blocked: DataFrame, schedules: DataFrame, upstream: int
 ) -> DataFrame:
     """Requests not yet sent, of client jobs ended in the window and free of any level-1 line.
 
-    Job level on purpose: one bad line keeps the whole job out of this count.
+    ``blocked`` are the level-1 failures. Job level on purpose: one bad line keeps the whole job out.
     """
     inbound = feeds.where((F.col("feed_type") == "INBOUND") & (F.col("client_id") != upstream)).select("feed_id")
     clean = (
         successful(jobs)
         .join(inbound, "feed_id", "left_semi")
-        .join(top_errors.where(F.col("error_level") == 1).select("job_key"), "job_key", "left_anti")
+        .join(blocked.select("job_key"), "job_key", "left_anti")
         .select("job_key", "end_ts")
     )
     pending = (
@@ -112,11 +130,9 @@ def undelivered(
         .agg(F.count(F.lit(1)).alias("pending"))
     )
     windows = with_windows(schedules).select("schedule_id", "window_start", "less_end")
-    found = (
-        in_windows(clean.join(pending, "job_key"), "end_ts", windows, "window_start", "less_end", keys=[])
-        .groupBy("schedule_id")
-        .agg(F.sum("pending").alias("undelivered"))
-    )
+    ended = clean.join(pending, "job_key")
+    found = window_sums(ended, "end_ts", "pending", windows, "window_start", "less_end", keys=[])
+    found = found.withColumnRenamed("n", "undelivered")
     return (
         schedules.join(found, "schedule_id", "left")
         .select("schedule_id", "feed_id", F.coalesce("undelivered", F.lit(0).cast("bigint")).alias("undelivered"))
@@ -139,11 +155,12 @@ def file_counts(jobs: DataFrame, schedules: DataFrame) -> DataFrame:
 
 
 def late_receipts(jobs: DataFrame, schedules: DataFrame, today: datetime) -> DataFrame:
-    """Successful jobs that ended between the last poll and the start of the next window.
+    """Successful jobs that ended between the last poll and the start of the next window of an inbound schedule.
 
-    Feeds with several schedules only count those that poll today.
+    Feeds with several inbound schedules only count those that poll today.
     """
     day = F.lit(today.date())
+    schedules = schedules.where(F.col("processing_type") == INBOUND)
     per_feed = schedules.groupBy("feed_id").agg(F.count(F.lit(1)).alias("schedules"))
     usable = (
         schedules.join(per_feed, "feed_id")
@@ -173,6 +190,39 @@ def stuck_files(landed: DataFrame, jobs: DataFrame) -> DataFrame:
     return landed.join(done, "file_name", "left_anti")
 
 
+def alerts(
+    schedules: DataFrame, quiet: DataFrame, jobs: DataFrame, stuck: DataFrame, pending: DataFrame, today: datetime
+) -> DataFrame:
+    """Every schedule checked by its kind: alert_type, schedule_id, feed_id, n.
+
+    ``quiet`` are the schedules outside maintenance, ``pending`` their rows of :func:`undelivered`,
+    ``stuck`` the rows of :func:`stuck_files`. A missed inbound schedule whose feed has landed files is
+    reported as stuck, with their number, and not as missing. Late receipts are counted per schedule of
+    all ``schedules``: a receipt is late whatever maintenance is on now.
+    """
+
+    def of(kind: str) -> DataFrame:
+        return quiet.where(F.col("processing_type") == kind)
+
+    def alert(name: Column | str, found: DataFrame, n: Column | str) -> DataFrame:
+        name = F.lit(name) if isinstance(name, str) else name
+        n = F.col(n) if isinstance(n, str) else n
+        return found.select(name.alias("alert_type"), "schedule_id", "feed_id", n.alias("n"))
+
+    landed = stuck.groupBy("feed_id").agg(F.count(F.lit(1)).alias("landed"))
+    missed = sla_met(jobs, "start_ts", of(INBOUND)).where(~F.col("met")).join(landed, "feed_id", "left")
+    kind = F.when(F.col("landed").isNull(), "inbound missing").otherwise("stuck file")
+    late = late_receipts(jobs, schedules, today).groupBy("schedule_id", "feed_id").agg(F.count(F.lit(1)).alias("late"))
+    unsent = pending.where(F.col("undelivered") > 0).join(of(UPSTREAM).select("schedule_id"), "schedule_id", "left_semi")
+    return (
+        alert(kind, missed, F.coalesce("landed", "files"))
+        .unionByName(alert("outbound missing", sla_met(jobs, "end_ts", of(OUTBOUND)).where(~F.col("met")), "files"))
+        .unionByName(alert("undelivered", unsent, "undelivered"))
+        .unionByName(alert("file count", file_counts(jobs, of(FILE_COUNT)).where(F.col("result") == "alert"), "files"))
+        .unionByName(alert("late receipt", late, "late"))
+    )
+
+
 def next_schedule(schedules: DataFrame) -> DataFrame:
     """Per feed and type the schedule with the earliest next poll."""
     return (

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ferrybook.functions.text import default_if_blank, is_digits
 
 KEY = ("job_key", "line_number")
+LEDGER = "job_key bigint, line_number bigint, out_job_key bigint"
 
 
 def settings_at(settings: DataFrame, day: date) -> DataFrame:
@@ -60,16 +61,15 @@ def eligible_for_client(
 
 
 def eligible_for_upstream(
-    records: DataFrame, jobs: DataFrame, feeds: DataFrame, top_errors: DataFrame, upstream: int
+    records: DataFrame, jobs: DataFrame, feeds: DataFrame, blocked: DataFrame, upstream: int
 ) -> DataFrame:
-    """Client records whose line has no level-1 top error. A level-2 line still ships."""
+    """Client records whose line is not ``blocked`` by a level-1 failure. A level-2 line still ships."""
     inbound = feeds.where((F.col("feed_type") == "INBOUND") & (F.col("client_id") != upstream)).select("feed_id")
     good = jobs.where(F.col("status") == "Success").join(inbound, "feed_id", "left_semi")
-    blocked = top_errors.where(F.col("error_level") == 1).select(*KEY)
     return (
         open_requests(records)
         .join(good.select("job_key"), "job_key", "left_semi")
-        .join(blocked, list(KEY), "left_anti")
+        .join(blocked.select(*KEY), list(KEY), "left_anti")
     )
 
 
@@ -105,7 +105,7 @@ def rejects(
     ours = unsent.join(own_jobs, "job_key", "left_semi").join(level_one, list(KEY))
     return (
         theirs.unionByName(ours)
-        .distinct()
+        .dropDuplicates([*KEY, "reject_code"])
         .withColumn("file_type", F.lit("DR"))
         .withColumn("response", F.lit("R"))
     )
@@ -131,6 +131,24 @@ def marked_sent(records: DataFrame, exported: DataFrame, job_key: int) -> DataFr
     )
 
 
+def sent_rows(exported: DataFrame, job_key: int) -> DataFrame:
+    """What an export adds to the ledger of sent records: their keys and the job, nothing else."""
+    return exported.select(*KEY, F.lit(job_key).cast("bigint").alias("out_job_key"))
+
+
+def last_in_ledger(ledger: DataFrame, out_jobs: DataFrame) -> DataFrame:
+    """One row: the newest of the given jobs that the ledger knows, 0 when it knows none."""
+    jobs = ledger.select(F.col("out_job_key").alias("job_key")).distinct()
+    return jobs.join(out_jobs.select("job_key"), "job_key", "left_semi").agg(
+        F.coalesce(F.max("job_key"), F.lit(0).cast("bigint")).alias("last_job")
+    )
+
+
+def not_sent(records: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Records that no export of the ledger has sent."""
+    return records.join(ledger.select(*KEY), list(KEY), "left_anti")
+
+
 def initialised(records: DataFrame, jobs: DataFrame, upstream: int) -> DataFrame:
     """One-time start: everything counts as sent, but for upstream files still waiting."""
     waiting = jobs.where((F.col("client_id") == upstream) & (F.col("file_status") == "Not Available")).select(

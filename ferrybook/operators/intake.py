@@ -8,7 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrybook.operators.deadlines import at, in_windows, waiting, with_windows, window_counts
+from ferrybook.functions.text import strip
+from ferrybook.operators.deadlines import FILE_COUNT, at, in_windows, waiting, with_windows, window_counts
 from ferrybook.session import broadcast_if_small
 
 
@@ -30,11 +31,12 @@ def held_files(jobs: DataFrame, feeds: DataFrame, exempt: Sequence[int] = ()) ->
         .where(F.col("place") == F.col("per_day"))
         .select("feed_id", "day", F.struct("start_ts", "job_key").alias("bar"))
     )
+    beyond = candidates.join(broadcast_if_small(bars), ["feed_id", "day"]).where(F.struct("start_ts", "job_key") > F.col("bar"))
+    closed = feeds.where(F.col("per_day") <= 0).select("feed_id")  # such feeds have no first file to be the bar
     return (
-        candidates.join(broadcast_if_small(bars), ["feed_id", "day"])
-        .where(F.struct("start_ts", "job_key") > F.col("bar"))
-        .select("job_key", "feed_id", "day")
-    )
+        beyond.select("job_key", "feed_id", "day")
+        .unionByName(candidates.join(closed, "feed_id", "left_semi").select("job_key", "feed_id", "day"))
+    )
 
 
 def current_state(events: DataFrame, key: str, order: str, columns: Sequence[str]) -> DataFrame:
@@ -85,8 +87,8 @@ def mark_by_names(jobs: DataFrame, feed_id: int, names: DataFrame) -> DataFrame:
 
 
 def mark_complete_days(jobs: DataFrame, schedules: DataFrame) -> DataFrame:
-    """Makes waiting files available whose window holds exactly the required number."""
-    windows = with_windows(schedules).withColumn("window_end", F.col("window_end") - F.make_interval(secs=F.lit(1)))
+    """Makes waiting files available whose file-count window holds exactly the required number."""
+    windows = with_windows(schedules.where(F.col("processing_type") == FILE_COUNT)).withColumn("window_end", F.col("window_end") - F.make_interval(secs=F.lit(1)))
     counted = window_counts(waiting(jobs), "start_ts", windows, "window_start", "window_end")
     complete = counted.where(F.col("files") == F.col("files_per_day")).select(
         "schedule_id", "feed_id", "window_start", "window_end"
@@ -101,30 +103,25 @@ def mark_complete_days(jobs: DataFrame, schedules: DataFrame) -> DataFrame:
 
 
 def request_error(start: datetime | None, end: datetime | None, has_names: bool) -> str | None:
-    """What is wrong with a request to mark files: a full time range or names, not both."""
-    if start is None and end is None and not has_names:
-        return "ERROR: Provide at least the date range or list of file names"
-    if (start is None) != (end is None):
-        return "ERROR: Provide BOTH start time and end time arguments with either valid values, or NA"
-    if start is not None and has_names:
-        return "ERROR: Provide only date range or file names, not both"
-    if start is not None and start > end:
-        return "ERROR: Start Time must be before End Time!"
-    return None
+    """Code of what is wrong with a request to mark files: it takes a whole time range or names, one of them."""
+    bounds = sum(x is not None for x in (start, end))
+    if bounds == 1:
+        return "half_range"
+    if bool(bounds) == has_names:
+        return "range_and_names" if has_names else "nothing_asked"
+    return "range_reversed" if bounds and end < start else None
 
 
 def name_errors(names: DataFrame, pattern: str) -> DataFrame:
-    """Adds what is wrong with a file name: extension, characters, or text before its first digit."""
-    name = F.trim("file_name")
+    """Adds the code of what is wrong with a file name: extension, characters, or text before its first digit."""
+    name = strip(F.col("file_name"))
     prefix = F.regexp_extract(name, r"\A[^0-9]*", 0)
-    return names.withColumn(
-        "error",
-        F.when(~F.lower(name).endswith(".txt"), F.concat(F.lit("ERROR: files must end with .txt! Found issue with '"), name, F.lit("'")))
-        .when(~F.replace(name, F.lit("."), F.lit("")).rlike(r"\A[\w\-]+\z"),
-              F.concat(F.lit("ERROR: files must not contain special characters or spaces. Found issue with '"), name, F.lit("'")))
-        .when(~F.startswith(F.lit(pattern), prefix),
-              F.concat(F.lit("ERROR: Given File name '"), name, F.lit("' does not have the right prefix"))),
-    )
+    error = (
+        F.when(~F.lower(name).endswith(".txt"), "extension")
+        .when(~F.replace(name, F.lit("."), F.lit("")).rlike(r"\A[\w\-]+\z"), "characters")
+        .when(~F.startswith(F.lit(pattern), prefix), "prefix")
+    )
+    return names.withColumn("error", error)
 
 
 def not_outbound(ids: DataFrame, feeds: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ferrybook.functions import messages as M
 from ferrybook.functions.messages import message
 from ferrybook.operators.catalogue import RuledColumn
-from ferrybook.session import broadcast_if_small
+from ferrybook.session import broadcast_if_small, small_table
 
 
 def rule_meta(spark: SparkSession, columns: Iterable[RuledColumn]) -> DataFrame:
@@ -18,8 +18,11 @@ def rule_meta(spark: SparkSession, columns: Iterable[RuledColumn]) -> DataFrame:
     rows = [
         (r.rule_id, c.column_id, c.name, r.error_code, r.error_level, r.kind) for c in columns for r in c.rules
     ]
-    return spark.createDataFrame(
-        rows, "rule_id int, file_column_id int, column_name string, error_code int, error_level int, kind string"
+    rows.sort(key=lambda r: (r[4], r[1], r[0]))
+    return small_table(
+        spark,
+        [(*r, i) for i, r in enumerate(rows)],
+        "rule_id int, file_column_id int, column_name string, error_code int, error_level int, kind string, severity int",
     )
 
 
@@ -78,12 +81,25 @@ def threshold_alerts(counts: DataFrame, details: DataFrame, jobs: DataFrame, fee
     )
 
 
+def level_one(outcomes: DataFrame, meta: DataFrame) -> DataFrame:
+    """The failures of level 1; a line's top error is one exactly when it has any. No aggregation."""
+    hard = meta.where(F.col("error_level") == 1).select("rule_id", "error_code")
+    failed = outcomes.where(F.col("validation_result") == "N")
+    return failed.join(broadcast_if_small(hard), "rule_id").select("job_key", "line_number", "rule_id", "error_code")
+
+
 def top_errors(outcomes: DataFrame, meta: DataFrame) -> DataFrame:
-    """The failure of each line with the lowest level, then the lowest column, then the lowest rule."""
-    return (
+    """The failure of each line with the lowest level, then the lowest column, then the lowest rule.
+
+    The catalogue numbers its rules in that order, so one small number per line is aggregated.
+    """
+    meta = broadcast_if_small(meta)
+    worst = (
         outcomes.where(F.col("validation_result") == "N")
-        .join(broadcast_if_small(meta), "rule_id")
+        .join(meta.select("rule_id", "severity"), "rule_id")
         .groupBy("job_key", "line_number")
-        .agg(F.min(F.struct("error_level", "file_column_id", "rule_id", "error_code")).alias("top"))
-        .select("job_key", "line_number", "top.error_level", "top.file_column_id", "top.rule_id", "top.error_code")
+        .agg(F.min("severity").alias("severity"))
+    )
+    return worst.join(meta, "severity").select(
+        "job_key", "line_number", "error_level", "file_column_id", "rule_id", "error_code"
     )

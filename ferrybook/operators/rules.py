@@ -61,18 +61,20 @@ def leading_run(stripped: list[str]) -> str:
 
 
 def first_values(lines: DataFrame, column: RuledColumn) -> DataFrame:
-    """Value on the first detail line of each file, for files whose lines do not all agree."""
-    return (
-        lines.select("job_key", "line_number", slice_of(F.col("value"), column.start, column.end).alias("v"))
-        .groupBy("job_key")
-        .agg(
-            F.min_by("v", "line_number").alias("first_value"),
-            F.min("v").alias("lowest"),
-            F.max("v").alias("highest"),
-        )
+    """Value on the first detail line of each file, for files whose lines do not all agree.
+
+    Values are compared by their hashes, which a hash aggregate can keep; the first line's text is
+    then looked up for the files that differ alone.
+    """
+    rows = lines.select("job_key", "line_number", slice_of(F.col("value"), column.start, column.end).alias("first_value"))
+    h = F.xxhash64("first_value")
+    differing = (
+        rows.groupBy("job_key")
+        .agg(F.min("line_number").alias("line_number"), F.min(h).alias("lowest"), F.max(h).alias("highest"))
         .where(F.col("lowest") != F.col("highest"))
-        .select("job_key", "first_value")
+        .select("job_key", "line_number")
     )
+    return rows.join(broadcast_if_small(differing), ["job_key", "line_number"]).select("job_key", "first_value")
 
 
 def with_first_value(lines: DataFrame, rules: RuleSet) -> DataFrame:
@@ -102,7 +104,7 @@ class _Compiler:
         count = rules.role("slot_count")
         if count is not None:
             v = f"_v{count.column_id}"
-            self.count = f"case when {v} rlike '{K.DIGITS}' then int({v}) end"
+            self.count = f"case when {v} rlike '{K.DIGITS}' then try_cast({v} as int) end"
         elif rules.role("slot") is not None:
             raise ValueError("slot columns need the slot count column")
         if rules.role("category") is not None:

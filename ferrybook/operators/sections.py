@@ -39,6 +39,6 @@ def record_counts(lines: DataFrame, start: int, end: int, key: str = "job_key")
         .select(
             key,
             (F.col("lines") - 2).alias("by_lines"),
-            F.when(is_digits(text), text.cast("bigint")).otherwise(F.lit(0).cast("bigint")).alias("by_trailer"),
+            F.when(is_digits(text), text.try_cast("bigint")).otherwise(F.lit(0).cast("bigint")).alias("by_trailer"),
         )
     )

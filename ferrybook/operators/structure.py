@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ferrybook.functions import kinds as K
 from ferrybook.functions import messages as M
 from ferrybook.functions.messages import message, quote
+from ferrybook.functions.text import strip_sql
 from ferrybook.operators.catalogue import RuledColumn
 
 SUCCESS, FAIL, INCOMPLETE = "Success", "Fail", "Incomplete"
@@ -61,8 +62,8 @@ def marked(lines: DataFrame, spec: StructureSpec, keep: Sequence[str]) -> DataFr
         f"{_cut(spec.header_at)} = {quote(spec.header_id)} as _is_header",
         f"line_number > 1 and {_cut(spec.header_at)} <> {quote(spec.header_id)}"
         f" and {_cut(spec.trailer_at)} = {quote(spec.trailer_id)} as _is_trailer",
-        f"trim({_cut(spec.sender_at)}) as _sender",
-        f"trim({_cut(spec.receiver_at)}) as _receiver",
+        f"{strip_sql(_cut(spec.sender_at))} as _sender",
+        f"{strip_sql(_cut(spec.receiver_at))} as _receiver",
         f"{_cut(spec.trailer_count)} as _count_text",
         f"{_cut(spec.header_batch)} as _head_batch",
         f"{_cut(spec.trailer_batch)} as _tail_batch",
@@ -103,7 +104,7 @@ def detail_error(columns: Sequence[RuledColumn]) -> str:
     errors = []
     for c in columns:
         v = _cut((c.start, c.end))
-        s = f"trim({v})"
+        s = strip_sql(v)
         for r in c.rules:
             constants = dict(
                 name=c.name, pos=c.report_position, code=r.error_code, level=r.error_level, expected=r.equal_to
@@ -196,7 +197,7 @@ DETAIL_AFTER_ERROR = (
     f"case when after_line is not null and not coalesce(after_is_trailer, false)"
     f" then {message(M.DETAIL_AFTER, {'line': 'after_line'})} end"
 )
-STATED = f"case when trailer.stated rlike '{K.DIGITS}' then cast(trailer.stated as bigint) end"
+STATED = f"case when trailer.stated rlike '{K.DIGITS}' then coalesce(try_cast(trailer.stated as bigint), -1) end"
 COUNT_ERROR = (
     f"case when {STATED} <> details then "
     + message(M.COUNT_MISMATCH, {"lines": "lines", "found": "details", "stated": STATED})
@@ -226,8 +227,12 @@ def verdict(
     spec: StructureSpec,
     keep: Sequence[str] = ("job_key",),
     detail_rules: Sequence[RuledColumn] = (),
+    listing: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per file: status, first error, record count, sender and receiver."""
+    """One row per file: status, first error, record count, sender and receiver.
+
+    A file without a line is known from a ``listing`` of the keys alone; it has no trailer.
+    """
     files = after_trailer(summarise(lines, spec, keep, detail_rules))
     found = files.selectExpr(
         "*",
@@ -241,7 +246,7 @@ def verdict(
                            'message', coalesce({SECOND_TRAILER_ERROR}, {DETAIL_AFTER_ERROR})) end
         ))).message as line_message""",
     )
-    return found.selectExpr(
+    told = found.selectExpr(
         *keep,
         f"coalesce(line_message, {NO_TRAILER_ERROR}, {COUNT_ERROR}, {BATCH_ERROR}) as _found",
         "lines",
@@ -254,6 +259,16 @@ def verdict(
         "coalesce(header.sender, '') as sender",
         "coalesce(header.receiver, '') as receiver",
     )
+    if listing is None:
+        return told
+    return listing.select(*keep).join(told, list(keep), "left").selectExpr(
+        *keep,
+        f"coalesce(status, '{FAIL}') as status",
+        f"coalesce(error_message, {quote(M.NO_TRAILER)}) as error_message",
+        "coalesce(record_count, cast(0 as bigint)) as record_count",
+        "coalesce(sender, '') as sender",
+        "coalesce(receiver, '') as receiver",
+    )
 
 
 def already_processed(arrivals: DataFrame, archive: DataFrame) -> DataFrame:
@@ -269,9 +284,7 @@ def already_processed(arrivals: DataFrame, archive: DataFrame) -> DataFrame:
 def flag_hold(files: DataFrame, feeds: DataFrame) -> DataFrame:
     """Files of feeds with a check switched off are parked as Incomplete, with their count."""
     off = ~F.col("check_structure") | ~F.col("check_details")
-    told: Column = F.when(~F.col("check_structure"), "validate_file_structure").when(
-        ~F.col("check_details"), "validate_file_detail_columns"
-    )
+    told: Column = F.when(~F.col("check_structure"), "structure").when(~F.col("check_details"), "details")
     return (
         files.join(feeds.select("feed_id", "check_structure", "check_details"), "feed_id")
         .where(off)
@@ -291,7 +304,7 @@ def field_findings(lines: DataFrame, config: dict, keep: Sequence[str] = ("job_k
     for name, spec in config.items():
         start, end = spec["position"]
         v = _cut((start, end))
-        s = f"trim({v})"
+        s = strip_sql(v)
         # The texts of the light checks.
         if spec.get("required"):
             errors.append((name, f"case when {s} = '' then {quote(f'Field {name} is required but does not have a value')} end"))
@@ -325,12 +338,11 @@ def file_findings(lines: DataFrame, spec: StructureSpec, detail_id: str) -> Data
         F.when(F.col("first_kind") != detail_id, 1).otherwise(0)
         + F.when((F.col("last_kind") != detail_id) & (F.col("lines") > 1), 1).otherwise(0)
     )
-    # The names of the checks.
     found = F.array_compact(
         F.array(
-            F.when(F.col("first_kind") != spec.header_id, F.lit("validate_header_is_first_line")),
-            F.when(F.col("last_kind") != spec.trailer_id, F.lit("validate_trailer_is_last_line")),
-            F.when(outside > 0, F.lit("validate_lines_are_detail")),
+            F.when(F.col("first_kind") != spec.header_id, F.lit("first line is no header")),
+            F.when(F.col("last_kind") != spec.trailer_id, F.lit("last line is no trailer")),
+            F.when(outside > 0, F.lit("line between is no detail")),
         )
     )
     return ends.select("job_key", F.explode(found).alias("check_name"))

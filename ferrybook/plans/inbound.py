@@ -5,13 +5,18 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ferrybook.operators.intake import held_files
 from ferrybook.operators.layout import parse
-from ferrybook.operators.outcomes import duplicate_ids
+from ferrybook.operators.outcomes import duplicate_ids, error_line_counts, threshold_alerts
 from ferrybook.operators.rules import RuleSet, evaluate, with_first_value
-from ferrybook.session import new_folder
+from ferrybook.operators.structure import FAIL, INCOMPLETE, SUCCESS, StructureSpec, already_processed, marked, verdict
+from ferrybook.session import new_folder, settle
 from ferrybook.sources.sinks import write_outcomes
 
+REPEATED, HELD = "Repeated", "Held"
+
 
 @dataclass(frozen=True)
 class Loaded:
@@ -31,3 +36,54 @@ def load(lines: DataFrame, rules: RuleSet, id_column: str, duplicate_rule, posit
     checked = evaluate(with_first_value(lines, rules), rules)
     write_outcomes(checked.unionByName(duplicates), outcomes_path)
     return Loaded(records, spark.read.parquet(outcomes_path))
+
+
+def file_states(lines: DataFrame, jobs: DataFrame, feeds: DataFrame, archive: DataFrame, spec: StructureSpec) -> DataFrame:
+    """job_key, feed_id, state, message: what becomes of every listed file, the first reason that holds.
+
+    A file whose name is in the archive is repeated; one of a feed with a check switched off is parked;
+    one with a structure error fails; one beyond the number a feed may send per day is held.
+    """
+    seen = already_processed(jobs.select("job_key", F.col("file_name").alias("path")), archive).select("job_key")
+    told = verdict(lines, spec, listing=jobs.select("job_key")).select("job_key", "status", "error_message")
+    parked = feeds.where(~F.col("check_structure") | ~F.col("check_details")).select("feed_id", F.lit(True).alias("parked"))
+    state = (
+        F.when(F.col("seen"), REPEATED).when(F.col("parked"), INCOMPLETE).when(F.col("status") == FAIL, FAIL).otherwise(SUCCESS)
+    )
+    checked = settle(
+        jobs.select("job_key", "feed_id", "file_type", "start_ts")
+        .join(seen.distinct().withColumn("seen", F.lit(True)), "job_key", "left")
+        .join(parked, "feed_id", "left")
+        .join(told, "job_key")
+        .select("job_key", "feed_id", "file_type", "start_ts", state.alias("status"), "error_message")
+    )
+    held = held_files(checked.where(F.col("status") == SUCCESS), feeds).select("job_key", F.lit(True).alias("held"))
+    return checked.join(held, "job_key", "left").select(
+        "job_key",
+        "feed_id",
+        F.when(F.col("held"), HELD).otherwise(F.col("status")).alias("state"),
+        F.when(F.col("status") == FAIL, F.col("error_message")).otherwise("").alias("message"),
+    )
+
+
+@dataclass(frozen=True)
+class Inbound:
+    states: DataFrame
+    loaded: Loaded
+    alerts: DataFrame
+
+
+def run(
+    lines: DataFrame, jobs: DataFrame, feeds: DataFrame, archive: DataFrame, spec: StructureSpec, rules: RuleSet,
+    id_column: str, duplicate_rule, position: str,
+) -> Inbound:
+    """One run over arrived files: their states, and of those that pass the records, rule outcomes and
+    threshold alerts. Lines of other files are not looked at after their verdict."""
+    states = settle(file_states(lines, jobs, feeds, archive, spec))
+    passed = states.where(F.col("state") == SUCCESS).select("job_key", "feed_id")
+    marks = marked(lines, spec, ["job_key"]).where("line_number > 1 and not _is_header and not _is_trailer")
+    details = marks.select("job_key", "line_number", "value").join(passed.select("job_key"), "job_key", "left_semi")
+    loaded = load(settle(details), rules, id_column, duplicate_rule, position)
+    sizes = loaded.records.groupBy("job_key").agg(F.count(F.lit(1)).alias("detail_lines"))
+    alerts = threshold_alerts(error_line_counts(loaded.outcomes, passed), sizes, passed, feeds)
+    return Inbound(states, loaded, alerts)

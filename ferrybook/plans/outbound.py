@@ -9,10 +9,10 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrybook.operators.export import KEY, sent_order
+from ferrybook.operators.export import KEY, LEDGER, last_in_ledger, not_sent, precondition, sent_order, sent_rows, with_defaults
 from ferrybook.operators.layout import encode
-from ferrybook.session import settle
-from ferrybook.sources.sinks import merge_sections
+from ferrybook.session import new_folder, settle
+from ferrybook.sources.sinks import append_ledger, merge_sections, write_merged
 
 ORDER = ("sort_key", *KEY)
 
@@ -97,3 +97,29 @@ class Export:
         if not create_empty and self.exported.isEmpty():
             return merged.limit(0)
         return merged
+
+
+def run(
+    setting: DataFrame, wanted: DataFrame, ledger: str, selected: DataFrame, defaults, parties: Parties, moment: datetime,
+    length: int, fields: Sequence[tuple[Column, int]], job_key: int, out_jobs: DataFrame,
+) -> tuple[str | None, int]:
+    """One export: the folder of the file written and its number of records, (None, 0) where nothing is sent.
+
+    ``setting`` is the row in force, ``wanted`` the waiting files (job_key); nothing is sent without a
+    setting, or when no file is newer than the last export of ``out_jobs`` in the ledger. Records of the
+    ledger are not sent again; the ones sent now are appended to it after the file is written.
+    """
+    spark = selected.sparkSession
+    in_force = setting.select("create_empty").limit(1).collect()
+    spark.createDataFrame([], LEDGER).write.mode("append").parquet(ledger)  # so that it can be read
+    sent = spark.read.schema(LEDGER).parquet(ledger)
+    if not in_force or not precondition(wanted, last_in_ledger(sent, out_jobs)).first()["files"]:
+        return None, 0
+    export = Export.of(with_defaults(not_sent(selected, sent), defaults), parties, moment, length)
+    n = export.exported.count()
+    if not n and not in_force[0]["create_empty"]:
+        return None, 0
+    path = new_folder(spark, "outbound")
+    write_merged(export.file(fields, create_empty=True), ORDER, path)
+    append_ledger(sent_rows(export.exported, job_key), ledger)
+    return path, n

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ferrybook.fixtures import relations as R
@@ -21,6 +23,22 @@ SPEC = StructureSpec(
 )
 
 
+def registry() -> tuple[dict, dict, Callable]:
+    """Queries by name, their checking SQL, and the decorator that fills both."""
+    queries, oracles = {}, {}
+
+    def query(name: str, oracle: str | None = None):
+        def register(fn):
+            queries[name] = lambda spark, folder: fn(Tables(spark, folder))
+            if oracle is not None:
+                oracles[name] = oracle
+            return fn
+
+        return register
+
+    return queries, oracles, query
+
+
 class Tables:
     """The derived relations over one folder of tables."""
 

@@ -9,26 +9,16 @@ from pyspark.sql import functions as F
 from ferrybook.fixtures import relations as R
 from ferrybook.operators import deadlines as D
 from ferrybook.operators import outcomes as O
-from ferrybook.queries.base import RECORD_SQL, Tables, with_relations
-from ferrybook.queries.rules import FLAGS, TOP_SQL, engine_sql, all_failures
+from ferrybook.queries.base import RECORD_SQL, Tables, registry, with_relations
+from ferrybook.queries.rules import all_failures, with_top
 from ferrybook.sources.text import route_by_name
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(name: str, oracle: str | None = None):
-    def register(fn):
-        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-
-    return register
+QUERIES, ORACLES, query = registry()
 
 
 AS_OF = datetime(1996, 9, 1, 12, 0, 0)
 IN_MAINTENANCE = datetime(1996, 2, 28, 11, 0, 0)
-TODAY = datetime(1996, 2, 5, 9, 0, 0)
+TODAY = datetime(1996, 1, 29, 9, 0, 0)  # an inbound schedule polls
 UPSTREAM = 2
 
 WINDOW_SQL = """next_poll - to_minutes(cast(grace_minutes as int)) as window_start, next_poll as window_end,
@@ -99,14 +89,9 @@ UNDELIVERED = f"""select s.schedule_id, s.feed_id, cast(coalesce(n, 0) as bigint
     group by 1) c on s.schedule_id = c.schedule_id"""
 
 
-def with_top(relations: str, body: str) -> str:
-    base = with_relations(relations, "").rstrip()
-    return f"{base}, record as ({RECORD_SQL}){FLAGS}, outcome as ({engine_sql()}), top as ({TOP_SQL})\n{body}"
-
-
 def undelivered(t: Tables, schedules):
-    top = O.top_errors(all_failures(t), O.rule_meta(t.spark, R.ruled_columns()))
-    return D.undelivered(t.record(), t.relation("job"), t.relation("feed"), top, schedules, UPSTREAM)
+    blocked = O.level_one(all_failures(t), O.rule_meta(t.spark, R.ruled_columns()))
+    return D.undelivered(t.record(), t.relation("job"), t.relation("feed"), blocked, schedules, UPSTREAM)
 
 
 @query("sla_undelivered", with_top("line job feed schedule", UNDELIVERED))
@@ -129,18 +114,16 @@ def sla_file_count(t: Tables):
     return D.file_counts(t.relation("job"), t.relation("schedule"))
 
 
-@query(
-    "sla_late_receipt",
-    with_relations(
-        "schedule job",
-        f"""select j.job_key, j.feed_id, s.schedule_id, s.last_poll - to_minutes(s.grace_minutes) as sla_start,
-          s.last_poll as sla_end, j.end_ts as received, s.next_poll - to_minutes(s.grace_minutes) as late_until
-        from job j join schedule s on j.feed_id = s.feed_id
-          and j.end_ts between s.last_poll and s.next_poll - to_minutes(s.grace_minutes)
-        where j.status = 'Success' and ((select count(*) from schedule x where x.feed_id = s.feed_id) <= 1
-          or cast(s.last_poll as date) = date '{TODAY:%Y-%m-%d}' or cast(s.next_poll as date) = date '{TODAY:%Y-%m-%d}')""",
-    ),
-)
+LATE = f"""select j.job_key, j.feed_id, s.schedule_id, s.last_poll - to_minutes(s.grace_minutes) as sla_start,
+    s.last_poll as sla_end, j.end_ts as received, s.next_poll - to_minutes(s.grace_minutes) as late_until
+  from job j join schedule s on j.feed_id = s.feed_id and s.processing_type = 'INBOUND->HUB'
+    and j.end_ts between s.last_poll and s.next_poll - to_minutes(s.grace_minutes)
+  where j.status = 'Success'
+    and ((select count(*) from schedule x where x.feed_id = s.feed_id and x.processing_type = 'INBOUND->HUB') <= 1
+      or cast(s.last_poll as date) = date '{TODAY:%Y-%m-%d}' or cast(s.next_poll as date) = date '{TODAY:%Y-%m-%d}')"""
+
+
+@query("sla_late_receipt", with_relations("schedule job", LATE))
 def sla_late_receipt(t: Tables):
     return D.late_receipts(t.relation("job"), t.relation("schedule"), TODAY)
 
@@ -166,7 +149,9 @@ def sla_stuck(t: Tables):
     "sla_alerts",
     with_top(
         "line job feed schedule maintenance",
-        f"""select 'inbound missing' as alert_type, schedule_id, feed_id, files as n from ({met_sql("start_ts", QUIET)}) i
+        f"""select case when landed is null then 'inbound missing' else 'stuck file' end as alert_type, schedule_id, i.feed_id,
+          coalesce(landed, files) as n from ({met_sql("start_ts", QUIET)}) i
+          left join (select feed_id, count(*) as landed from ({STUCK}) group by 1) k on i.feed_id = k.feed_id
           where processing_type = 'INBOUND->HUB' and not met
         union all select 'outbound missing', schedule_id, feed_id, files from ({met_sql("end_ts", QUIET)}) o
           where processing_type = 'HUB->OUTBOUND' and not met
@@ -174,29 +159,14 @@ def sla_stuck(t: Tables):
           join schedule s on u.schedule_id = s.schedule_id where processing_type = 'HUB->UPSTREAM' and undelivered > 0 and {QUIET}
         union all select 'file count', c.schedule_id, c.feed_id, files from ({COUNTS}) c join schedule s
           on c.schedule_id = s.schedule_id where processing_type = 'FILE COUNT' and result = 'alert' and {QUIET}
-        union all select 'stuck file', s.schedule_id, s.feed_id, count(*) from ({STUCK}) k
-          join ({met_sql("start_ts", QUIET)}) s on k.feed_id = s.feed_id
-          where processing_type = 'INBOUND->HUB' and not met group by 1, 2, 3""",
+        union all select 'late receipt', schedule_id, feed_id, count(*) from ({LATE}) group by 1, 2, 3""",
     ),
 )
 def sla_alerts(t: Tables):
     """Every schedule checked by its type, as one alert table."""
-    jobs = t.relation("job")
-    schedules = D.outside_maintenance(t.relation("schedule"), t.relation("maintenance"), D.at(IN_MAINTENANCE))
-    of_type = lambda name: schedules.where(F.col("processing_type") == name)
-
-    def alert(kind: str, df, n: str):
-        return df.select(F.lit(kind).alias("alert_type"), "schedule_id", "feed_id", F.col(n).alias("n"))
-
-    missed = D.sla_met(jobs, "start_ts", of_type("INBOUND->HUB")).where(~F.col("met"))
-    per_feed = stuck(t).groupBy("feed_id").agg(F.count(F.lit(1)).alias("stuck"))
-    return (
-        alert("inbound missing", missed, "files")
-        .unionByName(alert("outbound missing", D.sla_met(jobs, "end_ts", of_type("HUB->OUTBOUND")).where(~F.col("met")), "files"))
-        .unionByName(alert("undelivered", undelivered(t, of_type("HUB->UPSTREAM")).where(F.col("undelivered") > 0), "undelivered"))
-        .unionByName(alert("file count", D.file_counts(jobs, of_type("FILE COUNT")).where(F.col("result") == "alert"), "files"))
-        .unionByName(alert("stuck file", missed.join(per_feed, "feed_id"), "stuck"))
-    )
+    schedules = t.relation("schedule")
+    quiet = D.outside_maintenance(schedules, t.relation("maintenance"), D.at(IN_MAINTENANCE))
+    return D.alerts(schedules, quiet, t.relation("job"), stuck(t), undelivered(t, quiet), TODAY)
 
 
 @query(

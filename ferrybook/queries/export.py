@@ -10,20 +10,14 @@ from ferrybook.fixtures import relations as R
 from ferrybook.operators import export as X
 from ferrybook.operators import outcomes as O
 from ferrybook.plans.outbound import Export, Parties, header_value, routing_id
-from ferrybook.queries.base import RECORD_SQL, Tables, with_relations
-from ferrybook.queries.rules import FLAGS, TOP_SQL, engine_sql, all_failures
+from ferrybook.queries.base import RECORD_SQL, Tables, registry, with_relations
+from ferrybook.queries.rules import all_failures, with_top
+from ferrybook.plans import outbound
+from ferrybook.session import new_folder, small_table
+from ferrybook.sources.sinks import append_ledger
+from ferrybook.sources.text import read_merged
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(name: str, oracle: str | None = None):
-    def register(fn):
-        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-
-    return register
+QUERIES, ORACLES, query = registry()
 
 
 UPSTREAM, OWN_FEED, OUT_FEED, EXPORT_JOB = 2, 1, 4, 999_999_999_999
@@ -98,13 +92,9 @@ FOR_UPSTREAM = f"""select r.* from record r where {OPEN} and job_key in (select
   and not exists (select 1 from top where top.job_key = r.job_key and top.line_number = r.line_number and error_level = 1)"""
 
 
-def with_top(relations: str, body: str) -> str:
-    base = with_relations(relations, "").rstrip()
-    return f"{base}, record as ({RECORD_SQL}){FLAGS}, outcome as ({engine_sql()}), top as ({TOP_SQL})\n{body}"
-
-
 def for_upstream(t: Tables):
-    return X.eligible_for_upstream(t.record(), t.relation("job"), t.relation("feed"), top_errors(t), UPSTREAM)
+    blocked = O.level_one(all_failures(t), O.rule_meta(t.spark, R.ruled_columns()))
+    return X.eligible_for_upstream(t.record(), t.relation("job"), t.relation("feed"), blocked, UPSTREAM)
 
 
 @query(
@@ -255,6 +245,29 @@ def export_mark_sent(t: Tables):
     return X.marked_sent(t.record(), exported(t).exported, EXPORT_JOB).select("job_key", "line_number", "out_job_key")
 
 
+FIRST_RUN = dedup_sql(FOR_CLIENT)
+REST = f"""select r.* from ({FOR_CLIENT}) r where not exists (select 1 from ({FIRST_RUN}) e
+  where e.job_key = r.job_key and e.line_number = r.line_number)"""
+
+
+@query(
+    "export_sent_ledger",
+    with_relations(
+        "record job feed",
+        f"""select {EXPORT_JOB} as out_job_key, job_key, line_number from ({FIRST_RUN})
+        union all select {EXPORT_JOB + 1}, job_key, line_number from ({dedup_sql(REST)})""",
+    ),
+)
+def export_sent_ledger(t: Tables):
+    """Two exports in a row through an append-only ledger; the second sends none of the first's records."""
+    path, open_records = new_folder(t.spark, "sent"), for_client(t)
+    for job in (EXPORT_JOB, EXPORT_JOB + 1):
+        left = open_records if job == EXPORT_JOB else X.not_sent(open_records, ledger)
+        chosen = X.first_per_business_key(left, BUSINESS, ["service_date"])
+        ledger = append_ledger(X.sent_rows(chosen, job), path)
+    return ledger.select("out_job_key", "job_key", "line_number")
+
+
 @query(
     "export_empty_guard",
     with_relations(
@@ -303,3 +316,26 @@ def export_file(t: Tables):
 )
 def init_sent_flag(t: Tables):
     return X.initialised(t.record(), t.relation("job"), UPSTREAM).select("job_key", "line_number", "out_job_key")
+
+
+@query(
+    "outbound_run",
+    with_top(
+        "line job feed",
+        f"""select 'first' as run, row_number() over (order by section, sort_key, job_key, line_number) as line_number, value from ({FILE})
+        union all select 'second', 0, 'nothing newer'""",
+    ),
+)
+def outbound_run(t: Tables):
+    """A whole export, written and read back, and a second one that finds nothing new."""
+    setting = X.settings_at(t.relation("setting"), date(1997, 5, 20))
+    wanted = t.relation("job").where("file_status = 'Available' and file_type = 'INBOUND'").select("job_key")
+    chosen = X.first_per_business_key(for_upstream(t), BUSINESS, ["service_date"])
+    own = small_table(t.spark, [(EXPORT_JOB,), (EXPORT_JOB + 1,)], "job_key bigint")
+    ledger = new_folder(t.spark, "ledger")
+    given = (setting, wanted, ledger, chosen, DEFAULTS, PARTIES, MOMENT, LENGTH, fields())
+    path, _ = outbound.run(*given, EXPORT_JOB, own)
+    again, _ = outbound.run(*given, EXPORT_JOB + 1, own)
+    first = read_merged(t.spark, path).select(F.lit("first").alias("run"), "line_number", "value")
+    second = small_table(t.spark, [("second", 0, "nothing newer" if again is None else again)], "run string, line_number bigint, value string")
+    return first.unionByName(second)

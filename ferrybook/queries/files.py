@@ -6,24 +6,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrybook.fixtures import relations as R
+from ferrybook.functions import messages as M
 from ferrybook.operators import sections, structure
 from ferrybook.operators.catalogue import Rule, RuledColumn
 from ferrybook.operators.layout import encode, encode_record, parse
-from ferrybook.queries.base import LOADED, SPEC, Tables, with_relations
+from ferrybook.queries.base import LOADED, SPEC, Tables, registry, with_relations
 from ferrybook.session import new_folder
 from ferrybook.sources import sinks, text
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(name: str, oracle: str | None = None):
-    def register(fn):
-        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-
-    return register
+QUERIES, ORACLES, query = registry()
 
 
 @query(
@@ -168,19 +159,21 @@ def fixed_width_encode(t: Tables):
     "merge_sections",
     with_relations(
         "line",
-        """select 1 as section, cast(null as bigint) as job_key, cast(null as bigint) as line_number, rpad('HD0000001', 133, ' ') as value
-        union all select 2, job_key, line_number, value from line where substring(value, 39, 1) = '-'
-        union all select 3, null, null, rpad('TR0000001' || lpad(cast(count(*) as varchar), 10, '0'), 133, ' ')
-          from line where substring(value, 39, 1) = '-'""",
+        """select row_number() over (order by section, job_key, line_number) as line_number, value from (
+          select 1 as section, cast(null as bigint) as job_key, cast(null as bigint) as line_number, rpad('HD0000001', 133, ' ') as value
+          union all select 2, job_key, line_number, value from line
+          union all select 3, null, null, rpad('TR0000001' || lpad(cast(count(*) as varchar), 10, '0'), 133, ' ') from line)""",
     ),
 )
 def merge_sections(t: Tables):
-    """Merged parts, written in file order and read back beside the relation they came from."""
-    detail = t.relation("line").where(F.substring("value", 39, 1) == "-")
+    """All lines between a header and a trailer, written in file order and read back numbered."""
+    detail = t.relation("line")
     count = detail.agg(F.lpad(F.count(F.lit(1)).cast("string"), 10, "0").alias("n"))
     header = t.spark.range(1).select(encode([(F.lit("HD0000001"), R.LINE_LENGTH)]).alias("value"))
     trailer = count.select(encode([(F.concat(F.lit("TR0000001"), "n"), R.LINE_LENGTH)]).alias("value"))
-    return sinks.merge_sections(header, detail, trailer, ["job_key", "line_number"])
+    path, order = new_folder(t.spark, "merged"), ["job_key", "line_number"]
+    sinks.write_merged(sinks.merge_sections(header, detail, trailer, order), order, path)
+    return text.read_merged(t.spark, path)
 
 
 @query(
@@ -252,11 +245,11 @@ line_check(
 )
 
 DETAIL_RULES = [
-    RuledColumn(2, "Transmission File Type", 2, 4, False, (Rule(900, 1, "EQUALTO", "DQ", error_code=161, error_level=1),)),
+    RuledColumn(2, "Message Kind", 2, 4, False, (Rule(900, 1, "EQUALTO", "DQ", error_code=161, error_level=1),)),
     RuledColumn(6, "Transmission ID", 16, 26, False, (Rule(901, 1, "REQUIRED", "an id", error_code=162, error_level=2),)),
 ]
 DETAIL_MESSAGE = """case when trim(substring(value, 3, 2)) <> 'DQ' then ' Line Number : ' || cast(line_number as varchar)
-    || ' , Column : Transmission File Type  at position 3:4 has the value ' || trim(substring(value, 3, 2))
+    || ' , Column : Message Kind  at position 3:4 has the value ' || trim(substring(value, 3, 2))
     || ', expected value must be DQ Error Code : 161, Error Level : 1'
   when trim(substring(value, 17, 10)) = '' then 'Line Number : ' || cast(line_number as varchar)
     || ' , Column : Transmission ID  at position 17:26 can not be empty. Expected Value must be  an id.'
@@ -365,8 +358,8 @@ def structure_verdict(t: Tables):
     "flag_hold",
     with_relations(
         "file feed job",
-        """select c.job_key, j.feed_id, case when not check_structure then 'validate_file_structure'
-            else 'validate_file_detail_columns' end as flag, 'Incomplete' as status, lines - 2 as record_count
+        """select c.job_key, j.feed_id, case when not check_structure then 'structure'
+            else 'details' end as flag, 'Incomplete' as status, lines - 2 as record_count
         from (select job_key, count(*) as lines from file group by job_key) c join job j using (job_key)
           join feed f on j.feed_id = f.feed_id where not (check_structure and check_details)""",
     ),
@@ -407,10 +400,10 @@ def _finding(field: str, condition: str, text: str) -> str:
             ]
         )
         + """ union all select job_key, null, null, unnest(list_filter([
-            case when substring(arg_min(value, line_number), 1, 2) <> 'HD' then 'validate_header_is_first_line' end,
-            case when substring(arg_max(value, line_number), 1, 2) <> 'TR' then 'validate_trailer_is_last_line' end,
+            case when substring(arg_min(value, line_number), 1, 2) <> 'HD' then 'first line is no header' end,
+            case when substring(arg_max(value, line_number), 1, 2) <> 'TR' then 'last line is no trailer' end,
             case when count(*) filter (where line_number > 1 and line_number < hi and substring(value, 1, 2) <> 'DT') > 0
-              then 'validate_lines_are_detail' end], lambda x: x is not null))
+              then 'line between is no detail' end], lambda x: x is not null))
           from (select *, max(line_number) over (partition by job_key) as hi from file) group by job_key""",
     ),
 )
@@ -422,3 +415,19 @@ def config_validate_all(t: Tables):
         F.col("check_name").alias("message"),
     )
     return fields.unionByName(files)
+
+
+EMPTY = 1_000_000_000_000
+
+
+@query(
+    "empty_file_verdict",
+    f"""select job_key, status, error_message, record_count from ({ORACLES["structure_verdict"]})
+    union all select o_orderkey + {EMPTY}, 'Fail', '{M.NO_TRAILER.replace("'", "''")}', 0 from orders where o_orderkey % 50 = 0""",
+)
+def empty_file_verdict(t: Tables):
+    """Verdicts of a listing in which some files have no line at all."""
+    listed = t.relation("job").select("job_key")
+    empty = listed.where("job_key % 50 = 0").select((F.col("job_key") + EMPTY).alias("job_key"))
+    found = structure.verdict(t.relation("file"), SPEC, listing=listed.unionByName(empty))
+    return found.select("job_key", "status", "error_message", "record_count")

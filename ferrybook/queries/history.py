@@ -7,20 +7,10 @@ from pyspark.sql import functions as F
 from ferrybook.functions.text import overpunch_encode
 from ferrybook.operators import history as H
 from ferrybook.operators.layout import encode
-from ferrybook.queries.base import Tables, with_relations
+from ferrybook.queries.base import Tables, registry, with_relations
 from ferrybook.sources.sinks import merge_sections
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(name: str, oracle: str | None = None):
-    def register(fn):
-        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-
-    return register
+QUERIES, ORACLES, query = registry()
 
 
 AMOUNT = """(case when instr('{ABCDEFGHI', right(adj_amt, 1)) > 0 then 1 else -1 end) * cast(substring(adj_amt, 1, 11)

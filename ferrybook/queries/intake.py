@@ -8,22 +8,15 @@ from pyspark.sql import functions as F
 
 from ferrybook.fixtures import relations as R
 from ferrybook.operators import intake as I
+from ferrybook.fixtures.dialect import DUCK
+from ferrybook.plans import inbound
 from ferrybook.plans.inbound import load
-from ferrybook.queries.base import RECORD_SQL, Tables, with_relations
+from ferrybook.queries.base import RECORD_SQL, SPEC, Tables, registry, with_relations
 from ferrybook.queries.deadlines import COUNTS
+from ferrybook.queries.files import ORACLES as STRUCTURE_ORACLES
 from ferrybook.queries.rules import ALL, DUPLICATES, FLAGS, engine_sql
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(name: str, oracle: str | None = None):
-    def register(fn):
-        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-
-    return register
+QUERIES, ORACLES, query = registry()
 
 
 @query(
@@ -118,8 +111,8 @@ def mark_available(t: Tables):
     with_relations(
         "schedule job",
         f"""select j.job_key, case when not complete and status = 'Success' and file_status = 'Not Available'
-          and exists (select 1 from ({COUNTS}) c where c.result = 'complete' and c.feed_id = j.feed_id
-            and j.start_ts between c.window_start and c.window_end) then 'Available' else file_status end as file_status
+          and exists (select 1 from ({COUNTS}) c join schedule x on c.schedule_id = x.schedule_id
+            where x.processing_type = 'FILE COUNT' and c.result = 'complete' and c.feed_id = j.feed_id and j.start_ts between c.window_start and c.window_end) then 'Available' else file_status end as file_status
         from job j""",
     ),
 )
@@ -136,11 +129,11 @@ NAMES = """case job_key % 10 when 1 then replace(file_name, '.TXT', '.csv') when
     with_relations(
         "job feed",
         f"""select job_key, file_name, case
-            when lower(file_name) not like '%.txt' then 'ERROR: files must end with .txt! Found issue with ''' || file_name || ''''
+            when lower(file_name) not like '%.txt' then 'extension'
             when not regexp_full_match(replace(file_name, '.', ''), '[A-Za-z0-9_-]+')
-              then 'ERROR: files must not contain special characters or spaces. Found issue with ''' || file_name || ''''
+              then 'characters'
             when not starts_with('FEED3_TST_HUB_YYMMDDHHMMSS', regexp_extract(file_name, '^[^0-9]*'))
-              then 'ERROR: Given File name ''' || file_name || ''' does not have the right prefix' end as error,
+              then 'prefix' end as error,
           feed_id not in (select feed_id from feed where feed_type = 'OUTBOUND') as wrong_feed
         from (select job_key, feed_id, {NAMES} as file_name from job)""",
     ),
@@ -154,3 +147,45 @@ def name_checks(t: Tables):
         .join(wrong, "feed_id", "left")
         .select("job_key", "file_name", "error", F.coalesce("wrong", F.lit(False)).alias("wrong_feed"))
     )
+
+
+# Files of every seventh job came before; the checks of a file are told in their order.
+STATES = f"""select j.job_key, j.feed_id, j.start_ts, j.file_type, case when j.job_key % 7 = 0 then 'Repeated'
+    when not check_structure or not check_details then 'Incomplete' else v.status end as first_state
+  from job j join feed f on j.feed_id = f.feed_id join ({STRUCTURE_ORACLES["structure_verdict"]}) v on v.job_key = j.job_key"""
+HELD = """select job_key from (select job_key, feed_id, row_number() over (partition by feed_id, cast(start_ts as date)
+      order by start_ts, job_key) as rn from first_states where first_state = 'Success' and file_type = 'INBOUND') r
+    join feed f on r.feed_id = f.feed_id where rn > per_day"""
+
+
+@query(
+    "inbound_run",
+    f"""with all_lines as ({R.line(DUCK)}), job as ({R.job(DUCK)}), feed as ({R.feed(DUCK)}), first_states as ({STATES}),
+      states as (select job_key, feed_id, case when job_key in ({HELD}) then 'Held' else first_state end as state from first_states),
+      line as (select * from all_lines where job_key % 16 <> 11 and job_key in (select job_key from states where state = 'Success')),
+      record as ({RECORD_SQL}){FLAGS}, outcome as ({engine_sql()}),
+      every as (select job_key, line_number, validation_result from outcome union all
+        select job_key, line_number, validation_result from ({DUPLICATES})),
+      found as (select job_key, count(*) as outcomes, count(*) filter (where validation_result = 'N') as failures,
+        count(distinct line_number) filter (where validation_result = 'N') as error_lines from every group by 1),
+      sizes as (select job_key, count(*) as n from line group by 1)
+      select s.job_key, state, coalesce(n, 0) as records, coalesce(outcomes, 0) as outcomes, coalesce(failures, 0) as failures,
+        case when state = 'Success' then coalesce(error_lines, 0) > 0 and error_lines >=
+          case when threshold < 1 then coalesce(n, 0) * threshold else threshold end end as alert
+      from states s join feed f on s.feed_id = f.feed_id left join found e on s.job_key = e.job_key left join sizes z on s.job_key = z.job_key""",
+)
+def inbound_run(t: Tables):
+    """A whole run: per file its state, stored records, outcomes and failures, and the threshold alert."""
+    jobs, feeds = t.relation("job"), t.relation("feed")
+    column, rule = ALL[61]
+    names = jobs.withColumn("file_name", F.concat_ws("-", "job_key", "file_name"))
+    archive = names.where("job_key % 7 = 0").select(F.concat(F.lit("archive/"), "file_name").alias("path"))
+    done = inbound.run(t.relation("file"), names, feeds, archive, SPEC, R.rule_set(), "transmission_id", rule, column.report_position)
+    records = done.loaded.records.groupBy("job_key").agg(F.count(F.lit(1)).alias("records"))
+    outcomes = done.loaded.outcomes.groupBy("job_key").agg(
+        F.count(F.lit(1)).alias("outcomes"), F.count(F.when(F.col("validation_result") == "N", 1)).alias("failures")
+    )
+    out = done.states.join(records, "job_key", "left").join(outcomes, "job_key", "left")
+    out = out.join(done.alerts.select("job_key", "alert"), "job_key", "left")
+    none = F.lit(0).cast("bigint")
+    return out.select("job_key", "state", *[F.coalesce(c, none).alias(c) for c in ("records", "outcomes", "failures")], "alert")

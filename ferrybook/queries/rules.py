@@ -2,25 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ferrybook.fixtures import relations as R
+from ferrybook.fixtures.dialect import DUCK
 from ferrybook.operators import outcomes as O
 from ferrybook.operators import rules as E
-from ferrybook.operators.catalogue import Rule, RuledColumn, catalogue_rows, clone_rules, evaluated, feeds_with_rules
-from ferrybook.queries.base import Tables, with_relations
-
-QUERIES, ORACLES = {}, {}
-
+from ferrybook.operators.catalogue import Rule, RuledColumn, catalogue_rows, compile_rows, clone_rules, evaluated, feeds_with_rules
+from ferrybook.queries.base import RECORD_SQL, Tables, registry, with_relations
+from ferrybook.session import small_table
 
-def query(name: str, oracle: str | None = None):
-    def register(fn):
-        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-
-    return register
+QUERIES, ORACLES, query = registry()
 
 
 # ---- checking SQL of single rules, written from the rule's wording ------------------------------
@@ -50,7 +44,7 @@ def failing(r: Rule, v: str) -> str:
         "NUMBER": f"not regexp_full_match({v}, '[0-9]+')",
         "BLANK": f"{s} <> ''",
         "ALL_ZEROS": f"not regexp_full_match({v}, '0+')",
-        "DATE": f"try_strptime({v}, '%Y%m%d') is null",
+        "DATE": f"(not regexp_full_match({v}, '[0-9]{{8}}') or try_strptime({v}, '%Y%m%d') is null)",
         "TIME": f"not regexp_full_match({v}, '([01][0-9]|2[0-3])[0-5][0-9][0-5][0-9][0-9]{{1,2}}')",
     }[r.kind]
 
@@ -108,7 +102,7 @@ kind_query("rule_range", ALL[20])
 kind_query("rule_blank_or_range", ALL[101])
 kind_query("rule_required_and_range", ALL[90])
 kind_query("rule_number", ALL[70], ALL[80])
-kind_query("rule_blank", (RuledColumn(4, "Reject Code", 5, 8), Rule(400, 1, "BLANK", error_code=130, error_level=2)))
+kind_query("rule_blank", (RuledColumn(4, "Refusal", 5, 8), Rule(400, 1, "BLANK", error_code=130, error_level=2)))
 kind_query("rule_all_zeros", (RuledColumn(125, "Last Amount", 129, 133), Rule(401, 1, "ALL_ZEROS", error_code=131)))
 kind_query("rule_date", ALL[51])
 kind_query("rule_time", ALL[110])
@@ -239,8 +233,32 @@ def with_engine(body: str, relations: str = "line", with_first: bool = True) ->
     return f"{base}{FLAGS}, outcome as ({engine_sql(with_first)})\n{body}"
 
 
+def catalogue_tables(t: Tables):
+    """The test catalogue as the four tables a hub keeps it in."""
+    columns, rules = [], []
+    for c in R.ruled_columns():
+        columns.append((c.column_id, 1, c.name, f"{c.start}:{c.end}", "Y" if c.accumulator else "N"))
+        for r in c.rules:
+            listed = ",".join(r.values) or None
+            rules.append((r.rule_id, c.column_id, r.priority, r.kind, r.equal_to, listed, r.custom, r.error_code, r.error_level, "Y" if r.active else "N"))
+    codes = sorted({r[7] for r in rules})
+    return (
+        small_table(t.spark, [(1, 1)], "feed_id int, client_id int"),
+        small_table(t.spark, columns, "file_column_id int, feed_id int, file_column_name string, column_position string, is_accumulator string"),
+        small_table(t.spark, rules, "rule_id int, file_column_id int, priority int, validation_type string, equal_to string, "
+                    "list_of_values string, formula string, error_code int, error_level int, is_active string"),
+        small_table(t.spark, [(c, f"Error {c}") for c in codes], "error_code int, error_message string"),
+    )
+
+
+def compiled_rules(t: Tables) -> E.RuleSet:
+    """The rule set compiled from the tables."""
+    columns = compile_rows(catalogue_rows(*catalogue_tables(t), feed_id=1))
+    return replace(R.rule_set(), columns=tuple(columns))
+
+
 def full_outcomes(t: Tables):
-    rules = R.rule_set()
+    rules = compiled_rules(t)
     return E.evaluate(E.with_first_value(t.relation("line"), rules), rules)
 
 
@@ -383,7 +401,7 @@ def rule_failures(t: Tables):
     with_relations(
         "big_feed big_column big_rule big_error",
         """select b.client_id, a.feed_id, a.file_column_id, a.file_column_name, a.column_position, c.rule_id,
-          c.validation_type, c.priority, c.equal_to, c.list_of_values, c.error_code, d.error_message,
+          c.validation_type, c.priority, c.equal_to, c.list_of_values, c.formula, c.error_code, d.error_message,
           a.is_accumulator, c.error_level
         from big_column a join big_rule c on a.file_column_id = c.file_column_id join big_feed b on a.feed_id = b.feed_id
           join big_error d on c.error_code = d.error_code
@@ -412,7 +430,7 @@ def feeds_rules(t: Tables):
         select r.rule_id + 120000000000, r.file_column_id + 120000000000, priority, validation_type,
           case when validation_type = 'EQUALTO' and file_column_name = 'Part#000000010' then 'TAG1'
             when validation_type = 'EQUALTO' and file_column_name = 'Part#000000510' then 'TAG2' else equal_to end,
-          list_of_values, error_code, error_level, is_active
+          list_of_values, formula, error_code, error_level, is_active
         from big_rule r join big_column c on r.file_column_id = c.file_column_id where c.feed_id = 11""",
     ),
 )
@@ -421,9 +439,9 @@ def clone(t: Tables):
     return clone_rules(t.relation("big_column"), t.relation("big_rule"), 11, 120_000_000_000, overrides)
 
 
-DUPLICATES = """select job_key, line_number, 61 as rule_id, 'N' as validation_result,
+DUPLICATES = f"""select job_key, line_number, 61 as rule_id, 'N' as validation_result,
     'Column : Transmission ID  at position 17:26 is duplicate.  Duplicate Value is ' || transmission_id
-      || ' Error Code : 103, Error Level : 1 ' as error_message
+      || ' Error Code : {ALL[61][1].error_code}, Error Level : 1 ' as error_message
   from (select *, row_number() over (partition by job_key, transmission_id order by line_number) as rn from record)
   where rn > 1"""
 
@@ -484,3 +502,31 @@ TOP_SQL = f"""select job_key, line_number, error_level, file_column_id, rule_id,
 @query("top_error_per_line", with_engine(TOP_SQL))
 def top_error_per_line(t: Tables):
     return O.top_errors(all_failures(t), O.rule_meta(t.spark, R.ruled_columns()))
+
+
+def with_top(relations: str, body: str) -> str:
+    """A checking query over relations, the parsed records and the top error of every line."""
+    base = with_relations(relations, "").rstrip()
+    return f"{base}, record as ({RECORD_SQL}){FLAGS}, outcome as ({engine_sql()}), top as ({TOP_SQL})\n{body}"
+
+
+WIDE_PARTS = " union all ".join(
+    f"""select {r.rule_id} as rule_id, case when {failing(r, slice_sql(c))} then 'N' else 'Y' end as validation_result, line_number,
+      case when {failing(r, slice_sql(c))} then {wording(c, r, slice_sql(c))} else ' ' end as error_message from wide_line"""
+    for c in R.wide_columns() for r in c.rules
+)
+
+
+@query(
+    "rule_results_wide",
+    f"""with wide_line as materialized ({R.wide_line(DUCK)}) select rule_id, validation_result, count(*) as outcomes,
+      cast(sum(length(error_message)) as bigint) as message_chars, cast(sum(line_number % 1000003) as bigint) as line_sum
+      from ({WIDE_PARTS}) group by 1, 2""",
+)
+def rule_results_wide(t: Tables):
+    """The engine over lines of 1,700 characters with 182 fields and 192 rules, as counts and checksums."""
+    return E.evaluate(t.relation("wide_line"), R.wide_rule_set()).groupBy("rule_id", "validation_result").agg(
+        F.count(F.lit(1)).alias("outcomes"),
+        F.sum(F.length("error_message")).cast("bigint").alias("message_chars"),
+        F.sum(F.col("line_number") % 1000003).cast("bigint").alias("line_sum"),
+    )

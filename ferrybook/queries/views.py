@@ -2,53 +2,49 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from ferrybook.fixtures import relations as R
-from ferrybook.operators import rules as E
 from ferrybook.operators import views as V
 from ferrybook.operators.outcomes import rule_meta
-from ferrybook.queries.base import Tables, with_relations
-from ferrybook.queries.rules import ALL, DUPLICATES, duplicates, failing, outcome_sql, slice_sql, wording
+from ferrybook.queries.base import RECORD_SQL, Tables, registry, with_relations
+from ferrybook.queries.rules import ALL, DUPLICATES, FLAGS, duplicates, engine_sql, full_outcomes, q
+from ferrybook.session import small_table
 
-QUERIES, ORACLES = {}, {}
+QUERIES, ORACLES, query = registry()
 
 
-def query(name: str, oracle: str | None = None):
-    def register(fn):
-        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-
-    return register
-
-
-REPORTED = (60, 90)
-OUTCOMES = " union all ".join(
-    outcome_sql(*ALL[i], failing(ALL[i][1], slice_sql(ALL[i][0])), wording(*ALL[i], slice_sql(ALL[i][0]))) for i in REPORTED
-)
-CODES = {152: "Id is missing", 624: "Unknown action", 103: "Duplicate id"}
+# a standard text for every second code
+STANDARD = {r.error_code: f"Standard text {r.error_code}" for c, r in ALL.values() if r.error_code % 2 == 0}
+RULES_SQL = "(values " + ", ".join(
+    f"({i}, {q(c.name)}, {r.error_code}, {r.error_level}, {q(STANDARD[r.error_code]) if r.error_code in STANDARD else 'null'})"
+    for i, (c, r) in ALL.items()
+) + ") as m(rule_id, column_name, error_code, error_level, standard_error_message)"
 
 
 @query(
     "view_rule_report",
-    with_relations(
-        "line record",
-        f"""select job_key, line_number, case rule_id when 90 then 'Action Code' else 'Transmission ID' end as column_name,
-          case validation_result when 'Y' then 'Passed' when 'N' then 'Failed' else '' end as validation_result,
-          error_message as validation_result_error_message,
-          case rule_id when 60 then 152 when 90 then 624 else 103 end as error_code, 1 as error_level,
-          case rule_id when 60 then 'Id is missing' when 90 then 'Unknown action' else 'Duplicate id' end as standard_error_message
-        from ({OUTCOMES} union all {DUPLICATES})""",
-    ),
+    f"""{with_relations("line", "").rstrip()}, record as ({RECORD_SQL}){FLAGS}, outcome as ({engine_sql()}),
+      every as (select rule_id, validation_result, error_message, line_number from outcome
+        union all select rule_id, validation_result, error_message, line_number from ({DUPLICATES}))
+    select column_name, case validation_result when 'Y' then 'Passed' when 'N' then 'Failed' else '' end as validation_result,
+      error_code, error_level, standard_error_message, count(*) as outcomes, cast(sum(length(error_message)) as bigint) as message_chars,
+      cast(sum(line_number % 1000003) as bigint) as line_sum
+    from every join {RULES_SQL} on every.rule_id = m.rule_id group by 1, 2, 3, 4, 5""",
 )
 def view_rule_report(t: Tables):
-    outcomes = E.evaluate(t.relation("line"), R.rule_set().only(*REPORTED)).unionByName(duplicates(t))
+    """The report over all rules and lines, summed up per column, result and code."""
+    outcomes = full_outcomes(t).unionByName(duplicates(t))
     meta = rule_meta(t.spark, R.ruled_columns())
     rules = meta.select("rule_id", "file_column_id", "error_code", "error_level")
     columns = meta.select("file_column_id", "column_name").distinct()
-    codes = t.spark.createDataFrame(list(CODES.items()), "error_code int, standard_error_message string")
-    return V.rule_report(outcomes, rules, columns, codes)
+    codes = small_table(t.spark, sorted(STANDARD.items()), "error_code int, standard_error_message string")
+    report = V.rule_report(outcomes, rules, columns, codes)
+    return report.groupBy("column_name", "validation_result", "error_code", "error_level", "standard_error_message").agg(
+        F.count(F.lit(1)).alias("outcomes"),
+        F.sum(F.length("validation_result_error_message")).cast("bigint").alias("message_chars"),
+        F.sum(F.col("line_number") % 1000003).cast("bigint").alias("line_sum"),
+    )
 
 
 def tagged_sql(tags: dict[str, str]) -> str:

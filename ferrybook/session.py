@@ -6,11 +6,14 @@ import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RUNTIME = {
-    "spark.sql.session.timeZone": "UTC",
+# What results depend on; the only setting a caller's session is given.
+RUNTIME = {"spark.sql.session.timeZone": "UTC"}
+# What a session of our own starts with; others may take it over.
+STARTUP = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # a hot file, feed or id is split over several tasks at the join
@@ -22,13 +25,12 @@ RUNTIME = {
     "spark.sql.codegen.maxFields": "60",
 }
 
-# Rows a side may have and still be broadcast. The relations handed to
-# broadcast_if_small carry a few narrow columns, so this is some tens of MB.
-BROADCAST_ROWS = 500_000
+# Bytes a side may have by its plan or its stored files and still be broadcast.
+BROADCAST_BYTES = 48 << 20
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the operators rely on; all of them can change at run time."""
+    """Times of the operators are UTC."""
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
     return spark
@@ -39,6 +41,7 @@ def build(master: str = "local[*]", **extra: str) -> SparkSession:
     builder = SparkSession.builder.master(master).appName("ferrybook")
     settings = {
         **RUNTIME,
+        **STARTUP,
         "spark.ui.enabled": "false",
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -76,15 +79,31 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once, store in the shared folder, and go on from the stored rows."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute once, store in the shared folder, and go on from the stored columns."""
+    path = new_folder(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when the side has at most ``rows`` rows, else leave it to a shuffle join.
+def plan_bytes(df: DataFrame) -> int:
+    """What Spark's statistics say a relation has at most; huge where they know nothing."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    The side is settled first, so that the check costs no second computation.
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast when the side has at most ``limit`` bytes, else leave it to a shuffle join.
+
+    Where the plan's statistics do not prove it, the side is stored first and its files are measured.
     """
+    if plan_bytes(df) <= limit:
+        return F.broadcast(df)
     settled = settle(df)
-    return F.broadcast(settled) if settled.limit(rows + 1).count() <= rows else settled
+    return F.broadcast(settled) if plan_bytes(settled) <= limit else settled
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A literal relation whose size Spark knows."""
+    fields = spark.createDataFrame([], schema).schema
+    arrow = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64()}
+    columns = [pa.array([r[i] for r in rows], arrow[f.dataType.simpleString()]) for i, f in enumerate(fields)]
+    return spark.createDataFrame(pa.table(columns, names=fields.names), fields)

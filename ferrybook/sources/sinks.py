@@ -38,6 +38,12 @@ def write_outcomes(outcomes: DataFrame, path: str) -> None:
     outcomes.sortWithinPartitions("job_key", "line_number").write.parquet(path)
 
 
+def append_ledger(rows: DataFrame, path: str) -> DataFrame:
+    """Append rows to a table that only grows, and give the whole table."""
+    rows.write.mode("append").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def outbound_name(prefix: str, stamp: Column) -> Column:
     return F.upper(F.concat(F.lit(prefix), stamp, F.lit(".TXT")))
 

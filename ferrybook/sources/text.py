@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrybook.functions.text import base_name, clean_utf8, name_prefix
-from ferrybook.session import broadcast_if_small
+from ferrybook.session import broadcast_if_small, settle
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -28,18 +28,30 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
             "value",
         )
     )
-    blocks = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    raw = raw.withColumn("path", F.xxhash64("file"))  # narrow, so that the splits of a large input stay small
+    blocks = raw.groupBy("path", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     shifts = blocks.select(
-        "file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1).alias("shift")
+        "path", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1).alias("shift")
     )
-    return raw.join(broadcast_if_small(shifts), ["file", "block"]).select(
+    return raw.join(broadcast_if_small(settle(shifts)), ["path", "block"]).select(
         "file",
         (F.col("at") + F.col("shift")).alias("line_number"),
         clean_utf8(F.regexp_replace("value", r"\r\z", "")).alias("value"),
     )
 
 
+def read_merged(spark: SparkSession, path: str) -> DataFrame:
+    """``line_number, value`` of one outbound file that was written as consecutive part files."""
+    lines = read_lines(spark, path)
+    sizes = lines.groupBy("file").agg(F.count(F.lit(1)).alias("n"))  # a row per part file
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    return lines.join(broadcast_if_small(settle(shifts)), "file").select(
+        (F.col("line_number") + F.col("shift")).alias("line_number"), "value"
+    )
+
+
 def read_spec(spark: SparkSession, path: str):
     """The single row of a CSV file with a header."""
     return spark.read.option("header", True).csv(path).first()

@@ -112,7 +112,7 @@ def test_skip_and_first_value(spark):
     assert got[1, 3, 121] == (
         "N",
         "Column : Submission Number  at position 54:57 is 0002 and it does not  match the first submission value 0001."
-        " Error Code : 159, Error Level : 2",
+        " Error Code : 28, Error Level : 2",
     )
     assert (1, 3, 120) not in got
     assert max(k[2] for k in got if k[:2] == (1, 4)) == 32
@@ -142,8 +142,9 @@ def test_catalogue_to_rules(spark):
     feeds = spark.createDataFrame([(1, 7)], "feed_id int, client_id int")
     columns = spark.createDataFrame([(5, 1, "Amount", "28:38", "N")], "file_column_id int, feed_id int, file_column_name string, column_position string, is_accumulator string")
     rules = spark.createDataFrame(
-        [(50, 5, 2, "RANGE", None, "a,b", 10, 1, "Y"), (51, 5, 1, "REQUIRED", "", None, 11, 2, "Y"), (52, 5, 3, "EXTERNAL", None, None, 10, 1, "Y"), (53, 5, 4, "NUMBER", None, None, 10, 1, "N")],
-        "rule_id int, file_column_id int, priority int, validation_type string, equal_to string, list_of_values string, error_code int, error_level int, is_active string",
+        [(50, 5, 2, "RANGE", None, "a,b", None, 10, 1, "Y"), (51, 5, 1, "REQUIRED", "", None, None, 11, 2, "Y"), (52, 5, 3, "EXTERNAL", None, None, None, 10, 1, "Y"),
+         (53, 5, 4, "NUMBER", None, None, None, 10, 1, "N")],
+        "rule_id int, file_column_id int, priority int, validation_type string, equal_to string, list_of_values string, formula string, error_code int, error_level int, is_active string",
     )
     errors = spark.createDataFrame([(10, "ten"), (11, "eleven")], "error_code int, error_message string")
     (column,) = C.compile_rows(C.catalogue_rows(feeds, columns, rules, errors))
