@@ -11,7 +11,7 @@ from ferrybook.operators import sections, structure
 from ferrybook.operators.catalogue import Rule, RuledColumn
 from ferrybook.operators.layout import encode, encode_record, parse
 from ferrybook.queries.base import LOADED, SPEC, Tables, registry, with_relations
-from ferrybook.session import new_folder
+from ferrybook.session import new_folder, small_table
 from ferrybook.sources import sinks, text
 
 QUERIES, ORACLES, query = registry()
@@ -431,3 +431,22 @@ def empty_file_verdict(t: Tables):
     empty = listed.where("job_key % 50 = 0").select((F.col("job_key") + EMPTY).alias("job_key"))
     found = structure.verdict(t.relation("file"), SPEC, listing=listed.unionByName(empty))
     return found.select("job_key", "status", "error_message", "record_count")
+
+
+@query("verdict_from_spec_file", ORACLES["structure_verdict"])
+def verdict_from_spec_file(t: Tables):
+    """Verdicts of all files, with the positions read from a partner's one-row file."""
+    spans = {
+        "HEADER": SPEC.header_at, "TRAILER": SPEC.trailer_at, "HEADER_BATCH_ID": SPEC.header_batch,
+        "TRAILER_BATCH_ID": SPEC.trailer_batch, "TRAILER_RECORD_COUNT": SPEC.trailer_count,
+        "SENDER_ID": SPEC.sender_at, "RECEIVER_ID": SPEC.receiver_at,
+    }
+    row = {f"{k}_POS_{end}": str(v) for k, at in spans.items() for end, v in zip(("START", "END"), at)}
+    row |= {
+        "HEADER_IDENTIFIER": SPEC.header_id, "TRAILER_IDENTIFIER": SPEC.trailer_id,
+        "SENDER_ID_VALUE": SPEC.sender, "RECEIVER_ID_VALUE": SPEC.receiver,
+    }
+    path = new_folder(t.spark, "spec")
+    small_table(t.spark, [tuple(row.values())], ", ".join(f"{c} string" for c in row)).write.option("header", True).csv(path)
+    spec = structure.StructureSpec.from_row(text.read_spec(t.spark, path), R.LINE_LENGTH)
+    return structure.verdict(t.relation("file"), spec)
