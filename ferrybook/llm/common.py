@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,13 +21,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+_open: list[list[str]] = []  # folders written inside each open scratch block
+
+
+def stored(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """Write to a fresh folder under the shared one and go on from there: cuts lineage, survives lost executors."""
     path = new_folder(df.sparkSession, name)
+    if _open and not lasting:
+        _open[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside the block are deleted at its end, but for lasting ones: only those may be used after it."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for folder in _open.pop():
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``limit`` bytes of one text column; a longer text stands alone."""
     for batch in batches:

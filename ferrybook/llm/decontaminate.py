@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrybook.llm.common import stored
+from ferrybook.llm.common import scratch, stored
 
 WINDOW = 13
 GRAM = 5
@@ -157,6 +157,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFram
     name = "key"
     while name in (c.lower() for c in docs.columns):
         name += "_"
-    marked = hits(docs, benchmark, text).where(CONTAMINATED).select(F.col("key").alias(name)).distinct()
+    with scratch(docs.sparkSession):
+        marked = hits(docs, benchmark, text).where(CONTAMINATED).select(F.col("key").alias(name)).distinct()
+        marked = stored(marked, "marked", lasting=True)
     keyed = docs.withColumn(name, F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))))
     return keyed.join(marked, name, "left_anti").select(*docs.columns)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrybook.llm.common import id_of, node_of, pieces, stored
+from ferrybook.llm.common import id_of, node_of, pieces, scratch, stored
 from ferrybook.llm.graph import components
 from ferrybook.llm.shingles import digest, shingle_sets
 
@@ -257,7 +257,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     Of rows that repeat an id one stays. A row without id stays where no row of its group has one, and
     of such a group's equal texts one; blank rows without id all stay.
     """
-    found = stored(near_duplicates(docs, doc_id, text), "groups")
+    with scratch(docs.sparkSession):
+        found = stored(near_duplicates(docs, doc_id, text), "groups", lasting=True)
     kept = found.where("kept").select(F.col("doc_id").alias(doc_id)).distinct()
     out = docs.join(kept, doc_id, "left_semi").dropDuplicates([doc_id]).select(*docs.columns)
     nameless = docs.where(F.col(doc_id).isNull())

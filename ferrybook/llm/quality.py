@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrybook.llm.common import pieces, stored
+from ferrybook.llm.common import pieces, scratch, stored
 from ferrybook.llm.shingles import SPACES, Words
 
 SHRINKAGE = 0.2
@@ -216,6 +216,7 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 
 def accepted(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, with all their columns."""
-    model = fit(stored(featured(docs, doc_id, text), "features"), labels)
+    with scratch(docs.sparkSession):
+        model = fit(stored(featured(docs, doc_id, text), "features"), labels)
     score = _from_text(model.score if model else _unknown)(F.col(text).cast("string"))
     return docs.where(score >= ACCEPT)
