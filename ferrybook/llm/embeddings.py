@@ -1,17 +1,17 @@
-"""Embedding near-dedup by sorted projection passes.
+"""Embedding near-dedup by sorted projection passes and an exact sweep.
 
 Each pass draws ``BITS`` random hyperplanes for its seed; the signs of a vector against them, one
 after the other, are its code. All vectors are ordered by their codes, so that vectors which agree
 in a long run of leading signs become neighbours, and every vector is compared with the ``WINDOW``
 before it. Pairs with a cosine of 0.95 or more, in double precision, become links; the passes'
-links are joined to components. A pair right on the limit keeps a sign with a chance of 0.9, one at
-0.98 with 0.94; ``PASSES`` passes find nearly all of them, and a member of a larger group has many
-chances. Identical vectors are one class from the start.
-
-A group larger than the window has more links than neighbours. So the links are counted exactly
-within every component: its members are dealt to blocks of bounded size, block pairs are compared
-by matrix products, and only counts leave a task. Windows do not reach over the edge of a sorted
-partition; as every pass cuts elsewhere, this costs next to nothing.
+links are joined to components. Identical vectors are one class from the start.
+
+Windows miss links, the more so the larger the table and where many vectors lie close together. So
+the sweep compares every pair of classes once by matrix products: the vectors are dealt to chunks of
+``CHUNK_BYTES``, each chunk is sent to all tasks and met by the vectors of its own and of later
+chunks. Only counts leave a task, and those links that join two components the passes left apart,
+one per pair of components. Nothing is shuffled for it. Its products grow with the square of the
+number of distinct vectors, as those of any exact join of vectors in many dimensions do.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -28,13 +27,14 @@ from pyspark.sql import functions as F
 
 from ferrybook.llm.common import id_of, node_of, stored
 from ferrybook.llm.graph import components
+from ferrybook.session import new_folder
 
 LIMIT = 0.95
 PASSES = 12
 WINDOW = 32
 BITS = 60
-BLOCK = 512
-SLOT_ROWS = 4096
+CHUNK_BYTES = 8 << 20  # of the vectors that a sweep's job sends to its tasks
+PRODUCT_ROWS = 256  # vectors compared with a chunk at once
 SEED = 7
 
 
@@ -124,29 +124,77 @@ def _near(window: int, limit: float):
     return run
 
 
-def _links(limit: float):
-    """Per (root, block pair) of a slot, how many vectors each member links with there."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        nodes, counts = [], []
-        for (_, x, y, _), group in rows.groupby(["root", "x", "y", "dim"], sort=False):
-            units = np.stack([_unit(v) for v in group.raw])
-            own, size, node = group.own.to_numpy(), group["size"].to_numpy(), group.node.to_numpy()
-            one, two = np.flatnonzero(own == x), np.flatnonzero(own == y)
-            near = units[one] @ units[two].T >= limit
-            nodes.append(node[one])
-            if x == y:
-                np.fill_diagonal(near, False)
-                counts.append(near @ size[two])
-            else:
-                counts.append(near @ size[two])
-                nodes.append(node[two])
-                counts.append(near.T @ size[one])
-        return pd.DataFrame({"node": np.concatenate(nodes), "links": np.concatenate(counts).astype("int64")})
+def _packed(rows: pa.Table) -> dict[int, tuple]:
+    """Per byte length of the vectors: units, node, root and size of each, and the place of each digest."""
+    lengths = pc.binary_length(rows["raw"]).to_numpy()
+    out = {}
+    for length in np.unique(lengths):
+        mine = rows.filter(pa.array(lengths == length))
+        units = np.stack([_unit(x) for x in mine["raw"].to_pylist()])
+        place = {d: i for i, d in enumerate(mine["digest"].to_pylist())}
+        out[int(length)] = (units, *(mine[c].to_numpy() for c in ("node", "root", "size")), place)
+    return out
+
+
+def _swept(chunk: dict[int, tuple], limit: float):
+    """Links that vectors have with those of a chunk, counted for both sides; pairs of roots that they join."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        theirs = {length: np.zeros(len(held[1]), np.int64) for length, held in chunk.items()}
+        joined: set[tuple[int, int]] = set()
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            for length, (units, nodes, roots, sizes, _) in _packed(rows.drop_columns(["inside"])).items():
+                if length not in chunk:
+                    continue
+                mine = rows.filter(pc.equal(pc.binary_length(rows["raw"]), length))
+                inside, digests = mine["inside"].to_numpy(), mine["digest"].to_pylist()
+                others, _, other_roots, other_sizes, place = chunk[length]
+                counts = np.zeros(len(nodes), np.int64)
+                for k in range(0, len(nodes), PRODUCT_ROWS):
+                    part = slice(k, k + PRODUCT_ROWS)
+                    near = units[part] @ others.T >= limit
+                    for i in np.flatnonzero(inside[part]):
+                        near[i, place[digests[k + i]]] = False
+                    x, y = np.nonzero(near)
+                    counts[part] = np.bincount(x, other_sizes[y], len(near)).astype(np.int64)
+                    # a pair inside the chunk is met from both of its sides
+                    out = ~inside[part][x]
+                    theirs[length] += np.bincount(y[out], sizes[part][x[out]], len(others)).astype(np.int64)
+                    apart = np.stack([roots[part][x], other_roots[y]], 1)[roots[part][x] != other_roots[y]]
+                    joined.update(map(tuple, np.unique(apart, axis=0).tolist()))
+                yield _counted(nodes, counts)
+        for length, counts in theirs.items():
+            yield _counted(chunk[length][1], counts)
+        pairs = np.array(sorted(joined), np.int64).reshape(-1, 2)
+        none = pa.nulls(len(pairs), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["node", "links", "a", "b"])
 
     return run
 
 
+def _counted(nodes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    some = np.flatnonzero(counts)
+    none = pa.nulls(len(some), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(nodes[some], pa.int64()), pa.array(counts[some], pa.int64()), none, none], ["node", "links", "a", "b"]
+    )
+
+
+def _sweep(placed: DataFrame, limit: float) -> DataFrame:
+    """(node, links) and (a, b) of every pair of vectors in ``placed``: digest, node, root, size, raw."""
+    spark = placed.sparkSession
+    total = placed.agg(F.coalesce(F.sum(F.octet_length("raw")), F.lit(0))).first()[0]
+    chunks = total // CHUNK_BYTES + 1
+    dealt = stored(placed.withColumn("chunk", F.pmod(F.xxhash64("digest"), F.lit(chunks))), "dealt")
+    kind, path = "node long, links long, a long, b long", new_folder(spark, "sweep")
+    for k in range(chunks):
+        chunk = _packed(dealt.where(F.col("chunk") == k).drop("chunk").toArrow())
+        met = dealt.where(F.col("chunk") >= k).withColumn("inside", F.col("chunk") == k).drop("chunk")
+        met.mapInArrow(_swept(chunk, limit), kind).write.parquet(f"{path}/chunk={k}")
+    return spark.read.schema(kind).parquet(path)
+
+
 def near_duplicates(
     vectors: DataFrame,
     vec_id: str = "vec_id",
@@ -175,17 +223,12 @@ def near_duplicates(
     pairs = coded.mapInArrow(_near(window, limit), "a long, b long")
     same = valid.join(equal, "digest").where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
     roots = components(stored(pairs.distinct(), "near").union(same))
-    placed = held.join(roots, "node").withColumn("dim", F.octet_length("raw"))
-    members = roots.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    members = members.select("root", F.ceil(F.col("members") / BLOCK).alias("blocks"))
-    placed = placed.join(members, "root").withColumn("own", F.expr("pmod(xxhash64(node), blocks)"))
-    dealt = placed.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    dealt = dealt.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")})
-    slots = held.count() // SLOT_ROWS + 1
-    few = F.expr(f"if(blocks = 1, pmod(xxhash64(root), {slots}), xxhash64(root, x, y))")
-    dealt = dealt.select(few.alias("slot"), "root", "x", "y", "own", "dim", "node", "size", "raw")
-    found = dealt.groupBy("slot").applyInPandas(_links(limit), "node long, links long")
-    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    placed = held.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    found = _sweep(placed.select("digest", "node", "root", "size", "raw"), limit)
+    missed = found.where("a is not null").select("a", "b").distinct()
+    if missed.limit(1).count():
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(missed))
+    links = found.where("node is not null").groupBy("node").agg(F.sum("links").alias("links"))
     # of a class: its representative's links, and the other rows of the class itself
     totals = equal.join(links, F.col("rep") == F.col("node"), "left")
     totals = totals.select("digest", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"))

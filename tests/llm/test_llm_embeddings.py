@@ -1,5 +1,6 @@
 import numpy as np
 
+from ferrybook.llm import embeddings
 from ferrybook.llm.embeddings import near_duplicates
 
 
@@ -61,3 +62,15 @@ def test_odd_vectors(spark):
 
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_a_dense_table_has_all_links(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "CHUNK_BYTES", 50_000)  # several chunks
+    rng = np.random.default_rng(5)
+    centre = rng.standard_normal(24) / np.sqrt(24)
+    near = centre * np.sqrt(0.8) + rng.standard_normal((300, 24)) * np.sqrt(0.2 / 24)  # mutual cosines of about 0.8
+    near = np.concatenate([near, near[:150] + rng.standard_normal((150, 24)) * 0.06])
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.concatenate([near, near[:5], rng.standard_normal((200, 24))]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert result(near_duplicates(df, passes=2, window=1)) == brute(rows)
+    assert sum(n > 0 for n, _ in brute(rows).values()) > 150
