@@ -40,7 +40,8 @@ def shares(weights: dict[str, float], frame: int = FRAME) -> dict[str, int]:
         if rest > 0:
             out[order[i % len(order)]] += 1
         else:
-            out[max(out, key=lambda k: (out[k] - exact[k], out[k], k))] -= 1
+            # a source with one slot keeps it
+            out[max((k for k in out if out[k] > 1), key=lambda k: (out[k] - exact[k], out[k], k))] -= 1
     return out
 
 

@@ -64,3 +64,11 @@ def test_a_hot_source_keeps_all_rows(spark):
     out = mix(df)
     assert out.select("doc_id").distinct().count() == 3000
     assert out.count() < 6000
+
+
+def test_tiny_sources_beside_a_hot_one_keep_a_slot(spark):
+    parts = shares({"big": 15849, "a": 1, "b": 1})
+    assert parts == {"big": 998, "a": 1, "b": 1} and Counter(schedule(parts)) == parts
+    df = spark.range(5000).selectExpr("id as doc_id", "if(id < 4995, 'hot', concat('s', id)) as source")
+    out = mix(df, {"hot": 1e6, **{f"s{i}": 1.0 for i in range(4995, 5000)}}, frame=1000)
+    assert out.select("doc_id").distinct().count() == 5000
