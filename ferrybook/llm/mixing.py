@@ -1,12 +1,11 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Every source gets an integer share of a frame of slots; a slot takes one block of its rows. The
-``k``-th block of a source with weight ``w`` is released at ``floor((k - 1) / w)`` and due at
-``ceil(k / w)``. Taking the released block with the earliest deadline for every slot meets all
-deadlines, as the weights sum to one, so at any time a source's blocks differ by less than one from
-its weight times the slots. The schedule repeats from frame to frame, so one frame is enough: it is
-computed once from the shares, whatever the number of rows, and the slot of any block follows from
-its number.
+A slot of the mixture takes one block of a source's rows. The ``k``-th block of a source with weight
+``w`` is released at ``floor((k - 1) / w)`` and due at ``ceil(k / w)``. Taking the released block with
+the earliest deadline for every slot meets all deadlines, as the weights sum to one, so at any time a
+source's blocks differ by less than one from its weight times the slots. Weights are whole numbers
+over their sum, as exact as they were given, and the schedule runs as far as the mixture does: the
+driver computes it, one entry per slot, and rows find their slot by a join on source and block.
 
 No row is left out: the mixture ends where the last source has given all its rows once. Sources that
 would run out before start again (a new epoch). Ranks of rows within a source come from one range
@@ -17,13 +16,20 @@ from __future__ import annotations
 
 import heapq
 import math
+from array import array
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import count, islice
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrybook.llm.common import stored
+from ferrybook.session import broadcast_if_small
 
-FRAME = 1000  # slots; weights are kept to a thousandth
+FRAME = 1000  # slots of a frame, where weights are rounded to one
 BLOCK_ROWS = 8
 TEMPERATURE = 0.7
 
@@ -45,24 +51,48 @@ def shares(weights: dict[str, float], frame: int = FRAME) -> dict[str, int]:
     return out
 
 
-def schedule(parts: dict[str, int]) -> list[str]:
-    """The source of every slot of one frame, earliest deadline first."""
+def exact(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers in the ratios of the weights, each taken as the decimal number that it is written as."""
+    parts = {k: Fraction(str(v)) for k, v in weights.items()}
+    if low := sorted(k for k, v in parts.items() if v <= 0):
+        raise ValueError(f"no positive weight for {low}")
+    whole = math.lcm(*(v.denominator for v in parts.values()))
+    out = {k: int(v * whole) for k, v in parts.items()}
+    common = math.gcd(*out.values())
+    return {k: v // common for k, v in out.items()}
+
+
+def turns(parts: dict[str, int]) -> Iterator[str]:
+    """The source of every slot without end, earliest deadline first."""
     frame = sum(parts.values())
     release = lambda k, a: (k - 1) * frame // a
     due = lambda k, a: -(-k * frame // a)
     waiting = [(0, source, 1) for source in sorted(parts)]
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
-    slots = []
-    for slot in range(frame):
+    for slot in count():
         while waiting and waiting[0][0] <= slot:
             _, source, k = heapq.heappop(waiting)
             heapq.heappush(ready, (due(k, parts[source]), source, k))
         _, source, k = heapq.heappop(ready)
-        slots.append(source)
-        if k < parts[source]:
-            heapq.heappush(waiting, (release(k + 1, parts[source]), source, k + 1))
-    return slots
+        yield source
+        heapq.heappush(waiting, (release(k + 1, parts[source]), source, k + 1))
+
+
+def schedule(parts: dict[str, int]) -> list[str]:
+    """The source of every slot of one frame; the slots behind it repeat it."""
+    return list(islice(turns(parts), sum(parts.values())))
+
+
+def places(parts: dict[str, int], blocks: dict[str, int]) -> dict[str, array]:
+    """Per source the slots of its blocks, up to the slot where the last source has given all its ``blocks``."""
+    at = {k: array("q") for k in parts}
+    left = sum(blocks[k] > 0 for k in parts)
+    for slot, name in enumerate(turns(parts)):
+        at[name].append(slot)
+        left -= len(at[name]) == blocks[name]
+        if not left:
+            return at
 
 
 def tempered(counts: dict[str, int], temperature: float = TEMPERATURE) -> dict[str, float]:
@@ -76,7 +106,7 @@ def mix(
     source: str = "source",
     key: str = "doc_id",
     block_rows: int = BLOCK_ROWS,
-    frame: int = FRAME,
+    frame: int | None = None,
     temperature: float = TEMPERATURE,
 ) -> DataFrame:
     """The rows of ``docs``, some repeated, with a struct column ``mixed``: position, slot, block, epoch.
@@ -85,7 +115,8 @@ def mix(
     tempered from the sources' sizes. A source that it does not name raises an error, one without
     rows takes no part. A null source is a source, named ``None``. Rows of a source come in the order
     of a hash of ``key`` and repeated rows stay repeated. An empty table gives an empty one. A column
-    called ``mixed`` in ``docs`` is replaced. The table of sources, one row each, is held on the driver.
+    called ``mixed`` in ``docs`` is replaced. Weights have to be positive; they hold exactly, or to a share of
+    ``frame`` slots where it is given. The table of sources and the slots, one number each, are held on the driver.
     """
     spark = docs.sparkSession
     counts = {r[0]: r[1] for r in docs.groupBy(F.col(source).cast("string")).agg(F.count(F.lit(1))).collect()}
@@ -97,22 +128,21 @@ def mix(
         weights = tempered(named, temperature)
     if missing := sorted(set(named) - set(weights)):
         raise ValueError(f"no weight for {missing}")
-    parts = shares({k: weights[k] for k in named}, frame)
-    slots = schedule(parts)
-    frame = len(slots)
-    at: dict[str, list[int]] = {k: [] for k in parts}
-    for slot, name in enumerate(slots):
-        at[name].append(slot)
-
-    def slot_of(name: str, block: int) -> int:
-        return block // parts[name] * frame + at[name][block % parts[name]]
-
-    end = 1 + max(slot_of(k, (n - 1) // block_rows) for k, n in named.items())
-    given = {k: (end // frame * parts[k] + sum(s < end % frame for s in at[k])) * block_rows for k in parts}
+    targets = {k: weights[k] for k in named}
+    parts = shares(targets, frame) if frame else exact(targets)
+    at = places(parts, {k: -(-n // block_rows) for k, n in named.items()})
+    number = {k: i for i, k in enumerate(at)}
     plan = spark.createDataFrame(
-        [(k, parts[str(k)], at[str(k)], named[str(k)], given[str(k)]) for k in counts],
-        "s string, share long, slots array<long>, n long, given long",
+        [(k, number[str(k)], named[str(k)], len(at[str(k)]) * block_rows) for k in counts], "s string, number int, n long, given long"
+    )
+    slots = pa.table(
+        {
+            "number2": pa.array(np.repeat(np.arange(len(at)), [len(v) for v in at.values()]), pa.int32()),
+            "block2": pa.array(np.concatenate([np.arange(len(v)) for v in at.values()]), pa.int64()),
+            "slot": pa.array(np.concatenate([np.frombuffer(v, np.int64) for v in at.values()]), pa.int64()),
+        }
     )
+    slots = broadcast_if_small(spark.createDataFrame(slots))
     held = docs.select(
         F.struct(*docs.columns).alias("row"),
         F.col(source).cast("string").alias("s"),
@@ -133,8 +163,7 @@ def mix(
     rows = rows.withColumn("epoch", F.explode(F.expr("sequence(0L, (given - 1 - rank) div n)")))
     place = F.col("rank") + F.col("epoch") * F.col("n")
     rows = rows.withColumn("block", F.floor(place / block_rows)).withColumn("within", place % block_rows)
-    slot = F.expr("(block div share) * " + str(frame) + " + slots[cast(block % share as int)]")
-    rows = rows.withColumn("slot", slot)
+    rows = rows.join(slots, (F.col("number") == F.col("number2")) & (F.col("block") == F.col("block2")))
     mixed = F.struct((F.col("slot") * block_rows + F.col("within")).alias("position"), "slot", "block", "epoch").cast(kind)
     names = [c for c in docs.columns if c.lower() != "mixed"]
     return rows.select(*[F.col("row")[c].alias(c) for c in names], mixed.alias("mixed"))

@@ -1,10 +1,11 @@
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ferrybook.llm.mixing import mix, schedule, shares
+from ferrybook.llm.mixing import exact, mix, places, schedule, shares, tempered
 
 
 @settings(max_examples=60, deadline=None)
@@ -72,3 +73,32 @@ def test_tiny_sources_beside_a_hot_one_keep_a_slot(spark):
     df = spark.range(5000).selectExpr("id as doc_id", "if(id < 4995, 'hot', concat('s', id)) as source")
     out = mix(df, {"hot": 1e6, **{f"s{i}": 1.0 for i in range(4995, 5000)}}, frame=1000)
     assert out.select("doc_id").distinct().count() == 5000
+
+
+def test_less_than_one_block_from_the_target_weights(spark):
+    df = spark.range(8002).selectExpr("id as doc_id", "if(id < 8000, 'a', 'b') as source")
+    out = mix(df, {"a": 0.9996, "b": 0.0004}, block_rows=1).orderBy("mixed.position").collect()
+    assert len({r.doc_id for r in out}) == 8002 and [r.mixed.position for r in out] == list(range(len(out)))
+    done = 0
+    for t, r in enumerate(out, 1):
+        done += r.source == "b"
+        assert abs(done - t * Fraction(4, 10000)) < 1
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.dictionaries(st.text("abcdef", min_size=1, max_size=3), st.integers(1, 3000), min_size=1, max_size=6))
+def test_tempered_weights_hold_to_the_end(sizes):
+    parts = exact(tempered(sizes))
+    at, total = places(parts, sizes), sum(parts.values())
+    assert all(len(at[k]) >= n for k, n in sizes.items()) and any(len(at[k]) == n for k, n in sizes.items())
+    slots = sorted((s, k) for k, v in at.items() for s in v)
+    assert [s for s, _ in slots] == list(range(len(slots)))
+    done = dict.fromkeys(parts, 0)
+    for t, k in slots:
+        done[k] += 1
+        assert abs(done[k] * total - (t + 1) * parts[k]) < total
+
+
+def test_weights_have_to_be_positive():
+    with pytest.raises(ValueError):
+        exact({"a": 1.0, "b": 0.0})
