@@ -12,7 +12,7 @@ _TAIL = r"([A-Za-z0-9])[.,!?;:$%&*#]+$"
 class WordEncoder:
     """Encodes texts with a tokenizer whose tokens never hold ASCII white space, as
     ``word_bpe_49k.json``: its normalizer and pre-tokenizer treat the words between white space
-    apart, lower-case them, and cut between a letter or digit and the marks of ``_TAIL``. So ids of
+    apart, lower-case them but for special tokens, and cut between a letter or digit and the marks of ``_TAIL``. So ids of
     a text are those of its words, one after the other. ``mark`` is a special token that stands
     between words when many are encoded at once. At most ``words`` words are remembered.
     """
@@ -71,7 +71,9 @@ class WordEncoder:
         skip, sizes = pc.binary_length(cores).to_numpy(), pc.binary_length(raw).to_numpy()
         ended = np.flatnonzero(sizes > skip)
         tails = [w[k:] for w, k in zip(raw.take(pa.array(ended)).cast(pa.large_binary()).to_pylist(), skip[ended])]
-        cores = pc.if_else(pc.string_is_ascii(cores), pc.ascii_lower(cores), cores).dictionary_encode()
+        # special tokens are matched in the text as it is, before the tokenizer lower-cases the rest
+        plain = pc.and_not(pc.string_is_ascii(cores), pc.match_substring(cores, "<|"))
+        cores = pc.if_else(plain, pc.ascii_lower(cores), cores).dictionary_encode()
         tails = pa.array(tails, pa.large_binary()).cast(pa.large_string()).dictionary_encode()
         learnt = self._places(pa.concat_arrays([cores.dictionary, tails.dictionary]))
         halves = np.zeros((len(raw), 2), np.int64)  # places of a word and of the marks behind it

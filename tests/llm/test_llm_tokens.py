@@ -58,3 +58,11 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     check(spark, [])
+
+
+def test_control_strings_keep_their_case(spark):
+    texts = ["a <|ENDOFTEXT|> b", "<|EndOfText|>", "x<|StartOfText|>. Y<|endoftext|>Z!", "<| A |> <|ENDOFTEXT|>,", "A<|B <|É|>"]
+    plain, (ids, ends) = Tokenizer.from_file(PATH), WordEncoder(PATH).encode(pa.array(texts))
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in np.split(ids, ends)[:-1]] == want and want[1] != [49407]
+    check(spark, list(enumerate(texts)))
