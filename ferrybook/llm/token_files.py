@@ -29,7 +29,7 @@ from ferrybook.llm.tokens import encoder
 
 END = 1
 SAMPLE_DOCUMENTS = 1000  # the dictionary is trained on about so many, chosen by a hash of the text
-SAMPLE_IDS = 1500  # of each of them, so many ids at most
+SAMPLE_IDS = 1500  # of each of them, so many ids at most, from a place chosen by a hash of its ids
 DICTIONARY_BYTES = 32 << 10
 BLOCK_DOCUMENTS = 256
 BLOCK_BYTES = 1 << 20
@@ -51,6 +51,13 @@ def _encoded(part: pa.RecordBatch, column: int, path: str) -> Iterator[np.ndarra
         begin = end
 
 
+def _cut(ids: np.ndarray) -> bytes:
+    """At most ``SAMPLE_IDS`` consecutive ids from anywhere in a document."""
+    raw = ids.tobytes()
+    begin = zlib.crc32(raw) % (max(0, len(ids) - SAMPLE_IDS) + 1)
+    return ids[begin : begin + SAMPLE_IDS].tobytes()
+
+
 def train(docs: DataFrame, path: str, text: str = "text") -> bytes:
     """A zstandard dictionary from a bounded sample of documents; empty where the sample is too small."""
     import zstandard
@@ -64,7 +71,7 @@ def train(docs: DataFrame, path: str, text: str = "text") -> bytes:
 
     def serialized(batches):
         for part in pieces(batches, 0, SLICE_BYTES):
-            arrays = [x[:SAMPLE_IDS].tobytes() for x in _encoded(part, 0, path)]
+            arrays = [_cut(x) for x in _encoded(part, 0, path)]
             yield pa.RecordBatch.from_arrays([pa.array(arrays, pa.binary())], ["ids"])
 
     samples = [bytes(r.ids) for r in chosen.mapInArrow(serialized, "ids binary").collect()]

@@ -66,3 +66,11 @@ def test_control_strings_keep_their_case(spark):
     want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
     assert [x.tolist() for x in np.split(ids, ends)[:-1]] == want and want[1] != [49407]
     check(spark, list(enumerate(texts)))
+
+
+def test_the_dictionary_is_shaped_by_late_ids(spark):
+    phrase = "the quick brown fox jumps over one lazy dog"
+    rows = [(k, f"{k} " + "x " * 2000 + f"{phrase} {k} " * 200) for k in range(120)]
+    content = token_files.train(spark.createDataFrame(rows, "doc_id long, text string"), PATH)
+    ids = Tokenizer.from_file(PATH).encode(phrase, add_special_tokens=False).ids
+    assert np.array(ids[2:6], "<u4").tobytes() in content
