@@ -1,12 +1,15 @@
 """Information-theoretic sanitisation of personal data, with built-in functions only.
 
 Personal data found by form (mail and network addresses, card and phone numbers) are the protected
-entities. A term near an entity discloses it as far as the corpus says so: with the number of
-documents that hold the term, the entity, and the term near the entity, the point-wise mutual
-information of both is compared with the entity's own information. Their ratio is 1 for a term that
-never occurs apart from the entity, and 0 for an unrelated one. Terms at ``GENERALISE`` or more are
-generalised to a placeholder, at ``REMOVE`` or more removed, wherever they stand near the entity,
-when at least ``SUPPORT`` documents show both together.
+entities, each by itself and as one of its class, which recurs where the literal does not: a mail
+address's domain, a network, a card's issuer, a phone number's prefix. A term near an entity
+discloses it as far as the corpus says so: with the number of documents that hold the term, the
+entity, and the term near the entity, the point-wise mutual information of both is compared with the
+entity's own information. The chance of the entity given the term is smoothed towards the entity's
+own by ``PRIOR`` documents, so one meeting of two rare ones counts for much, but for less than many.
+The ratio is near 1 for a term that never occurs apart from the entity, and 0 for an unrelated one.
+Terms at ``GENERALISE`` or more for the literal or its class are generalised to a placeholder, at
+``REMOVE`` or more removed, wherever they stand near the entity.
 
 Counts cover all documents. Mentions, terms and entities are counted with partial sums before any
 shuffle; the terms' document counts come from one aggregation over all words.
@@ -33,7 +36,8 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": ".", "phone": "+"}
 WIDTH = 60  # code points on either side of an entity that are near it
 LETTERS = 4  # of a term at least
-GENERALISE, REMOVE, SUPPORT = 0.8, 0.95, 3
+GENERALISE, REMOVE, PRIOR = 0.8, 0.95, 0.5
+ISSUER, PREFIX = 6, 5  # first digits that name a card's issuer, a phone number's country and area
 TERM = rf"(?<!\S)\p{{L}}{{{LETTERS},}}+(?![^\s.,;:!?])"
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 
@@ -62,6 +66,13 @@ def _entity(kind: str, m: Column) -> Column:
     return F.lower(m) if kind == "email" else F.translate(m, "+ ().-", "") if kind in ("card", "phone") else m
 
 
+def _classed(kind: Column, entity: Column) -> Column:
+    """The literal entity and its class."""
+    wider = F.when(kind == "email", F.substring_index(entity, "@", -1)).when(kind == "ip", F.substring_index(entity, ".", 3))
+    wider = wider.otherwise(F.substring(entity, F.lit(1), F.when(kind == "card", ISSUER).otherwise(PREFIX)))
+    return F.array(F.concat_ws(":", kind, entity), F.concat_ws(":", F.lit("of"), kind, wider))
+
+
 def base_spans(text: Column) -> dict[str, Column]:
     """Per kind the places of personal data by form."""
     out = {}
@@ -128,20 +139,20 @@ def _found(docs: DataFrame, doc_id: str, text: str, keep_text: bool) -> DataFram
 def _disclosing(found: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """(row, s, e, removed): places of terms that disclose an entity near them."""
     mentions = found.where("size(mentions) > 0").select("row", F.explode("mentions").alias("x"))
-    mentions = mentions.select("row", F.concat_ws(":", "x.kind", "x.entity").alias("entity"), "x.near")
+    mentions = mentions.select("row", F.explode(_classed(F.col("x.kind"), F.col("x.entity"))).alias("entity"), "x.near")
     places = mentions.select("row", "entity", F.explode("near").alias("t")).select("row", "entity", "t.term", "t.s", "t.e")
     entities = mentions.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     both = places.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    both = stored(both.where(F.col("n_both") >= SUPPORT), "together")
+    both = stored(both, "together")
     # the same words as in the terms: runs of letters, once per document
     words = F.array_distinct(F.split(F.lower(F.col(text).cast("string")), r"[^\p{L}]+"))
     terms = docs.select(F.explode(words).alias("term")).where(F.length("term") >= LETTERS)
     terms = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     total = F.lit(float(max(1, docs.count())))
     rated = both.join(entities, "entity").join(terms, "term")
-    information = F.log(F.greatest(total, F.col("n_entity") + 1) / F.col("n_entity"))
-    mutual = F.log(F.col("n_both") * total / (F.greatest("n_term", "n_both") * F.col("n_entity")))
-    rated = rated.withColumn("share", mutual / information).where(F.col("share") >= GENERALISE)
+    chance = F.col("n_entity") / F.greatest(total, F.col("n_entity") + 1)
+    given = (F.col("n_both") + PRIOR * chance) / (F.greatest("n_term", "n_both") + PRIOR)
+    rated = rated.withColumn("share", F.log(given / chance) / -F.log(chance)).where(F.col("share") >= GENERALISE)
     rated = rated.select("entity", "term", (F.col("share") >= REMOVE).alias("removed"))
     return places.join(rated, ["entity", "term"]).groupBy("row", "s", "e").agg(F.max("removed").alias("removed"))
 

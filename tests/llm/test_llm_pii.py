@@ -73,3 +73,12 @@ def test_terms_that_disclose_are_generalised_or_removed(spark):
 
 def test_empty_table(spark):
     assert sanitise(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_terms_near_entities_that_occur_once(spark):
+    rows = [(0, "The famous Zanzibar wrote from ceo@acme.example this morning"), (1, "a Zanzibar")]
+    rows += [(10 + i, f"a Vexilology letter wrote w{i}@club.example this morning") for i in range(2)]
+    rows += [(100 + i, f"The famous letter wrote from number {i} this morning") for i in range(200)]
+    out = {r.doc_id: r for r in sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[0].text == "The famous [TERM] wrote from [EMAIL] this morning" and out[1].text == "a Zanzibar"
+    assert out[10].text == "a  letter wrote [EMAIL] this morning" and out[100].text == rows[4][1]
