@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrybook.llm import chat, decontaminate, embeddings, licenses, mixing, pii, quality, secrets, token_files
+from ferrybook.llm import align, chat, decontaminate, embeddings, licenses, lines, mixing, pii, quality, resample, secrets, token_files
 from ferrybook.llm.common import table
 from ferrybook.llm.near_dup import near_duplicates
 from ferrybook.session import new_folder
@@ -191,3 +191,35 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Quality scores of all ``documents``, learnt from the labels that are not held out."""
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of two tokenizers over all ``documents``, met on the bytes of the texts."""
+    paths = str(tokenizer_path("byte_bpe_50k.json")), str(tokenizer_path("piece_bpe_32k.model"))
+    made = align.align(table(spark, folder, "documents"), *paths, groups=False)
+    return made.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query(f"""
+with rows as materialized (
+    select doc_id, i, l, translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{CAPITALS}', '{SMALL}') as key
+    from (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents), unnest(ls) with ordinality r(l, i)),
+keepers as materialized (
+    select key, max(doc_id) as keeper from rows where length(key) >= 20 group by key having count(distinct doc_id) >= 3),
+told as (select doc_id, i, l, coalesce(keeper <> doc_id, false) as gone from rows left join keepers using (key))
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+    sha256(coalesce(string_agg(l, chr(10) order by i) filter (where not gone), '')) as kept_sha256
+from told group by doc_id
+""")
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of all ``documents`` that repeat across them, dropped but for one document."""
+    found = lines.dedup_lines(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """A draw of all ``documents`` towards the word runs of ``benchmark``."""
+    found = resample.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
