@@ -1,11 +1,11 @@
-"""File structure checks. The first error of a file wins; one aggregation gives the verdict."""
+"""File structure checks. The first error of a file wins; one hash aggregate and a few looked-up lines give the verdict."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import astuple, dataclass, fields
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrybook.functions import kinds as K
@@ -13,6 +13,7 @@ from ferrybook.functions import messages as M
 from ferrybook.functions.messages import message, quote
 from ferrybook.functions.text import strip_sql
 from ferrybook.operators.catalogue import RuledColumn
+from ferrybook.session import broadcast_if_small, settle
 
 SUCCESS, FAIL, INCOMPLETE = "Success", "Fail", "Incomplete"
 
@@ -34,6 +35,8 @@ class StructureSpec:
     sender: str
     receiver: str
 
+    columns = ()  # of a line that checks look at beside its text
+
     @classmethod
     def from_row(cls, row, line_length: int) -> StructureSpec:
         """From the one-row table partners keep their positions in."""
@@ -47,26 +50,62 @@ class StructureSpec:
             at("RECEIVER_ID"), row["SENDER_ID_VALUE"], row["RECEIVER_ID_VALUE"],
         )
 
+    def sql(self, name: str) -> str:
+        """SQL text of a number or a text."""
+        value = getattr(self, name)
+        return str(value) if isinstance(value, int) else quote(value)
+
+    def cut(self, name: str) -> str:
+        """SQL text of the slice of a line at a position."""
+        return _cut(getattr(self, name))
+
+
+class SpecColumn:
+    """The same for lines that carry their own spec in a struct column: one scan for the files of many feeds."""
+
+    NAME = "_spec"
+    columns = (NAME,)
+
+    def sql(self, name: str) -> str:
+        return f"{self.NAME}.{name}"
+
+    def cut(self, name: str) -> str:
+        at = self.sql(name)
+        return f"substring(value, {at}[0] + 1, {at}[1] - {at}[0])"
+
+
+def spec_table(spark: SparkSession, specs: Mapping[int, StructureSpec]) -> DataFrame:
+    """``feed_id, _spec``: a row per feed."""
+    spans = [f.name for f in fields(StructureSpec) if f.type.startswith("tuple")]
+    kinds = {f.name: "int" if f.name == "line_length" else "array<int>" if f.name in spans else "string" for f in fields(StructureSpec)}
+    rows = [(feed, *(list(v) if isinstance(v, tuple) else v for v in astuple(spec))) for feed, spec in sorted(specs.items())]
+    table = spark.createDataFrame(rows, "feed_id int, " + ", ".join(f"{n} {k}" for n, k in kinds.items()))
+    return table.select("feed_id", F.struct(*kinds).alias(SpecColumn.NAME))
+
+
+Spec = StructureSpec | SpecColumn
+
 
 def _cut(at: tuple[int, int]) -> str:
     return f"substring(value, {at[0] + 1}, {at[1] - at[0]})"
 
 
-def marked(lines: DataFrame, spec: StructureSpec, keep: Sequence[str]) -> DataFrame:
+def marked(lines: DataFrame, spec: Spec, keep: Sequence[str]) -> DataFrame:
     """What every check looks at, cut once per line. Narrow."""
     return lines.selectExpr(
         *keep,
+        *spec.columns,
         "line_number",
         "value",
         "length(value) as _length",
-        f"{_cut(spec.header_at)} = {quote(spec.header_id)} as _is_header",
-        f"line_number > 1 and {_cut(spec.header_at)} <> {quote(spec.header_id)}"
-        f" and {_cut(spec.trailer_at)} = {quote(spec.trailer_id)} as _is_trailer",
-        f"{strip_sql(_cut(spec.sender_at))} as _sender",
-        f"{strip_sql(_cut(spec.receiver_at))} as _receiver",
-        f"{_cut(spec.trailer_count)} as _count_text",
-        f"{_cut(spec.header_batch)} as _head_batch",
-        f"{_cut(spec.trailer_batch)} as _tail_batch",
+        f"{spec.cut('header_at')} = {spec.sql('header_id')} as _is_header",
+        f"line_number > 1 and {spec.cut('header_at')} <> {spec.sql('header_id')}"
+        f" and {spec.cut('trailer_at')} = {spec.sql('trailer_id')} as _is_trailer",
+        f"{strip_sql(spec.cut('sender_at'))} as _sender",
+        f"{strip_sql(spec.cut('receiver_at'))} as _receiver",
+        f"{spec.cut('trailer_count')} as _count_text",
+        f"{spec.cut('header_batch')} as _head_batch",
+        f"{spec.cut('trailer_batch')} as _tail_batch",
     )
 
 
@@ -74,28 +113,25 @@ def _line_message(template: str, **values: str) -> str:
     return message(template, {"line": "line_number", **values})
 
 
-def length_error(spec: StructureSpec) -> str:
-    text = message(
-        M.LINE_LENGTH, {"line": "line_number", "length": "_length"}, expected=spec.line_length
-    )
-    return f"case when _length <> {spec.line_length} then {text} end"
+def length_error(spec: Spec) -> str:
+    expected = spec.sql("line_length")
+    return f"case when _length <> {expected} then {_line_message(M.LINE_LENGTH, length='_length', expected=expected)} end"
 
 
-def header_error(spec: StructureSpec) -> str:
+def header_error(spec: Spec) -> str:
     return f"case when line_number = 1 and not _is_header then {_line_message(M.NO_HEADER)} end"
 
 
-def party_error(spec: StructureSpec) -> str:
-    sender = message(M.SENDER, {"line": "line_number", "value": "_sender"}, expected=spec.sender)
-    receiver = message(M.RECEIVER, {"line": "line_number", "value": "_receiver"}, expected=spec.receiver)
+def party_error(spec: Spec) -> str:
+    sender, receiver = spec.sql("sender"), spec.sql("receiver")
     return (
         f"case when line_number <> 1 or not _is_header then null"
-        f" when _sender <> {quote(spec.sender)} then {sender}"
-        f" when _receiver <> {quote(spec.receiver)} then {receiver} end"
+        f" when _sender <> {sender} then {_line_message(M.SENDER, value='_sender', expected=sender)}"
+        f" when _receiver <> {receiver} then {_line_message(M.RECEIVER, value='_receiver', expected=receiver)} end"
     )
 
 
-def second_header_error(spec: StructureSpec) -> str:
+def second_header_error(spec: Spec) -> str:
     return f"case when line_number > 1 and _is_header then {_line_message(M.SECOND_HEADER)} end"
 
 
@@ -133,48 +169,94 @@ def check_lines(lines: DataFrame, spec: StructureSpec, error: str, keep: Sequenc
     )
 
 
-def summarise(
-    lines: DataFrame,
-    spec: StructureSpec,
-    keep: Sequence[str] = ("job_key",),
-    detail_rules: Sequence[RuledColumn] = (),
+def _line_error(spec: Spec) -> str:
+    return f"coalesce({length_error(spec)}, {header_error(spec)}, {party_error(spec)}, {second_header_error(spec)})"
+
+
+def _good_head(spec: Spec) -> str:
+    return f"line_number = 1 and _is_header and _length = {spec.sql('line_length')}"
+
+
+def numbers(
+    lines: DataFrame, spec: Spec, keep: Sequence[str] = ("job_key",), detail_rules: Sequence[RuledColumn] = ()
 ) -> DataFrame:
-    """Everything a verdict needs, in one map-side combined aggregation per file.
+    """What a verdict needs of a file as numbers alone: one hash aggregate with partial sums.
 
-    The line after the first trailer is ``trailer + 1``, as numbered lines are consecutive there. It
-    is a second trailer exactly when the smallest trailer of the other parity is that line, so two
-    minima replace a list of trailer lines.
+    The first error is its line number and rank in one long; batches are compared by hashes. The line
+    after the first trailer is ``trailer + 1``, as numbered lines are consecutive there. It is a
+    second trailer exactly when the smallest trailer of the other parity is that line, so two minima
+    replace a list of trailer lines.
     """
-    line_error = (
-        f"coalesce({length_error(spec)}, {header_error(spec)}, {party_error(spec)}, {second_header_error(spec)})"
-    )
     work = marked(lines, spec, keep).selectExpr(
-        "*", f"{line_error} as _error", f"{detail_error(detail_rules)} as _detail_error"
-    )
-    trailer = F.col("_is_trailer")
-    even = F.col("line_number") % 2 == 0
-    return work.groupBy(*keep).agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.max("line_number").alias("last_line"),
-        F.count(F.when(F.col("line_number") > 1, F.when(~F.col("_is_header") & ~trailer, 1))).alias("details"),
-        F.min(F.when(trailer & even, F.col("line_number"))).alias("even_trailer"),
-        F.min(F.when(trailer & ~even, F.col("line_number"))).alias("odd_trailer"),
-        F.min(
-            F.when(trailer, F.struct("line_number", F.col("_count_text").alias("stated"), F.col("_tail_batch").alias("batch")))
-        ).alias("trailer"),
-        F.min(
-            F.when(
-                (F.col("line_number") == 1) & F.col("_is_header") & (F.col("_length") == spec.line_length),
-                F.struct(F.col("_sender").alias("sender"), F.col("_receiver").alias("receiver"), F.col("_head_batch").alias("batch")),
-            )
-        ).alias("header"),
-        F.min(
-            F.when(F.col("_error").isNotNull(), F.struct("line_number", F.lit(0).alias("rank"), F.col("_error").alias("message")))
-            .when(F.col("_detail_error").isNotNull(), F.struct("line_number", F.lit(2).alias("rank"), F.col("_detail_error").alias("message")))
-        ).alias("first_error"),
+        "*", f"({_line_error(spec)}) is not null as _error", f"({detail_error(detail_rules)}) is not null as _detail_error",
+        f"{_good_head(spec)} as _head",
+    )
+    return work.groupBy(*keep, *spec.columns).agg(
+        *[
+            F.expr(sql).alias(name)
+            for name, sql in {
+                "lines": "count(1)",
+                "last_line": "max(line_number)",
+                "details": "count(case when line_number > 1 and not _is_header and not _is_trailer then 1 end)",
+                "trailers": "count(case when _is_trailer then 1 end)",
+                "even_trailer": "min(case when _is_trailer and line_number % 2 = 0 then line_number end)",
+                "odd_trailer": "min(case when _is_trailer and line_number % 2 <> 0 then line_number end)",
+                "_stated": f"max(case when _is_trailer and _count_text rlike '{K.DIGITS}' then coalesce(try_cast(_count_text as bigint), -1) end)",
+                "_tail": "max(case when _is_trailer then xxhash64(_tail_batch) end)",
+                "_head": "max(case when _head then xxhash64(_head_batch) end)",
+                "_first": "min(case when _error then line_number * 4 when _detail_error then line_number * 4 + 2 end)",
+            }.items()
+        ]
+    ).withColumn("trailer_line", F.expr("least(even_trailer, odd_trailer)"))
+
+
+# A file of which the numbers alone tell that nothing is wrong: the sender and receiver are the expected ones.
+PLAIN = (
+    "_first is null and trailers = 1 and last_line = trailer_line and _head is not null"
+    " and coalesce(_stated = details, false) and _head = _tail"
+)
+
+
+def with_texts(
+    lines: DataFrame, files: DataFrame, spec: Spec, keep: Sequence[str] = ("job_key",), detail_rules: Sequence[RuledColumn] = ()
+) -> DataFrame:
+    """Rows of :func:`numbers` with ``trailer``, ``header`` and ``first_error``, from three lines of a file at most.
+
+    ``files`` are stored rows; their lines are found by a join on the file and the line number.
+    """
+    at = "array_distinct(array_compact(array(1L, trailer_line, _first div 4)))"
+    wanted = broadcast_if_small(files.select(*keep, F.explode(F.expr(at)).alias("line_number")))
+    told = marked(lines, spec, keep).join(wanted, [*keep, "line_number"]).selectExpr(
+        *keep,
+        f"""named_struct('line_number', line_number, 'error', {_line_error(spec)}, 'detail', {detail_error(detail_rules)},
+          'stated', _count_text, 'tail', _tail_batch, 'head', {_good_head(spec)}, 'batch', _head_batch,
+          'sender', _sender, 'receiver', _receiver) as line""",
+    )
+    told = told.groupBy(*keep).agg(F.collect_list("line").alias("_lines"))
+    line = "get(filter(_lines, x -> {}), 0)".format
+    return (
+        files.join(broadcast_if_small(told), list(keep), "left")
+        .selectExpr(
+            "*", f"{line('x.line_number = trailer_line')} as _t", f"{line('x.line_number = 1 and x.head')} as _h",
+            f"{line('x.line_number = _first div 4')} as _e",
+        )
+        .selectExpr(
+            *[f"`{c}`" for c in files.columns],
+            "case when _t is not null then named_struct('line_number', trailer_line, 'stated', _t.stated, 'batch', _t.tail) end as trailer",
+            "case when _h is not null then named_struct('sender', _h.sender, 'receiver', _h.receiver, 'batch', _h.batch) end as header",
+            "case when _first is not null then named_struct('line_number', _first div 4, 'rank', cast(_first % 4 as int),"
+            " 'message', coalesce(_e.error, _e.detail)) end as first_error",
+        )
     )
 
 
+def summarise(
+    lines: DataFrame, spec: Spec, keep: Sequence[str] = ("job_key",), detail_rules: Sequence[RuledColumn] = ()
+) -> DataFrame:
+    """Numbers and texts of every file."""
+    return with_texts(lines, settle(numbers(lines, spec, keep, detail_rules)), spec, keep, detail_rules)
+
+
 def after_trailer(files: DataFrame) -> DataFrame:
     """Adds the line behind the first trailer, if any, and its kind."""
     return files.selectExpr(
@@ -224,16 +306,23 @@ def check_files(
 
 def verdict(
     lines: DataFrame,
-    spec: StructureSpec,
+    spec: Spec,
     keep: Sequence[str] = ("job_key",),
     detail_rules: Sequence[RuledColumn] = (),
     listing: DataFrame | None = None,
 ) -> DataFrame:
     """One row per file: status, first error, record count, sender and receiver.
 
-    A file without a line is known from a ``listing`` of the keys alone; it has no trailer.
+    The numbers of all files are stored first; only files that do not pass by them are looked up for the
+    texts of their message. A file without a line is known from a ``listing`` of the keys alone; it
+    has no trailer. With a :class:`SpecColumn` every line carries its spec.
     """
-    files = after_trailer(summarise(lines, spec, keep, detail_rules))
+    counted = settle(numbers(lines, spec, keep, detail_rules))
+    passed = counted.where(PLAIN).selectExpr(
+        *keep, f"'{SUCCESS}' as status", "'' as error_message", "lines - 2 as record_count",
+        f"{spec.sql('sender')} as sender", f"{spec.sql('receiver')} as receiver",
+    )
+    files = after_trailer(with_texts(lines, counted.where(f"not coalesce({PLAIN}, false)"), spec, keep, detail_rules))
     found = files.selectExpr(
         "*",
         f"""array_min(array_compact(array(
@@ -259,6 +348,7 @@ def verdict(
         "coalesce(header.sender, '') as sender",
         "coalesce(header.receiver, '') as receiver",
     )
+    told = passed.unionByName(told)
     if listing is None:
         return told
     return listing.select(*keep).join(told, list(keep), "left").selectExpr(
@@ -324,24 +414,24 @@ def field_findings(lines: DataFrame, config: dict, keep: Sequence[str] = ("job_k
 
 
 def file_findings(lines: DataFrame, spec: StructureSpec, detail_id: str) -> DataFrame:
-    """The light file checks: first line a header, last line a trailer, details in between."""
-    kind = F.substring("value", spec.header_at[0] + 1, spec.header_at[1] - spec.header_at[0])
-    ends = lines.groupBy("job_key").agg(
-        F.min_by(kind, "line_number").alias("first_kind"),
-        F.max_by(kind, "line_number").alias("last_kind"),
-        F.min("line_number").alias("first_line"),
-        F.max("line_number").alias("last_line"),
+    """The light file checks: first line a header, last line a trailer, details in between.
+
+    The kind of a line is a digit behind its number, so the ends of a file are a minimum and a maximum of longs.
+    """
+    kind = spec.cut("header_at")
+    code = f"case {kind} when {quote(spec.header_id)} then 1 when {quote(spec.trailer_id)} then 2 when {quote(detail_id)} then 3 else 0 end"
+    ends = lines.selectExpr("job_key", f"line_number * 4 + {code} as _at").groupBy("job_key").agg(
+        F.min("_at").alias("first"),
+        F.max("_at").alias("last"),
         F.count(F.lit(1)).alias("lines"),
-        F.count(F.when(kind != detail_id, 1)).alias("other"),
-    )
-    outside = F.col("other") - (
-        F.when(F.col("first_kind") != detail_id, 1).otherwise(0)
-        + F.when((F.col("last_kind") != detail_id) & (F.col("lines") > 1), 1).otherwise(0)
+        F.count(F.when(F.col("_at") % 4 != 3, 1)).alias("other"),
     )
+    first, last = F.col("first") % 4, F.col("last") % 4
+    outside = F.col("other") - (first != 3).cast("int") - ((last != 3) & (F.col("lines") > 1)).cast("int")
     found = F.array_compact(
         F.array(
-            F.when(F.col("first_kind") != spec.header_id, F.lit("first line is no header")),
-            F.when(F.col("last_kind") != spec.trailer_id, F.lit("last line is no trailer")),
+            F.when(first != 1, F.lit("first line is no header")),
+            F.when(last != 2, F.lit("last line is no trailer")),
             F.when(outside > 0, F.lit("line between is no detail")),
         )
     )

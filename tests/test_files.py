@@ -1,10 +1,11 @@
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from ferrybook.operators.sections import split_sections
-from ferrybook.operators.structure import StructureSpec, verdict
+from ferrybook.operators.sections import record_counts, split_sections
+from ferrybook.operators.structure import SpecColumn, StructureSpec, file_findings, numbers, spec_table, verdict
 from ferrybook.sources import sinks, text
 
 SPEC = StructureSpec(10, "HD", (0, 2), "TR", (0, 2), (2, 4), (2, 4), (4, 6), (4, 6), (6, 8), "S1", "R1")
@@ -67,10 +68,29 @@ def test_verdicts_of_random_files(spark):
             assert got[k].record_count == 0
 
 
-def test_verdict_is_one_aggregation(spark):
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_numbers_of_files_are_hash_aggregates(spark):
     frame = spark.createDataFrame([(1, 1, HEAD)], SCHEMA)
-    plan = verdict(frame, SPEC)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    plans = [executed(x) for x in (numbers(frame, SPEC), verdict(frame, SPEC), file_findings(frame, SPEC, "DT"), record_counts(frame, 4, 6))]
+    assert not any("SortAggregate" in p for p in plans)
+    assert plans[0].count("Exchange hashpartitioning") == 1 and " Sort " not in plans[0]
+
+
+def test_specs_in_lines_give_the_verdicts_of_each_spec(spark):
+    """Files of three feeds in one scan equal a scan per feed."""
+    rng = random.Random(3)
+    specs = {1: SPEC, 2: replace(SPEC, sender="S2"), 3: replace(SPEC, line_length=12, header_id="H", header_at=(0, 1), trailer_count=(5, 6))}
+    pool = [HEAD, HEAD + "  ", "HD01S2R1  ", DETAIL, DETAIL + "  ", TAIL.format(1), TAIL.format(11) + "  ", "short"]
+    rows = [(k, i + 1, rng.choice(pool[:3] if i == 0 else pool)) for k in range(300) for i in range(rng.randint(1, 4))]
+    good = {0: [HEAD, DETAIL, TAIL.format(1)], 1: ["HD01S2R1  ", DETAIL, TAIL.format(1)], 2: [HEAD + "  ", DETAIL + "  ", TAIL.format(11) + "  "]}
+    rows += [(900 + k, i + 1, v) for k, file in good.items() for i, v in enumerate(file)]
+    lines = spark.createDataFrame(rows, SCHEMA).withColumn("feed_id", F.col("job_key") % 3 + 1)
+    got = sorted(map(tuple, verdict(lines.join(spec_table(spark, specs), "feed_id"), SpecColumn()).collect()))
+    want = [tuple(r) for f, s in specs.items() for r in verdict(lines.where(F.col("feed_id") == f), s).collect()]
+    assert got == sorted(want) and len({r[1] for r in got}) == 2
 
 
 @pytest.mark.parametrize("split", [300, 1000, 100_000])
