@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrybook.session import broadcast_if_small
@@ -60,25 +60,41 @@ def in_windows(
     )
 
 
+BUCKET_SECONDS = 3600
+
+
 def window_sums(
     points: DataFrame, moment: str, n: str, windows: DataFrame, start: str, end: str, keys: Sequence[str] = ("feed_id",)
 ) -> DataFrame:
-    """(schedule_id, n): the sum of ``n`` over the points in each window, without pairing points and windows.
+    """(schedule_id, n): the sum of ``n`` over the points in each window, both ends included, without pairs.
 
-    Points are summed per key and moment, then per key and day. A day inside a window counts as one sum;
-    only on the first and last day of a window are the day's moments compared with it.
+    A window's sum is the running sum up to its end less the running sum before its start. Points are
+    summed per moment and put in one list with the bounds; the list of each hour is summed up in order, so
+    every bound learns the sum of its hour up to it. What lies in earlier hours is a running sum over
+    the hours of a key. No point meets a window, however many windows hold it. Sums of 0 are left out.
     """
-    moments = points.groupBy(*keys, moment).agg(F.sum(n).alias("n")).withColumn("_day", F.col(moment).cast("date"))
-    days = moments.groupBy(*keys, "_day").agg(F.sum("n").alias("n"))
-    first, last = F.col(start).cast("date"), F.col(end).cast("date")
-    open_windows = windows.where(F.col(start) <= F.col(end)).select("schedule_id", *keys, start, end)
-    inner = open_windows.where(F.date_add(first, 1) <= F.date_add(last, -1)).withColumn(
-        "_day", F.explode(F.sequence(F.date_add(first, 1), F.date_add(last, -1)))
+    bucket = F.floor(F.unix_micros(F.col("_at").cast("timestamp")) / (BUCKET_SECONDS * 1_000_000))
+    moments = points.where(F.col(moment).isNotNull()).groupBy(*keys, F.col(moment).alias("_at")).agg(F.sum(n).alias("_n"))
+    moments = moments.withColumn("_bucket", bucket)
+    # a start comes before the points of its moment, an end behind them
+    ends = F.array(
+        F.struct(F.col(start).alias("at"), F.lit(0).alias("place"), F.lit(-1).alias("sign")),
+        F.struct(F.col(end).alias("at"), F.lit(2).alias("place"), F.lit(1).alias("sign")),
     )
-    edges = open_windows.withColumn("_day", F.explode(F.array_distinct(F.array(first, last))))
-    whole = days.join(broadcast_if_small(inner.select("schedule_id", *keys, "_day")), [*keys, "_day"]).select("schedule_id", "n")
-    part = moments.join(broadcast_if_small(edges), [*keys, "_day"]).where(F.col(moment).between(F.col(start), F.col(end)))
-    return whole.unionByName(part.select("schedule_id", "n")).groupBy("schedule_id").agg(F.sum("n").alias("n"))
+    bounds = windows.where(F.col(start) <= F.col(end)).select("schedule_id", *keys, F.explode(ends).alias("_b"))
+    bounds = bounds.select("schedule_id", *keys, F.col("_b.at").alias("_at"), F.col("_b.place").alias("_place"), F.col("_b.sign").alias("_sign"))
+    bounds = bounds.withColumn("_bucket", bucket)
+    both = bounds.unionByName(moments.withColumn("_place", F.lit(1)), allowMissingColumns=True)
+    inner = Window.partitionBy(*keys, "_bucket").orderBy("_at", "_place").rowsBetween(Window.unboundedPreceding, 0)
+    inside = both.withColumn("_inside", F.coalesce(F.sum("_n").over(inner), F.lit(0))).where(F.col("_sign").isNotNull())
+    # a row per key and hour: bounded by the time that is looked at
+    hours = moments.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_n"))
+    asked = bounds.select(*keys, "_bucket", F.lit(0).cast("long").alias("_n")).distinct()
+    past = Window.partitionBy(*keys, F.lit(0)).orderBy("_bucket").rangeBetween(Window.unboundedPreceding, -1)
+    before = hours.unionByName(asked).withColumn("_before", F.coalesce(F.sum("_n").over(past), F.lit(0)))
+    before = before.where(F.col("_n") == 0).select(*keys, "_bucket", "_before").distinct()
+    told = inside.join(before, [*keys, "_bucket"]).withColumn("_sum", F.col("_sign") * (F.col("_before") + F.col("_inside")))
+    return told.groupBy("schedule_id").agg(F.sum("_sum").alias("n")).where(F.col("n") != 0)
 
 
 def window_counts(points: DataFrame, moment: str, windows: DataFrame, start: str, end: str) -> DataFrame:

@@ -100,6 +100,23 @@ def test_window_sums_equal_pairs(spark, folder):
     assert got == {2: 5, 3: 12}
 
 
+def test_many_windows_of_one_day_meet_no_points(spark):
+    points = spark.range(20000).selectExpr(
+        "cast(id % 3 as int) feed_id", "timestampadd(SECOND, cast(id * 37 % 200000 as int), timestamp_ntz'2020-01-01 00:00:00') at", "id % 5 n"
+    )
+    windows = spark.range(5000).selectExpr(
+        "id schedule_id", "cast(id % 4 as int) feed_id", "timestampadd(SECOND, cast(id * 7 % 86400 as int), timestamp_ntz'2020-01-01 00:00:00') a",
+        "timestampadd(SECOND, cast(id * 7 % 86400 + id % 9000 as int), timestamp_ntz'2020-01-01 00:00:00') b",
+    )
+    for keys in (["feed_id"], []):
+        sums = D.window_sums(points, "at", "n", windows, "a", "b", keys=keys)
+        on = "at between a and b" + "".join(f" and p.{k} = w.{k}" for k in keys)
+        pairs = spark.sql(f"select schedule_id, sum(n) n from {{p}} p join {{w}} w on {on} group by 1 having sum(n) > 0", p=points, w=windows)
+        assert sorted(map(tuple, sums.collect())) == sorted(map(tuple, pairs.collect()))
+        told = plan(sums)
+        assert "NestedLoop" not in told and "Cartesian" not in told and "BETWEEN" not in told.upper()
+
+
 def test_late_receipts_are_inbound_and_stuck_feeds_alert_once(spark, folder):
     late = QUERIES["sla_late_receipt"](spark, "/root/testdata/sf0.01")
     kinds = {r.schedule_id: r.processing_type for r in Tables(spark, folder).relation("schedule").collect()}
