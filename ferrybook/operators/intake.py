@@ -13,30 +13,30 @@ from ferrybook.operators.deadlines import FILE_COUNT, at, in_windows, waiting, w
 from ferrybook.session import broadcast_if_small
 
 
-def held_files(jobs: DataFrame, feeds: DataFrame, exempt: Sequence[int] = ()) -> DataFrame:
+def held_files(jobs: DataFrame, feeds: DataFrame, exempt: Sequence[int] = (), used: DataFrame | None = None) -> DataFrame:
     """Inbound files beyond the number a feed may send per day.
 
-    Only the first few files of each feed and day are ranked, and each task sends no more than those
-    to the shuffle; the last allowed file of a day is then the bar for all others.
+    Every file that did not fail takes a place. ``used`` (feed_id, day, used) tells how many places earlier
+    runs have given away. Only the first few files of each feed and day are ranked, and each task sends no
+    more than those to the shuffle; the last allowed file of a day is then the bar for all others.
     """
     candidates = jobs.where(
         (F.col("file_type") == "INBOUND") & (F.col("status") != "Fail") & ~F.col("feed_id").isin(*exempt)
     ).select("job_key", "feed_id", "start_ts", F.col("start_ts").cast("date").alias("day"))
     most = feeds.agg(F.max("per_day")).first()[0]
     by_start = Window.partitionBy("feed_id", "day").orderBy("start_ts", "job_key")
-    bars = (
-        candidates.withColumn("place", F.row_number().over(by_start))
-        .where(F.col("place") <= F.lit(most))
-        .join(feeds.select("feed_id", "per_day"), "feed_id")
-        .where(F.col("place") == F.col("per_day"))
-        .select("feed_id", "day", F.struct("start_ts", "job_key").alias("bar"))
-    )
+    left = F.col("per_day")
+    allowed = feeds.select("feed_id", "per_day")
+    if used is not None:
+        left = left - F.coalesce("used", F.lit(0))
+    placed = candidates.withColumn("place", F.row_number().over(by_start)).where(F.col("place") <= F.lit(most)).join(allowed, "feed_id")
+    places = candidates.join(allowed, "feed_id")
+    if used is not None:
+        placed, places = (x.join(used, ["feed_id", "day"], "left") for x in (placed, places))
+    bars = placed.where(F.col("place") == left).select("feed_id", "day", F.struct("start_ts", "job_key").alias("bar"))
     beyond = candidates.join(broadcast_if_small(bars), ["feed_id", "day"]).where(F.struct("start_ts", "job_key") > F.col("bar"))
-    closed = feeds.where(F.col("per_day") <= 0).select("feed_id")  # such feeds have no first file to be the bar
-    return (
-        beyond.select("job_key", "feed_id", "day")
-        .unionByName(candidates.join(closed, "feed_id", "left_semi").select("job_key", "feed_id", "day"))
-    )
+    closed = places.where(left <= 0)  # where no place is left, there is no file to be the bar
+    return beyond.select("job_key", "feed_id", "day").unionByName(closed.select("job_key", "feed_id", "day"))
 
 
 def current_state(events: DataFrame, key: str, order: str, columns: Sequence[str]) -> DataFrame:

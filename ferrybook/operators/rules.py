@@ -210,6 +210,7 @@ def evaluate(
                 outcome = f"case when {' and '.join(conditions)} then {outcome} end"
             outcomes.append(outcome)
 
+    made = f"array({', '.join(outcomes)})" if outcomes else "cast(array() as array<struct<rule_id:int,error:string>>)"
     cutter = compiler.cutter
     first = ["first_value"] if with_first else []
     blocks = lines.selectExpr(
@@ -235,7 +236,7 @@ def evaluate(
     return (
         # The array is a projection of its own, so that it is compiled in small functions. The outer
         # form keeps Spark from copying the whole array into a "not empty" filter below the generator.
-        work.selectExpr(*keep, f"array({', '.join(outcomes)}) as outcomes")
+        work.selectExpr(*keep, f"{made} as outcomes")
         .select(*keep, F.inline_outer(wanted))
         .where(F.col("rule_id").isNotNull())
         .select(

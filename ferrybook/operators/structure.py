@@ -80,7 +80,7 @@ def spec_table(spark: SparkSession, specs: Mapping[int, StructureSpec]) -> DataF
     kinds = {f.name: "int" if f.name == "line_length" else "array<int>" if f.name in spans else "string" for f in fields(StructureSpec)}
     rows = [(feed, *(list(v) if isinstance(v, tuple) else v for v in astuple(spec))) for feed, spec in sorted(specs.items())]
     table = spark.createDataFrame(rows, "feed_id int, " + ", ".join(f"{n} {k}" for n, k in kinds.items()))
-    return table.select("feed_id", F.struct(*kinds).alias(SpecColumn.NAME))
+    return table.select("feed_id", F.struct("feed_id", *kinds).alias(SpecColumn.NAME))
 
 
 Spec = StructureSpec | SpecColumn
@@ -135,8 +135,10 @@ def second_header_error(spec: Spec) -> str:
     return f"case when line_number > 1 and _is_header then {_line_message(M.SECOND_HEADER)} end"
 
 
-def detail_error(columns: Sequence[RuledColumn]) -> str:
-    """REQUIRED and EQUALTO rules of detail lines, for feeds where they count as structure."""
+def detail_error(columns: Sequence[RuledColumn] | str) -> str:
+    """REQUIRED and EQUALTO rules of detail lines, for feeds where they count as structure; SQL text stays as it is."""
+    if isinstance(columns, str):
+        return columns
     errors = []
     for c in columns:
         v = _cut((c.start, c.end))
@@ -178,7 +180,7 @@ def _good_head(spec: Spec) -> str:
 
 
 def numbers(
-    lines: DataFrame, spec: Spec, keep: Sequence[str] = ("job_key",), detail_rules: Sequence[RuledColumn] = ()
+    lines: DataFrame, spec: Spec, keep: Sequence[str] = ("job_key",), detail_rules: Sequence[RuledColumn] | str = ()
 ) -> DataFrame:
     """What a verdict needs of a file as numbers alone: one hash aggregate with partial sums.
 
@@ -218,7 +220,7 @@ PLAIN = (
 
 
 def with_texts(
-    lines: DataFrame, files: DataFrame, spec: Spec, keep: Sequence[str] = ("job_key",), detail_rules: Sequence[RuledColumn] = ()
+    lines: DataFrame, files: DataFrame, spec: Spec, keep: Sequence[str] = ("job_key",), detail_rules: Sequence[RuledColumn] | str = ()
 ) -> DataFrame:
     """Rows of :func:`numbers` with ``trailer``, ``header`` and ``first_error``, from three lines of a file at most.
 
@@ -251,7 +253,7 @@ def with_texts(
 
 
 def summarise(
-    lines: DataFrame, spec: Spec, keep: Sequence[str] = ("job_key",), detail_rules: Sequence[RuledColumn] = ()
+    lines: DataFrame, spec: Spec, keep: Sequence[str] = ("job_key",), detail_rules: Sequence[RuledColumn] | str = ()
 ) -> DataFrame:
     """Numbers and texts of every file."""
     return with_texts(lines, settle(numbers(lines, spec, keep, detail_rules)), spec, keep, detail_rules)
@@ -308,7 +310,7 @@ def verdict(
     lines: DataFrame,
     spec: Spec,
     keep: Sequence[str] = ("job_key",),
-    detail_rules: Sequence[RuledColumn] = (),
+    detail_rules: Sequence[RuledColumn] | str = (),
     listing: DataFrame | None = None,
 ) -> DataFrame:
     """One row per file: status, first error, record count, sender and receiver.
