@@ -60,7 +60,8 @@ def test_shapes(spark):
 
 def test_terms_that_disclose_are_generalised_or_removed(spark):
     rows = [(i, f"The chairman Zanzibar wrote from ceo{7}@acme.example this morning") for i in range(5)]
-    rows += [(10 + i, f"The chairman wrote number {i} this morning without more") for i in range(30)]
+    # every word of the five but the name stands apart from the address too
+    rows += [(10 + i, f"The chairman wrote from number {i} this morning without more") for i in range(30)]
     rows += [(100, "Zanzibar")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     out = {r.doc_id: r for r in sanitise(df).collect()}

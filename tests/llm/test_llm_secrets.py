@@ -41,7 +41,7 @@ def test_shapes(spark):
     ]
     rows = list(enumerate(texts))
     by = same(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'b' as blob", "1 as path"), rows, spark)
-    assert "jwt:0:37" in by[13].spans and "pem:38:" in by[13].spans
+    assert len(texts[13].split(" ")[0]) == 38 and "jwt:0:38" in by[13].spans and "pem:39:" in by[13].spans
 
 
 def test_ledger_scans_only_what_is_new(spark):
@@ -58,7 +58,8 @@ def test_ledger_scans_only_what_is_new(spark):
     newer = [*RULES[:-1], Rule("hub", 2, "none")]
     found = scan(df, ledger, "path", rules=newer).collect()
     last = spark.read.parquet(ledger).where("rules = array('hub@2')")
-    assert count() == 7 and last.count() == 3 and sum(len(r.findings) for r in found) == 2
+    # two tokens, and the text "none here" that the rule of this run is made for
+    assert count() == 7 and last.count() == 3 and sum(len(r.findings) for r in found) == 3
     assert [r.name for r in BASE] == ["assign", "access", "hex"]
 
 
