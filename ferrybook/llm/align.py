@@ -23,10 +23,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrybook.llm.common import pieces, stored
+from ferrybook.llm.common import give_back, pieces, stored
 from ferrybook.session import broadcast_if_small
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 384 << 10
 COUNT_BYTES = 16 << 20  # stored bytes of pair counts that are still broadcast
 
 # Fixed value: how the byte-level tokenizer cuts texts before it merges bytes.
@@ -36,6 +36,7 @@ ALIGNED = (
     "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, groups_sha256 string, "
     "a array<int>, b array<int>, times array<int>"
 )
+EMPTY = ("n_a", "n_b", "n_groups", "n_links", "groups", "groups_sha256")  # not null where there are no tokens
 
 
 def _alphabet() -> dict[str, int]:
@@ -176,16 +177,6 @@ def _offsets(lists: pa.ListArray) -> pa.Array:
     return pa.array(np.cumsum([0, *pc.fill_null(pc.list_value_length(lists), 0).to_numpy()]), pa.int32())
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
-
-
-def aligner(a_path: str, b_path: str) -> Aligner:
-    """One per Python worker; it holds the two vocabularies and nothing of the texts."""
-    if (a_path, b_path) not in _ALIGNERS:
-        _ALIGNERS[a_path, b_path] = Aligner(a_path, b_path)
-    return _ALIGNERS[a_path, b_path]
-
-
 def encoded(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", text: str = "text", groups: bool = True) -> DataFrame:
     """Columns ``ALIGNED``, a row per row of ``docs``, without ``groups`` if not asked for.
 
@@ -194,22 +185,21 @@ def encoded(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", t
     """
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        aligner = Aligner(a_path, b_path)
         for part in pieces(batches, 2, SLICE_BYTES):
             texts = part.column(2).fill_null("")
             full = pc.greater(pc.binary_length(texts), 0)
-            columns = aligner(a_path, b_path).align(texts.filter(full).cast(pa.string()))
-            place = pa.array(np.where(full.to_numpy(False), np.cumsum(full.to_numpy(False)) - 1, -1))
-            place = pc.if_else(pc.less(place, 0), None, place)
-            out = [part.column(0), part.column(1)]
+            columns = aligner.align(texts.filter(full).cast(pa.string()))
+            place = np.where(full.to_numpy(False), np.cumsum(full.to_numpy(False)) - 1, -1)
+            place = pc.if_else(pa.array(place >= 0), pa.array(place), None)
+            out = {"row": part.column(0), "doc_id": part.column(1)}
             for name, column in columns.items():
-                taken = column.take(place)
-                if name.startswith("n_"):
-                    taken = taken.fill_null(0)
-                elif name.startswith("groups"):
-                    taken = taken.fill_null("")
                 if groups or name != "groups":
-                    out.append(taken)
-            yield pa.RecordBatch.from_arrays(out, ["row", "doc_id", *(c for c in columns if groups or c != "groups")])
+                    taken = column.take(place)
+                    out[name] = taken.fill_null(0 if name.startswith("n_") else "") if name in EMPTY else taken
+            yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
+        del aligner
+        give_back()
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")

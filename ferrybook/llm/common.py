@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -69,3 +71,12 @@ def node_of(doc_id: str, digest: str):
 def id_of(node: str):
     """The real id of a node, null for a stand-in."""
     return F.when(F.col(node) < STAND_IN, F.col(node))
+
+
+def give_back() -> None:
+    """Return freed memory to the system. A Python worker outlives its task, idle beside those of the next stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

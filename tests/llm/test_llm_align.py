@@ -121,5 +121,5 @@ def test_empty_table(spark):
 
 @pytest.mark.parametrize("texts", [[], ["a"], ["▁"]])
 def test_slices_without_tokens(texts):
-    made = align.aligner(A, B).align(pa.array(texts, pa.string()))
+    made = align.Aligner(A, B).align(pa.array(texts, pa.string()))
     assert [len(c) for c in made.values()] == [len(texts)] * len(made)
