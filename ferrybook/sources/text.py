@@ -12,8 +12,8 @@ from ferrybook.functions.text import base_name, clean_utf8, name_prefix
 from ferrybook.session import broadcast_if_small, settle
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``file, line_number, value`` of all text files under a path, files cut into splits as usual.
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file, line_number, value`` of all text files under a path or several, files cut into splits as usual.
 
     A line's number is its place in its split plus the lines of the file's earlier splits. Only one
     row per split is aggregated and ordered; no line is shuffled.

@@ -1,5 +1,6 @@
 """Runs over many feeds that know the runs before them."""
 
+import os
 import random
 from dataclasses import replace
 from datetime import datetime, timedelta
@@ -18,6 +19,7 @@ from ferrybook.plans import inbound
 from ferrybook.queries.base import SPEC
 from ferrybook.session import new_folder
 from ferrybook.sources.store import Store
+from ferrybook.streaming import arrivals as A
 
 FEEDS = "feed_id int, per_day int, check_structure boolean, check_details boolean, threshold double"
 JOBS = "job_key bigint, feed_id int, file_type string, file_name string, start_ts timestamp_ntz, end_ts timestamp_ntz"
@@ -141,3 +143,35 @@ def test_late_receipts_of_a_run(spark):
     assert [(r.job_key, r.schedule_id) for r in done.late.collect()] == [(1, 1)]
     with pytest.raises(ValueError, match="no name"):
         inbound.run_feeds(lines, jobs, hub.feeds, none, hub.plans, hub.store, "a/b")
+
+
+def test_files_stream_in_with_memory(spark, tmp_path):
+    """One file per trigger: splits, holds, repeated names and empty files as in one batch."""
+    landing = tmp_path / "landing"
+    (landing / "again").mkdir(parents=True)
+    text = "\n".join(v for _, _, v in lines_of(1)) + "\n"
+    details = text.splitlines(keepends=True)
+    big = details[0] + details[1] * 3000 + details[2].replace("0000000001", "0000003000")
+    files = [("FEED1_TST_HUB_1.TXT", big), ("FEED1_TST_HUB_2.TXT", text), ("again/FEED1_TST_HUB_1.TXT", text), ("FEED1_TST_HUB_3.TXT", text),
+             ("FEED2_TST_HUB_1.TXT", text), ("OTHER.TXT", text), ("FEED1_TST_HUB_0.TXT", ""), ("FEED1_TST_HUB_4.TXT", "short\n")]
+    for i, (name, body) in enumerate(files):
+        (landing / name).write_text(body)
+        os.utime(landing / name, (1_600_000_000 + i, 1_600_000_000 + i))
+    feeds = [(1, "FEED1_TST_HUB_YYMMDDHHMMSS", "INBOUND", True, 2, True, True, 1.0), (2, "FEED2_TST_HUB_MMDDYY", "INBOUND", True, 2, True, False, 1.0)]
+    kinds = "feed_id int, name_pattern string, feed_type string, is_active boolean, per_day int, check_structure boolean, check_details boolean, threshold double"
+    feeds, plans = spark.createDataFrame(feeds, kinds), Hub(spark).plans
+    none = spark.createDataFrame([], "path string")
+    store = Store(spark, new_folder(spark, "store"), "string")
+    settings = {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert A.read_lines(spark, [str(landing / files[0][0])]).rdd.getNumPartitions() > 10
+        A.stream_inbound(spark, str(landing), feeds, plans, store, none, new_folder(spark, "state"), per_batch=1)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    got = {r.job_key.split("landing/")[1]: r.state for r in store.read("files").collect()}
+    assert got == dict(zip((n for n, _ in files), ["Success", "Success", "Repeated", "Held", "Incomplete", "Unknown", "Fail", "Fail"]))
+    assert store.runs().count() == 8 and store.read("log").where("records = 3000").count() == 1
