@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ferrybook.operators.export import KEY, LEDGER, last_in_ledger, not_sent, precondition, sent_order, sent_rows, with_defaults
 from ferrybook.operators.layout import encode
 from ferrybook.session import new_folder, settle
+from ferrybook.sources.ledger import SentLedger
 from ferrybook.sources.sinks import append_ledger, merge_sections, write_merged
 
 ORDER = ("sort_key", *KEY)
@@ -123,3 +124,38 @@ def run(
     write_merged(export.file(fields, create_empty=True), ORDER, path)
     append_ledger(sent_rows(export.exported, job_key), ledger)
     return path, n
+
+
+class Clash(RuntimeError):
+    """Another export that goes first has taken some of the records."""
+
+
+def run_export(
+    ledger: SentLedger, run: str, setting: DataFrame, wanted: DataFrame, selected: DataFrame, defaults, parties: Parties,
+    moment: datetime, length: int, fields: Sequence[tuple[Column, int]], job_key: int, out_jobs: DataFrame,
+) -> tuple[str | None, int]:
+    """One export under a name, in steps that can be taken up again: intent, file, commit.
+
+    A committed run gives its file again. One that died before is finished where its file is whole, else
+    it starts anew. Records that others have sent, or are about to send, are left out; a run that
+    finds itself overtaken takes its intent back and raises :class:`Clash`.
+    """
+    ledger.recover(run)
+    done = ledger.commits().where(F.col("run") == run).first()
+    if done:
+        return done["path"], done["records"]
+    in_force = setting.select("create_empty").limit(1).collect()
+    if not in_force or not precondition(wanted, last_in_ledger(ledger.sent(), out_jobs)).first()["files"]:
+        return None, 0
+    free = selected.join(ledger.taken(run), list(KEY), "left_anti")
+    export = Export.of(with_defaults(free, defaults), parties, moment, length)
+    n = export.exported.count()
+    if not n and not in_force[0]["create_empty"]:
+        return None, 0
+    ledger.intend(run, sent_rows(export.exported, job_key), n)
+    if ledger.clash(run):
+        ledger.drop(run)
+        raise Clash(run)
+    write_merged(export.file(fields, create_empty=True), ORDER, ledger.file_of(run), "overwrite")
+    ledger.commit(run)
+    return ledger.file_of(run), n

@@ -13,8 +13,9 @@ from ferrybook.plans.outbound import Export, Parties, header_value, routing_id
 from ferrybook.queries.base import RECORD_SQL, Tables, registry, with_relations
 from ferrybook.queries.rules import all_failures, with_top
 from ferrybook.plans import outbound
-from ferrybook.session import new_folder, small_table
-from ferrybook.sources.sinks import append_ledger
+from ferrybook.session import new_folder, settle, small_table
+from ferrybook.sources.ledger import SentLedger
+from ferrybook.sources.sinks import append_ledger, write_merged
 from ferrybook.sources.text import read_merged
 
 QUERIES, ORACLES, query = registry()
@@ -339,3 +340,32 @@ def outbound_run(t: Tables):
     first = read_merged(t.spark, path).select(F.lit("first").alias("run"), "line_number", "value")
     second = small_table(t.spark, [("second", 0, "nothing newer" if again is None else again)], "run string, line_number bigint, value string")
     return first.unionByName(second)
+
+
+@query(
+    "export_recovery",
+    with_top(
+        "line job feed",
+        f"""select 'two' as run, row_number() over (order by section, sort_key, job_key, line_number) as line_number, value from ({FILE})
+        union all select 'one', 0, 'dropped' union all select 'two', 0, 'committed' union all select 'three', 0, 'nothing newer'""",
+    ),
+)
+def export_recovery(t: Tables):
+    """An export that died before its file, one that died before its commit, and one after both: all is sent once."""
+    setting = X.settings_at(t.relation("setting"), date(1997, 5, 20))
+    wanted = t.relation("job").where("file_status = 'Available' and file_type = 'INBOUND'").select("job_key")
+    chosen = settle(X.first_per_business_key(for_upstream(t), BUSINESS, ["service_date"]))
+    own = small_table(t.spark, [(EXPORT_JOB + k,) for k in range(3)], "job_key bigint")
+    ledger = SentLedger(t.spark, new_folder(t.spark, "ledger"))
+    ledger.intend("one", X.sent_rows(chosen, EXPORT_JOB), 0)
+    told = [("one", 0, ledger.recover()["one"])]
+    exported = Export.of(X.with_defaults(chosen.join(ledger.taken("two"), list(X.KEY), "left_anti"), DEFAULTS), PARTIES, MOMENT, LENGTH)
+    ledger.intend("two", X.sent_rows(exported.exported, EXPORT_JOB + 1), 0)
+    write_merged(exported.file(fields(), create_empty=True), outbound.ORDER, ledger.file_of("two"))
+    told.append(("two", 0, ledger.recover()["two"]))
+    path, _ = outbound.run_export(
+        ledger, "three", setting, wanted, chosen, DEFAULTS, PARTIES, MOMENT, LENGTH, fields(), EXPORT_JOB + 2, own
+    )
+    told.append(("three", 0, path or "nothing newer"))
+    first = read_merged(t.spark, ledger.file_of("two")).select(F.lit("two").alias("run"), "line_number", "value")
+    return first.unionByName(small_table(t.spark, told, "run string, line_number bigint, value string"))

@@ -21,10 +21,10 @@ def merge_sections(header: DataFrame, detail: DataFrame, trailer: DataFrame, ord
     return part(header, 1).unionByName(part(detail, 2)).unionByName(part(trailer, 3))
 
 
-def write_merged(merged: DataFrame, order: Sequence[str], path: str) -> None:
+def write_merged(merged: DataFrame, order: Sequence[str], path: str, mode: str = "error") -> None:
     """Write the lines in file order. The sort is a range shuffle, so part files follow each other
     and their concatenation is the outbound file; no task sees the whole file."""
-    merged.orderBy("section", *order).select("value").write.text(path)
+    merged.orderBy("section", *order).select("value").write.mode(mode).text(path)
 
 
 def write_delimited(df: DataFrame, path: str) -> None:

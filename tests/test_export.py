@@ -1,11 +1,15 @@
+import pytest
 from pyspark.sql import functions as F
 
 from ferrybook.fixtures import relations as R
 from ferrybook.operators import export as X
 from ferrybook.operators import history as H
+from ferrybook.plans import outbound
 from ferrybook.queries import QUERIES
 from ferrybook.queries.base import Tables
-from ferrybook.queries.export import BUSINESS, exported, fields, for_client
+from ferrybook.queries.export import BUSINESS, LENGTH, MOMENT, PARTIES, exported, fields, for_client
+from ferrybook.session import new_folder
+from ferrybook.sources.ledger import SentLedger
 
 
 def plan(df):
@@ -47,3 +51,65 @@ def test_no_query_runs_python_on_rows(spark, folder):
 
 def test_layout_length():
     assert R.LINE_LENGTH == 133 and len(R.rule_set().columns) == 38
+
+
+class Exports:
+    """Exports of four records whose upstream file is job 5."""
+
+    def __init__(self, spark):
+        self.spark, self.ledger = spark, SentLedger(spark, new_folder(spark, "ledger"))
+        columns = "job_key bigint, line_number bigint, service_date string, transmission_time string, tag string"
+        self.records = spark.createDataFrame([(5, k, "20200101", "10000000", "x") for k in range(4)], columns)
+
+    def run(self, name, job=10, records=None):
+        spark = self.spark
+        return outbound.run_export(
+            self.ledger, name, spark.createDataFrame([(False,)], "create_empty boolean"), spark.createDataFrame([(50,)], "job_key bigint"),
+            self.records if records is None else records, {}, PARTIES, MOMENT, LENGTH, [(F.col("tag"), 3)], job,
+            spark.createDataFrame([(k,) for k in range(10, 20)], "job_key bigint"),
+        )
+
+    def sent(self):
+        return sorted((r.job_key, r.line_number, r.out_job_key) for r in self.ledger.sent().collect())
+
+
+@pytest.mark.parametrize("step", ["intend", "clash", "write_merged", "commit"])
+def test_an_export_that_dies_anywhere_sends_each_record_once(spark, monkeypatch, step):
+    exports = Exports(spark)
+    with monkeypatch.context() as m:
+        m.setattr(outbound if step == "write_merged" else SentLedger, step, lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            exports.run("a")
+    assert exports.sent() == []
+    whole = step == "commit"
+    if step != "intend":
+        assert exports.run("b", 11) == (None, 0), "an open intent keeps its records"
+        assert exports.ledger.recover() == {"a": "committed" if whole else "dropped"}
+    path, n = exports.run("c", 12)
+    assert (path, n) == ((None, 0) if whole else (exports.ledger.file_of("c"), 4))
+    assert exports.sent() == [(5, k, 10 if whole else 12) for k in range(4)]
+    assert spark.read.text(exports.ledger.file_of("a" if whole else "c")).count() == 6
+    if not whole:
+        assert exports.run("c", 12) == (path, 4), "a committed run gives its file again"
+
+
+def test_a_run_takes_up_its_own_intent(spark, monkeypatch):
+    exports = Exports(spark)
+    with monkeypatch.context() as m:
+        m.setattr(SentLedger, "commit", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            exports.run("a")
+    assert exports.run("a") == (exports.ledger.file_of("a"), 4) and len(exports.sent()) == 4
+
+
+def test_of_two_exports_at_once_one_goes_back(spark, monkeypatch):
+    exports = Exports(spark)
+    taken = SentLedger.taken
+    with monkeypatch.context() as m:
+        # both have looked before either wrote its intent
+        m.setattr(SentLedger, "taken", lambda self, run: taken(self, run).limit(0))
+        exports.ledger.intend("a", X.sent_rows(exports.records.where("line_number < 2"), 10), 2)
+        with pytest.raises(outbound.Clash):
+            exports.run("b", 11)
+        assert exports.run("0", 12)[1] == 4, "the smaller name goes first"
+    assert exports.ledger.clash("a")
