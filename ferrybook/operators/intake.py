@@ -39,13 +39,21 @@ def held_files(jobs: DataFrame, feeds: DataFrame, exempt: Sequence[int] = (), us
     return beyond.select("job_key", "feed_id", "day").unionByName(closed.select("job_key", "feed_id", "day"))
 
 
+def latest(rows: DataFrame, key: str, order: str, columns: Sequence[str]) -> DataFrame:
+    """``key, events, order, columns``: the row of every key with the highest ``order``, and the sum of ``events``.
+
+    Counts and the highest order come from a hash aggregate over numbers; the rows that have it are then
+    looked up. Of several with the same order the highest by ``columns`` counts.
+    """
+    last = rows.groupBy(key).agg(F.sum("events").alias("events"), F.max(order).alias(order))
+    held = rows.drop("events").join(broadcast_if_small(last), [key, order])
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*[F.desc(c) for c in columns]))
+    return held.withColumn("_place", place).where("_place = 1").select(key, "events", order, *columns)
+
+
 def current_state(events: DataFrame, key: str, order: str, columns: Sequence[str]) -> DataFrame:
     """The latest event of every key, and how many there were."""
-    return (
-        events.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("events"), F.max(F.struct(order, *columns)).alias("last"))
-        .select(key, "events", "last.*")
-    )
+    return latest(events.withColumn("events", F.lit(1).cast("bigint")), key, order, columns)
 
 
 def duration_alerts(jobs: DataFrame, feeds: DataFrame) -> DataFrame:

@@ -261,6 +261,20 @@ def inbound_job_log(t: Tables):
     return store.read("log").select("job_key", "step", "state", "records")
 
 
+@query(
+    "job_log_state",
+    f"""select job_key, case when state = 'Success' then 3 else 2 end as events, case when state = 'Success' then 'loaded' else 'checked' end as step,
+      state, records from ({FEED_RUN})""",
+)
+def job_log_state(t: Tables):
+    """The state of all jobs after two runs, brought up to date after each from the newest part of the log."""
+    store = Store(t.spark, new_folder(t.spark, "store"))
+    feed_run(t, store, "one", FIRST_RUN)
+    store.job_states()
+    feed_run(t, store, "two", f"not {FIRST_RUN}")
+    return store.job_states().select("job_key", F.col("events").cast("int").alias("events"), "step", "state", "records")
+
+
 @query(
     "inbound_run",
     f"""with all_lines as ({R.line(DUCK)}), job as ({R.job(DUCK)}), feed as ({R.feed(DUCK)}), first_states as ({STATES}),

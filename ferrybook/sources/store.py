@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ferrybook.operators.intake import latest
 from ferrybook.session import broadcast_if_small
 
 NAME_BUCKETS = 64
@@ -67,6 +68,34 @@ class Store:
         columns = [c.strip().split()[0] for c in self.schema(table).split(",")]
         replace_run(rows.withColumn("run", F.lit(run)).select(*columns), self.path(table), self._parts(table))
 
+    def job_states(self) -> DataFrame:
+        """``job_key, events, event_no, step, state, records, message``: what the log says of every job last.
+
+        The state is kept as numbered snapshots. A call merges the last one with the log of the runs committed
+        since, reads no older part of the log, and writes the next snapshot; its list of runs, written
+        last, makes it count.
+        """
+        columns = ["step", "state", "records", "message"]
+        kinds = f"job_key {self.key}, events bigint, event_no bigint, step string, state string, records bigint, message string"
+        version, seen = 0, self.spark.createDataFrame([], "run string")
+        if exists(self.spark, self.path("state_runs")):
+            listed = self.spark.read.schema("run string, version int").parquet(self.path("state_runs"))
+            version = listed.agg(F.max("version")).first()[0]
+            seen = listed.where(F.col("version") == version).select("run")
+        last = self.spark.createDataFrame([], kinds)
+        if version:
+            last = self.spark.read.schema(kinds).parquet(f"{self.path('state')}/version={version}")
+        fresh = [r.run for r in self.runs().join(seen, "run", "left_anti").collect()]  # since the last call
+        if not fresh:
+            return last
+        events = self._raw("log").where(F.col("run").isin(fresh)).withColumn("events", F.lit(1).cast("bigint")).drop("run")
+        merged = latest(last.unionByName(events), "job_key", "event_no", columns)
+        path = f"{self.path('state')}/version={version + 1}"
+        merged.write.mode("overwrite").parquet(path)
+        runs = seen.union(self.spark.createDataFrame([(r,) for r in fresh], "run string"))
+        runs.write.mode("overwrite").parquet(f"{self.path('state_runs')}/version={version + 1}")
+        return self.spark.read.schema(kinds).parquet(path)
+
     def commit(self, run: str, stamp: str = "") -> None:
         """From now on the run counts."""
         self.put("runs", self.spark.range(1).select(F.lit(stamp).alias("stamp")), run)

@@ -12,7 +12,7 @@ from ferrybook.fixtures import relations as R
 from ferrybook.operators import rules as E
 from ferrybook.operators.catalogue import Rule, RuledColumn
 from ferrybook.operators.feeds import FeedPlan, evaluate_feeds, numbered
-from ferrybook.operators.intake import held_files
+from ferrybook.operators.intake import current_state, held_files
 from ferrybook.operators.layout import Layout
 from ferrybook.operators.rule_data import evaluate_from_data, is_plain, rule_table
 from ferrybook.plans import inbound
@@ -145,6 +145,29 @@ def test_late_receipts_of_a_run(spark):
         inbound.run_feeds(lines, jobs, hub.feeds, none, hub.plans, hub.store, "a/b")
 
 
+def test_job_states_follow_the_log(spark):
+    store = Store(spark, new_folder(spark, "store"))
+    kinds = "job_key bigint, event_no bigint, step string, state string, records bigint, message string"
+    rng, events = random.Random(2), []
+    assert store.job_states().count() == 0
+    for run in range(4):
+        new = [(rng.randint(1, 9), 10 * run + k, f"s{k}", rng.choice("ab"), k, "") for k in range(8)]
+        events += new
+        store.put("log", spark.createDataFrame(new, kinds), f"r{run}")
+        assert store.job_states().count() == len({e[0] for e in events[: 8 * run]}), "not committed yet"
+        store.commit(f"r{run}")
+        got = sorted(map(tuple, store.job_states().collect()))
+        want = {}
+        for e in sorted(events, key=lambda e: e[1]):
+            want[e[0]] = (e[0], want.get(e[0], (0, 0))[1] + 1, *e[1:])
+        assert got == sorted(want.values())
+    shown = store._raw("log").where(F.col("run").isin(["r3"]))._jdf.queryExecution().executedPlan().toString()
+    assert "run#" in shown.split("PartitionFilters: [")[1].split("]")[0]
+    events = spark.createDataFrame([(1, 2, "x"), (1, 2, "y"), (1, 1, "z"), (2, 5, None)], "k int, o bigint, v string")
+    assert sorted(map(tuple, current_state(events, "k", "o", ["v"]).collect())) == [(1, 3, 2, "y"), (2, 1, 5, None)]
+    assert "SortAggregate" not in current_state(events, "k", "o", ["v"])._jdf.queryExecution().executedPlan().toString()
+
+
 def test_files_stream_in_with_memory(spark, tmp_path):
     """One file per trigger: splits, holds, repeated names and empty files as in one batch."""
     landing = tmp_path / "landing"
