@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ferrybook.llm.common import pieces
-from ferrybook.llm.tokens import encoder
+from ferrybook.llm.tokens import WordEncoder, encoder
 
 END = 1
 SAMPLE_DOCUMENTS = 1000  # the dictionary is trained on about so many, chosen by a hash of the text
@@ -33,7 +33,7 @@ SAMPLE_IDS = 1500  # of each of them, so many ids at most, from a place chosen b
 DICTIONARY_BYTES = 32 << 10
 BLOCK_DOCUMENTS = 256
 BLOCK_BYTES = 1 << 20
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 
 BLOCKS = (
     "part int, block long, dictionary string, before long, doc_ids array<long>, sizes array<long>, "
@@ -41,8 +41,8 @@ BLOCKS = (
 )
 
 
-def _encoded(part: pa.RecordBatch, column: int, path: str) -> Iterator[np.ndarray]:
-    ids, ends = encoder(path).encode(part.column(column))
+def _encoded(coder: WordEncoder, texts: pa.Array) -> Iterator[np.ndarray]:
+    ids, ends = coder.encode(texts)
     begin = 0
     for end in ends:
         out = np.empty(end - begin + 1, "<u4")
@@ -70,9 +70,10 @@ def train(docs: DataFrame, path: str, text: str = "text") -> bytes:
     chosen = chosen.dropDuplicates(["h"]).orderBy("h").limit(2 * SAMPLE_DOCUMENTS).select("text")
 
     def serialized(batches):
-        for part in pieces(batches, 0, SLICE_BYTES):
-            arrays = [_cut(x) for x in _encoded(part, 0, path)]
-            yield pa.RecordBatch.from_arrays([pa.array(arrays, pa.binary())], ["ids"])
+        with encoder(path) as words:
+            for part in pieces(batches, 0, SLICE_BYTES):
+                arrays = [_cut(x) for x in _encoded(words, part.column(0))]
+                yield pa.RecordBatch.from_arrays([pa.array(arrays, pa.binary())], ["ids"])
 
     samples = [bytes(r.ids) for r in chosen.mapInArrow(serialized, "ids binary").collect()]
     try:
@@ -104,15 +105,16 @@ def write(docs: DataFrame, folder: str, path: str, doc_id: str = "doc_id", text:
             row += [np.cumsum([len(f) for _, _, f in held]).tolist(), b"".join(f for _, _, f in held)]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
 
-        for piece in pieces(batches, 1, SLICE_BYTES):
-            for doc, ids in zip(piece.column(0).to_pylist(), _encoded(piece, 1, path)):
-                frame = coder.compress(ids.tobytes())
-                held.append((doc, len(ids), frame))
-                size += len(frame)
-                total += len(ids)
-                if len(held) == BLOCK_DOCUMENTS or size >= BLOCK_BYTES:
-                    yield flush()
-                    block, before, held, size = block + 1, total, [], 0
+        with encoder(path) as words:
+            for piece in pieces(batches, 1, SLICE_BYTES):
+                for doc, ids in zip(piece.column(0).to_pylist(), _encoded(words, piece.column(1))):
+                    frame = coder.compress(ids.tobytes())
+                    held.append((doc, len(ids), frame))
+                    size += len(frame)
+                    total += len(ids)
+                    if len(held) == BLOCK_DOCUMENTS or size >= BLOCK_BYTES:
+                        yield flush()
+                        block, before, held, size = block + 1, total, [], 0
         if held:
             yield flush()
 

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from ferrybook.llm.common import give_back
+
+GROUP = 5000  # words that are encoded at once
 _TAIL = r"([A-Za-z0-9])[.,!?;:$%&*#]+$"
 
 
@@ -14,26 +21,28 @@ class WordEncoder:
     ``word_bpe_49k.json``: its normalizer and pre-tokenizer treat the words between white space
     apart, lower-case them but for special tokens, and cut between a letter or digit and the marks of ``_TAIL``. So ids of
     a text are those of its words, one after the other. ``mark`` is a special token that stands
-    between words when many are encoded at once. At most ``words`` words are remembered.
+    between words when many are encoded at once. Words are remembered up to about ``limit`` bytes.
     """
 
-    def __init__(self, path: str, mark: str = "<|endoftext|>", words: int = 700_000):
+    def __init__(self, path: str, mark: str = "<|endoftext|>", limit: int = 128 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.mark, self.mark_id, self.words = mark, self.tokenizer.token_to_id(mark), words
+        self.mark, self.mark_id, self.limit = mark, self.tokenizer.token_to_id(mark), limit
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {"": 0}
-        self.flat = np.zeros(1 << 20, np.uint32)
-        self.ends = np.zeros(1 << 18, np.int64)  # of the pool's words; the empty word is the first
-        self.count = 1
+        self.flat = np.zeros(1 << 18, np.uint32)
+        self.ends = np.zeros(1 << 16, np.int64)  # of the pool's words; the empty word is the first
+        self.count, self.size = 1, 0
 
     def _learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), 500):
-            group = words[i : i + 500]
-            ids = np.array(self.tokenizer.encode(self.mark.join(group), add_special_tokens=False).ids, np.uint32)
+        for i in range(0, len(words), GROUP):
+            group = words[i : i + GROUP]
+            # without the offsets in the text, which nobody asks for
+            made = self.tokenizer.encode_batch_fast([self.mark.join(group)], add_special_tokens=False)
+            ids = np.array(made[0].ids, np.uint32)
             cuts = np.flatnonzero(ids == self.mark_id)
             sizes = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
             self._add(group, ids[ids != self.mark_id], sizes)
@@ -48,10 +57,12 @@ class WordEncoder:
         self.ends[self.count : self.count + len(group)] = used + np.cumsum(sizes)
         self.known.update(zip(group, range(self.count, self.count + len(group))))
         self.count += len(group)
+        # a text, its entry in the table of words, its number and its ids
+        self.size += sum(map(len, group)) + 200 * len(group) + 4 * len(ids)
 
     def _places(self, distinct: pa.Array) -> np.ndarray:
         words = distinct.to_pylist()
-        if self.count > self.words:
+        if self.size > self.limit:
             self._forget()
         fresh = [w for w in words if w not in self.known]
         marked = [w for w in fresh if "<|" in w]  # may hold special tokens themselves
@@ -103,11 +114,30 @@ def _gathered(pool: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> tupl
     return pool[at], ends
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+IDLE_SECONDS = 4.0
+
+_HELD: dict[str, WordEncoder] = {}
+_LOCK = threading.Lock()
+
+
+def _drop(path: str) -> None:
+    with _LOCK:
+        _HELD.pop(path, None)
+    give_back()
 
 
-def encoder(path: str) -> WordEncoder:
-    """One per Python worker, kept from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+@contextmanager
+def encoder(path: str) -> Iterator[WordEncoder]:
+    """An encoder for the length of a task. The next task of the worker goes on with it, with the words that it
+    remembers; where none comes within ``IDLE_SECONDS``, it is dropped."""
+    with _LOCK:
+        made = _HELD.pop(path, None)
+    made = made or WordEncoder(path)
+    try:
+        yield made
+    finally:
+        with _LOCK:
+            _HELD[path] = made
+        timer = threading.Timer(IDLE_SECONDS, _drop, [path])
+        timer.daemon = True
+        timer.start()

@@ -18,7 +18,7 @@ ODD = [
 
 def test_words_give_the_ids_of_texts(spark, folder):
     texts = ODD + [r.text for r in spark.read.parquet(f"{folder}/documents.parquet").select("text").limit(150).collect()]
-    plain, encoder = Tokenizer.from_file(PATH), WordEncoder(PATH, words=500)
+    plain, encoder = Tokenizer.from_file(PATH), WordEncoder(PATH, limit=100_000)
     for k in range(0, len(texts), 20):
         ids, ends = encoder.encode(pa.array(texts[k : k + 20], pa.string()))
         begin = 0
