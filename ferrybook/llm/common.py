@@ -9,7 +9,8 @@ from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrybook.session import new_folder
@@ -35,6 +36,17 @@ def stored(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def file_order(df: DataFrame) -> list[Column]:
+    """Sort keys of the order in which the rows of a written table lie in its part files; none for other frames."""
+    try:
+        about = df.metadataColumn("_metadata")
+        df.select(about["row_index"]).schema
+    except AnalysisException:
+        return []
+    part = F.regexp_extract(about["file_name"], r"^part-(\d+)", 1).cast("long")
+    return [part, about["file_name"], about["row_index"]]
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables stored inside the block are deleted at its end, but for lasting ones: only those may be used after it."""

@@ -4,8 +4,16 @@ A slot of the mixture takes one block of a source's rows. The ``k``-th block of
 ``w`` is released at ``floor((k - 1) / w)`` and due at ``ceil(k / w)``. Taking the released block with
 the earliest deadline for every slot meets all deadlines, as the weights sum to one, so at any time a
 source's blocks differ by less than one from its weight times the slots. Weights are whole numbers
-over their sum, as exact as they were given, and the schedule runs as far as the mixture does: the
-driver computes it, one entry per slot, and rows find their slot by a join on source and block.
+over their sum, as exact as they were given.
+
+The slots are cut into segments, and each segment is scheduled by a task of its own, from the weights
+alone. For that the segments agree on how many blocks every source has given at their bounds. A bound
+is rounded from the weights first: all blocks that are due, and those next due for the slots that are
+left. Earliest deadlines first meet every deadline from there on, if not the schedule before it. So
+the counts that hold at a bound are those that such a run over the whole segment in front of it ends
+with. What starts from one bound's counts can reach the next one's: before the end the blocks in a span
+of slots are never more than its slots because the start allows a schedule, up to the end because the
+end was met by one. Rows find their slot by a join on source and block.
 
 No row is left out: the mixture ends where the last source has given all its rows once. Sources that
 would run out before start again (a new epoch). Ranks of rows within a source come from one range
@@ -16,14 +24,13 @@ from __future__ import annotations
 
 import heapq
 import math
-from array import array
 from collections.abc import Iterator
 from fractions import Fraction
-from itertools import count, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ferrybook.llm.common import stored
@@ -31,6 +38,8 @@ from ferrybook.session import broadcast_if_small
 
 FRAME = 1000  # slots of a frame, where weights are rounded to one
 BLOCK_ROWS = 8
+SEGMENT = 1 << 18  # slots that one task schedules, or more where a source has less than a block in them
+BATCH = 1 << 16
 TEMPERATURE = 0.7
 
 
@@ -62,37 +71,97 @@ def exact(weights: dict[str, float]) -> dict[str, int]:
     return {k: v // common for k, v in out.items()}
 
 
-def turns(parts: dict[str, int]) -> Iterator[str]:
-    """The source of every slot without end, earliest deadline first."""
-    frame = sum(parts.values())
-    release = lambda k, a: (k - 1) * frame // a
-    due = lambda k, a: -(-k * frame // a)
-    waiting = [(0, source, 1) for source in sorted(parts)]
+def turns(parts: list[int], slot: int, given: list[int], until: tuple[int, list[int]] | None = None) -> Iterator[int]:
+    """The source of every slot from ``slot`` on, earliest deadline first, where the sources have ``given`` so many blocks.
+
+    With ``until``, a slot and the blocks given before it, it ends there; the order of deadlines is the same for those
+    behind that slot.
+    """
+    frame = sum(parts)
+
+    def entry(source: int, k: int) -> tuple[int, int, int]:
+        return (k - 1) * frame // parts[source], source, k
+
+    def left(source: int, k: int) -> bool:
+        return until is None or k <= until[1][source]
+
+    waiting = [entry(i, n + 1) for i, n in enumerate(given) if left(i, n + 1)]
     heapq.heapify(waiting)
-    ready: list[tuple[int, str, int]] = []
-    for slot in count():
+    ready: list[tuple[int, int, int]] = []
+    while until is None or slot < until[0]:
         while waiting and waiting[0][0] <= slot:
             _, source, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (due(k, parts[source]), source, k))
+            heapq.heappush(ready, (-(-k * frame // parts[source]), source, k))
         _, source, k = heapq.heappop(ready)
         yield source
-        heapq.heappush(waiting, (release(k + 1, parts[source]), source, k + 1))
+        if left(source, k + 1):
+            heapq.heappush(waiting, entry(source, k + 1))
+        slot += 1
 
 
 def schedule(parts: dict[str, int]) -> list[str]:
     """The source of every slot of one frame; the slots behind it repeat it."""
-    return list(islice(turns(parts), sum(parts.values())))
+    names = sorted(parts)
+    return [names[i] for i in islice(turns([parts[k] for k in names], 0, [0] * len(names)), sum(parts.values()))]
+
+
+def rounded(parts: list[int], slot: int) -> list[int]:
+    """Blocks of every source before ``slot``: all that are due, and those next due for the slots that are left."""
+    frame = sum(parts)
+    out = [slot * a // frame for a in parts]
+    part = [i for i, a in enumerate(parts) if slot * a % frame]
+    part.sort(key=lambda i: (-(-(out[i] + 1) * frame // parts[i]), i))
+    for i in part[: slot - sum(out)]:
+        out[i] += 1
+    return out
+
+
+def bound(parts: list[int], number: int, length: int) -> list[int]:
+    """Blocks that every source has given before segment ``number`` begins."""
+    if not number:
+        return [0] * len(parts)
+    out = rounded(parts, (number - 1) * length)
+    for source in islice(turns(parts, (number - 1) * length, list(out)), length):
+        out[source] += 1
+    return out
+
+
+def segment_length(parts: list[int], least: int = SEGMENT) -> int:
+    """Slots of a segment: every source has a block in it."""
+    return max(least, -(-sum(parts) // min(parts)))
+
+
+def segment(parts: list[int], number: int, length: int) -> Iterator[int]:
+    """The source of every slot of one segment."""
+    end = (number + 1) * length, bound(parts, number + 1, length)
+    return turns(parts, number * length, bound(parts, number, length), end)
 
 
-def places(parts: dict[str, int], blocks: dict[str, int]) -> dict[str, array]:
-    """Per source the slots of its blocks, up to the slot where the last source has given all its ``blocks``."""
-    at = {k: array("q") for k in parts}
-    left = sum(blocks[k] > 0 for k in parts)
-    for slot, name in enumerate(turns(parts)):
-        at[name].append(slot)
-        left -= len(at[name]) == blocks[name]
-        if not left:
-            return at
+def _scheduled(parts: list[int], length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number in batch.column(0).to_pylist():
+                slot, given = number * length, np.array(bound(parts, number, length), np.int64)
+                order = segment(parts, number, length)
+                while len(sources := np.fromiter(islice(order, BATCH), np.int32)):
+                    blocks = np.empty(len(sources), np.int64)
+                    for i in np.unique(sources):
+                        mine = np.flatnonzero(sources == i)
+                        blocks[mine] = given[i] + np.arange(len(mine))
+                        given[i] += len(mine)
+                    slots = np.arange(slot, slot + len(sources))
+                    slot += len(sources)
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in (sources, blocks, slots)], ["number2", "block2", "slot"])
+
+    return run
+
+
+def scheduled(spark: SparkSession, parts: list[int], slots: int, least: int = SEGMENT) -> DataFrame:
+    """(number2, block2, slot): the source, by its number in ``parts``, and its block for at least ``slots`` slots."""
+    length = segment_length(parts, least)
+    segments = -(-slots // length)
+    numbers = spark.range(0, segments, 1, min(segments, 100_000))
+    return numbers.mapInArrow(_scheduled(parts, length), "number2 int, block2 long, slot long")
 
 
 def tempered(counts: dict[str, int], temperature: float = TEMPERATURE) -> dict[str, float]:
@@ -108,6 +177,7 @@ def mix(
     block_rows: int = BLOCK_ROWS,
     frame: int | None = None,
     temperature: float = TEMPERATURE,
+    segment_slots: int = SEGMENT,
 ) -> DataFrame:
     """The rows of ``docs``, some repeated, with a struct column ``mixed``: position, slot, block, epoch.
 
@@ -116,7 +186,7 @@ def mix(
     rows takes no part. A null source is a source, named ``None``. Rows of a source come in the order
     of a hash of ``key`` and repeated rows stay repeated. An empty table gives an empty one. A column
     called ``mixed`` in ``docs`` is replaced. Weights have to be positive; they hold exactly, or to a share of
-    ``frame`` slots where it is given. The table of sources and the slots, one number each, are held on the driver.
+    ``frame`` slots where it is given. Texts may be of any length. The driver holds the table of sources alone.
     """
     spark = docs.sparkSession
     counts = {r[0]: r[1] for r in docs.groupBy(F.col(source).cast("string")).agg(F.count(F.lit(1))).collect()}
@@ -130,19 +200,22 @@ def mix(
         raise ValueError(f"no weight for {missing}")
     targets = {k: weights[k] for k in named}
     parts = shares(targets, frame) if frame else exact(targets)
-    at = places(parts, {k: -(-n // block_rows) for k, n in named.items()})
-    number = {k: i for i, k in enumerate(at)}
-    plan = spark.createDataFrame(
-        [(k, number[str(k)], named[str(k)], len(at[str(k)]) * block_rows) for k in counts], "s string, number int, n long, given long"
-    )
-    slots = pa.table(
-        {
-            "number2": pa.array(np.repeat(np.arange(len(at)), [len(v) for v in at.values()]), pa.int32()),
-            "block2": pa.array(np.concatenate([np.arange(len(v)) for v in at.values()]), pa.int64()),
-            "slot": pa.array(np.concatenate([np.frombuffer(v, np.int64) for v in at.values()]), pa.int64()),
-        }
+    names = sorted(parts)
+    number = {k: i for i, k in enumerate(names)}
+    blocks = {k: -(-n // block_rows) for k, n in named.items()}
+    # the block that a source ends with is due there
+    slots = max(-(-blocks[k] * sum(parts.values()) // parts[k]) for k in names)
+    slots = stored(scheduled(spark, [parts[k] for k in names], slots, segment_slots), "slots")
+    lasts = F.broadcast(spark.createDataFrame([(number[k], blocks[k] - 1) for k in names], "number int, block long"))
+    end = slots.join(lasts, (F.col("number") == F.col("number2")) & (F.col("block") == F.col("block2"))).agg(F.max("slot")).first()[0]
+    slots = slots.where(F.col("slot") <= end)
+    given = {r[0]: r[1] * block_rows for r in slots.groupBy("number2").agg(F.count(F.lit(1))).collect()}
+    plan = F.broadcast(
+        spark.createDataFrame(
+            [(k, number[str(k)], named[str(k)], given[number[str(k)]]) for k in counts], "s string, number int, n long, given long"
+        )
     )
-    slots = broadcast_if_small(spark.createDataFrame(slots))
+    slots = broadcast_if_small(slots)
     held = docs.select(
         F.struct(*docs.columns).alias("row"),
         F.col(source).cast("string").alias("s"),

@@ -254,25 +254,43 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of every group of near-duplicates, with all its columns: the one with the smallest id.
 
-    Of rows that repeat an id one stays. A row without id stays where no row of its group has one, and
-    of such a group's equal texts one; blank rows without id all stay.
+    Of rows that repeat an id and its text one stays. Different texts under one id are different
+    documents: one of them goes by the id, the others have none. A row without id stays where no row of
+    its group has one, and of such a group's equal texts one; blank rows without id all stay.
     """
+    own, name = _free("own", docs), _free("digest", docs)
+    named = _one_text_an_id(docs, doc_id, text, own)
     with scratch(docs.sparkSession):
-        found = stored(near_duplicates(docs, doc_id, text), "groups", lasting=True)
-    kept = found.where("kept").select(F.col("doc_id").alias(doc_id)).distinct()
-    out = docs.join(kept, doc_id, "left_semi").dropDuplicates([doc_id]).select(*docs.columns)
-    nameless = docs.where(F.col(doc_id).isNull())
+        found = stored(near_duplicates(named, own, text), "groups", lasting=True)
+    kept = found.where("kept").select(F.col("doc_id").alias(own)).distinct()
+    out = named.join(kept, own, "left_semi").dropDuplicates([own]).select(*docs.columns)
+    nameless = named.where(F.col(own).isNull())
     if not nameless.limit(1).count():
         return out
-    name = "digest"
-    while name in (c.lower() for c in docs.columns):
-        name += "_"
     made = nameless.withColumn(name, F.arrow_udf(_digest_column, "binary")(F.col(text).cast("string")))
     alone = found.where("doc_id is null and digest is not null and node = root").select(F.col("digest").alias(name)).distinct()
     some = made.join(alone, name, "left_semi").dropDuplicates([name]).select(*docs.columns)
     return out.union(some).union(made.where(F.col(name).isNull()).select(*docs.columns))
 
 
+def _free(name: str, df: DataFrame) -> str:
+    while name in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
+def _one_text_an_id(docs: DataFrame, doc_id: str, text: str, own: str) -> DataFrame:
+    """``docs`` with a column ``own``: the id, or null where the text is not the one that goes by it."""
+    code = F.xxhash64(F.col(text).cast("string"))
+    several = docs.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).cast("long").alias(own)).agg(F.min(code).alias("lo"), F.max(code).alias("hi"))
+    several = stored(several.where("lo <> hi").select(own, "lo"), "several", lasting=True)
+    if not several.limit(1).count():
+        return docs.withColumn(own, F.col(doc_id).cast("long"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).cast("long").alias(own), code.alias("code"))
+    rows = rows.join(several, own, "left")
+    return rows.select("row.*", F.when(F.col("lo").isNull() | (F.col("lo") == F.col("code")), F.col(own)).alias(own))
+
+
 def _digest_column(texts: pa.Array) -> pa.Array:
     parts = pieces([pa.RecordBatch.from_arrays([texts], ["text"])], 0)
     made = [digest(s) if len(s) else None for part in parts for s in shingle_sets(part.column(0))]

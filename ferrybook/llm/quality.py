@@ -157,9 +157,12 @@ def _calibrated(model: Model, bins: np.ndarray, zeros: np.ndarray, ones: np.ndar
 
 
 def fit(feats: DataFrame, labels: DataFrame, label: str = "quality", shrinkage: float = SHRINKAGE) -> Model | None:
-    """The model of all labelled rows that are not held out; None where a class has fewer than two."""
+    """The model of all labelled rows that are not held out; None where a class has fewer than two.
+
+    A document labelled more than once counts with the smallest label.
+    """
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
-    marked = marked.where("y in (0, 1) and doc_id is not null").dropDuplicates(["doc_id"]).where(~held_out())
+    marked = marked.where("y in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("y").alias("y")).where(~held_out())
     train = stored(feats.join(marked, "doc_id").select("y", "f"), "train")
     upper = [(i, j) for i in range(FEATURES) for j in range(i, FEATURES)]
     sums = [F.sum(F.col("f")[i]) for i in range(FEATURES)] + [F.sum(F.col("f")[i] * F.col("f")[j]) for i, j in upper]
@@ -205,7 +208,7 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 
     Only the text enters a score; a null or blank one has a score like any other. Without training
     rows of both classes every score is 0.5. Repeated rows score alike; a document labelled more than
-    once counts with one of its labels. An empty table gives no rows; other columns are not read.
+    once counts with the smallest label. Long texts are read whole. An empty table gives no rows; other columns are not read.
     """
     feats = stored(featured(docs, doc_id, text), "features")
     model = fit(feats, labels)
@@ -215,7 +218,11 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 
 
 def accepted(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject, with all their columns."""
+    """The rows of ``docs`` that the classifier does not reject, with all their columns.
+
+    Null, empty and long texts are scored like others, repeated rows alike. Without training rows of both
+    classes all rows stay. An empty table gives an empty one; columns of any name pass through.
+    """
     with scratch(docs.sparkSession):
         model = fit(stored(featured(docs, doc_id, text), "features"), labels)
     score = _from_text(model.score if model else _unknown)(F.col(text).cast("string"))

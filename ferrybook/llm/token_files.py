@@ -8,20 +8,21 @@ after the other, ``ends`` where each frame ends in it, ``doc_ids`` and ``sizes``
 the documents, ``before`` the ids of the same part before the block. So a document is read with one
 block's index and one short frame.
 
-Documents are sorted by id over parts and blocks (null ids first, repeated ids side by side). A part
-is a range of ids that one task wrote; no task holds more than a block of compressed documents.
+Documents are sorted by id over parts and blocks (null ids first, repeated ids side by side), or as the
+caller says. A part is a range of that order that one task wrote; no task holds more than a block of
+compressed documents.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ferrybook.llm.common import pieces
@@ -59,7 +60,10 @@ def _cut(ids: np.ndarray) -> bytes:
 
 
 def train(docs: DataFrame, path: str, text: str = "text") -> bytes:
-    """A zstandard dictionary from a bounded sample of documents; empty where the sample is too small."""
+    """A zstandard dictionary from a bounded sample of documents; empty where the sample is too small.
+
+    Null texts count as empty ones, of equal texts one is taken, of a long one a cut. Other columns are not read.
+    """
     import zstandard
 
     rows = docs.count()
@@ -82,10 +86,14 @@ def train(docs: DataFrame, path: str, text: str = "text") -> bytes:
         return b""
 
 
-def write(docs: DataFrame, folder: str, path: str, doc_id: str = "doc_id", text: str = "text") -> None:
+def write(
+    docs: DataFrame, folder: str, path: str, doc_id: str = "doc_id", text: str = "text", order: Sequence[Column] | None = None
+) -> None:
     """Encode all documents with the tokenizer at ``path``, end each with id 1, and write them in id order.
 
-    A null text is an empty one: it has the end id alone. Other columns are not read.
+    ``order`` names columns to sort by in place of the id. A null text is an empty one: it has the end
+    id alone. Long texts are encoded alone. Ties lie in the order of the input, repeated rows are all
+    written, an empty table gives files without documents. Other columns are not read, whatever their names.
     """
     spark = docs.sparkSession
     content = train(docs, path, text)
@@ -121,10 +129,16 @@ def write(docs: DataFrame, folder: str, path: str, doc_id: str = "doc_id", text:
     many = pa.list_(pa.int64())
     types = [pa.int32(), pa.int64(), pa.string(), pa.int64(), many, many, many, pa.binary()]
     names = ["part", "block", "dictionary", "before", "doc_ids", "sizes", "ends", "payload"]
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    # a much repeated id is spread over parts by the place of its rows in the input
-    rows = rows.withColumn("place", F.monotonically_increasing_id())
-    rows = rows.repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place").select("doc_id", "text")
+    keys = [F.col(doc_id).cast("long")] if order is None else order
+    names_of_keys = [f"key{i}" for i in range(len(keys))]
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"),
+        F.col(text).cast("string").alias("text"),
+        *[k.alias(n) for k, n in zip(keys, names_of_keys)],
+        # a much repeated id is spread over parts by the place of its rows in the input
+        F.monotonically_increasing_id().alias("place"),
+    )
+    rows = rows.repartitionByRange(*names_of_keys, "place").sortWithinPartitions(*names_of_keys, "place").select("doc_id", "text")
     rows.mapInArrow(packed, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
@@ -149,7 +163,10 @@ def _frames(name: str, content: bytes, blocks: pa.RecordBatch) -> Iterator[tuple
 
 
 def read(spark: SparkSession, folder: str, ids: bool = True) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, ids) of every document; ``start`` counts the ids of all before it."""
+    """(doc_id, start, n_tokens, ids_crc32, ids) of every document; ``start`` counts the ids of all before it.
+
+    Null and repeated ids come back as they were written; files without documents give no rows.
+    """
     name, content = _dictionary(spark, folder)
     schema = "part int, doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * ids
 

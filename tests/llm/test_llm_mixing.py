@@ -1,11 +1,12 @@
 from collections import Counter
 from fractions import Fraction
+from itertools import islice
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ferrybook.llm.mixing import exact, mix, places, schedule, shares, tempered
+from ferrybook.llm.mixing import bound, exact, mix, schedule, segment, segment_length, shares, tempered, turns
 
 
 @settings(max_examples=60, deadline=None)
@@ -85,18 +86,67 @@ def test_less_than_one_block_from_the_target_weights(spark):
         assert abs(done - t * Fraction(4, 10000)) < 1
 
 
+def brute_turns(parts, slots):
+    """Earliest deadline first by looking at every source's next block in every slot."""
+    frame, given, out = sum(parts), [0] * len(parts), []
+    for t in range(slots):
+        released = [i for i, a in enumerate(parts) if given[i] * frame // a <= t]
+        i = min(released, key=lambda i: (-(-(given[i] + 1) * frame // parts[i]), i))
+        given[i] += 1
+        out.append(i)
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 400), min_size=1, max_size=9))
+def test_turns_by_looking_at_every_source(parts):
+    assert list(islice(turns(parts, 0, [0] * len(parts)), 300)) == brute_turns(parts, 300)
+    # a single segment is the plain schedule
+    length = segment_length(parts, 300)
+    assert list(segment(parts, 0, length)) == brute_turns(parts, length)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 400), min_size=1, max_size=30), st.integers(1, 60), st.integers(0, 2000))
+def test_segments_stay_less_than_a_block_from_the_weights(parts, least, first):
+    length, frame = segment_length(parts, least), sum(parts)
+    done = bound(parts, first, length)
+    for number in range(first, first + 3):
+        assert done == bound(parts, number, length)
+        slots = list(segment(parts, number, length))
+        assert len(slots) == length
+        for t, i in enumerate(slots, number * length + 1):
+            done[i] += 1
+            assert abs(done[i] * frame - t * parts[i]) < frame
+            if t % 17 == 0:
+                assert all(abs(n * frame - t * a) < frame for n, a in zip(done, parts))
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.dictionaries(st.text("abcdef", min_size=1, max_size=3), st.integers(1, 3000), min_size=1, max_size=6))
-def test_tempered_weights_hold_to_the_end(sizes):
+def test_tempered_weights_hold_over_segments(sizes):
+    parts = list(exact(tempered(sizes)).values())
+    length, total, done = segment_length(parts, 50), sum(parts), [0] * len(parts)
+    for number in range(3):
+        for t, i in enumerate(segment(parts, number, length), number * length + 1):
+            done[i] += 1
+            assert abs(done[i] * total - t * parts[i]) < total
+
+
+def test_many_segments_make_one_mixture(spark):
+    df = spark.range(3000).selectExpr("id as doc_id", "if(id % 3 = 0, 'hot', concat('s', id % 20)) as source")
+    sizes = Counter(r.source for r in df.collect())
     parts = exact(tempered(sizes))
-    at, total = places(parts, sizes), sum(parts.values())
-    assert all(len(at[k]) >= n for k, n in sizes.items()) and any(len(at[k]) == n for k, n in sizes.items())
-    slots = sorted((s, k) for k, v in at.items() for s in v)
-    assert [s for s, _ in slots] == list(range(len(slots)))
-    done = dict.fromkeys(parts, 0)
-    for t, k in slots:
-        done[k] += 1
-        assert abs(done[k] * total - (t + 1) * parts[k]) < total
+    out = mix(df, block_rows=2, segment_slots=64).orderBy("mixed.position").collect()
+    assert [r.mixed.position for r in out] == list(range(len(out)))
+    assert len({r.doc_id for r in out}) == 3000
+    done, total = dict.fromkeys(parts, 0), sum(parts.values())
+    for t, r in enumerate(out[::2], 1):
+        assert r.mixed.block == done[r.source]
+        done[r.source] += 1
+        assert all(abs(n * total - t * parts[k]) < total for k, n in done.items())
+    # it ends with the source that gives its last rows there
+    assert done[out[-1].source] == -(-sizes[out[-1].source] // 2)
 
 
 def test_weights_have_to_be_positive():
