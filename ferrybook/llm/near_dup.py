@@ -36,7 +36,8 @@ from ferrybook.llm.shingles import digest, shingle_sets
 K = 48
 PERCENT = 75
 BLOCK = 256
-SLOT_ROWS = 1024
+BLOCK_BYTES = 4 << 20  # of the sets in a block, about; a larger set is a block of its own
+SLOT_BYTES = 8 << 20  # of the sets of small lists that one task holds together, about
 
 
 # retained values that a set of n shingles shares with any similar one
@@ -191,7 +192,7 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column(0), sets], ["node", "set"])
 
 
-def _rest(lists: DataFrame, leaders: DataFrame, texts: DataFrame, roots: DataFrame) -> DataFrame:
+def _rest(lists: DataFrame, leaders: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFrame) -> DataFrame:
     """Links across the components of the lists that are not one component yet.
 
     Lists with the same smallest member are compared as one, so that a pair is not met once per
@@ -200,9 +201,11 @@ def _rest(lists: DataFrame, leaders: DataFrame, texts: DataFrame, roots: DataFra
     placed = lists.join(roots, "node", "left").select("value", "node", F.coalesce("root", "node").alias("root"))
     open_lists = placed.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     led = leaders.join(open_lists, "value", "left_semi").select("value", F.col("a").alias("leader"))
-    rows = stored(placed.join(led, "value").select("leader", "node", "root").distinct(), "open")
-    sizes = rows.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    slots = rows.count() // SLOT_ROWS + 1
+    held = classes.groupBy("node").agg((8 * F.sum("n")).alias("bytes"))
+    rows = stored(placed.join(led, "value").select("leader", "node", "root").distinct().join(held, "node"), "open")
+    by_rows, by_bytes = F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)
+    sizes = rows.groupBy("leader").agg(F.greatest(by_rows, by_bytes).alias("blocks"))
+    slots = (rows.agg(F.sum("bytes")).first()[0] or 0) // SLOT_BYTES + 1
     sets = texts.join(rows.select("node").distinct(), "node", "left_semi").mapInArrow(_full_sets, "node long, set binary")
     rows = rows.join(sizes, "leader").join(sets, "node")
     rows = rows.withColumn("own", F.expr("pmod(xxhash64(node), blocks)"))
@@ -236,7 +239,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     linked = _confirmed(pairs, texts)
     same = base.join(equal, "digest").where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     first = components(linked.union(same))
-    more = stored(_rest(lists, leaders, texts, first), "more")
+    more = stored(_rest(lists, leaders, classes, texts, first), "more")
     if more.limit(1).count():
         first = components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     out = base.join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -3,6 +3,8 @@ import re
 
 import pytest
 
+from ferrybook.llm import decontaminate
+from ferrybook.llm.common import stored
 from ferrybook.llm.decontaminate import clean, report
 
 
@@ -67,3 +69,23 @@ def test_repeated_words(spark):
 def test_empty_tables(spark):
     docs = [(1, "one two"), (2, None)]
     assert result(spark, docs, []) == brute(docs, []) and result(spark, [], [(1, "a b")]) == []
+
+
+def test_a_short_item_does_not_add_fingerprints(spark, monkeypatch):
+    sizes = {}
+
+    def watched(df, name, lasting=False):
+        out = stored(df, name, lasting)
+        if name in ("kept", "prints"):
+            sizes.setdefault(name, []).append(out.count() if name == "kept" else out.selectExpr("sum(size(codes))").first()[0])
+        return out
+
+    monkeypatch.setattr(decontaminate, "stored", watched)
+    rng = random.Random(2)
+    items = [(i, " ".join(f"w{rng.randint(0, 60)}" for _ in range(40))) for i in range(4)]
+    docs = [(d, " ".join(f"w{rng.randint(0, 60)}" for _ in range(200)) + " " + items[d % 4][1]) for d in range(8)]
+    for more in ([], [(9, "w7")], [(9, "w7"), (10, "w1 w2")]):
+        got = report(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items + more, "item_id long, text string"))
+        rows = [(r.doc_id, r.n_words, r.n_hit, r.n_items, ",".join(r["items"]), r.contaminated) for r in got.collect()]
+        assert sorted(rows, key=str) == brute(docs, items + more)
+    assert all(len(set(v)) == 1 and len(v) == 3 for v in sizes.values())
