@@ -6,6 +6,7 @@ import ctypes
 import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -92,3 +93,16 @@ def give_back() -> None:
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
         trim(0)
+
+
+def tidy(run):
+    """A function of batches that gives its worker's memory back once its task's rows are through."""
+
+    @wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrybook.llm.common import id_of, node_of, pieces, scratch, stored
+from ferrybook.llm.common import give_back, id_of, node_of, pieces, scratch, stored, tidy
 from ferrybook.llm.graph import components
 from ferrybook.llm.shingles import digest, shingle_sets
 
@@ -61,7 +61,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n, digest, sketch, node) of every row."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    made = rows.mapInArrow(_sketches, "doc_id long, n long, digest binary, sketch array<long>")
+    made = rows.mapInArrow(tidy(_sketches), "doc_id long, n long, digest binary, sketch array<long>")
     return made.withColumn("node", node_of("doc_id", "digest"))
 
 
@@ -116,7 +116,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar."""
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
     both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
-    return both.mapInArrow(_verified, "a long, b long").distinct()
+    return both.mapInArrow(tidy(_verified), "a long, b long").distinct()
 
 
 def _shared(one: list[np.ndarray], two: list[np.ndarray], columns: int = 4096) -> np.ndarray:
@@ -183,6 +183,8 @@ def _blocks(rows: pd.DataFrame) -> pd.DataFrame:
             if (root[i], root[j]) in keep:
                 keep.discard((root[i], root[j]))
                 found.append((node[i], node[j]))
+    if rows["set"].map(len).sum() > BLOCK_BYTES:
+        give_back()
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
@@ -206,7 +208,7 @@ def _rest(lists: DataFrame, leaders: DataFrame, classes: DataFrame, texts: DataF
     by_rows, by_bytes = F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)
     sizes = rows.groupBy("leader").agg(F.greatest(by_rows, by_bytes).alias("blocks"))
     slots = (rows.agg(F.sum("bytes")).first()[0] or 0) // SLOT_BYTES + 1
-    sets = texts.join(rows.select("node").distinct(), "node", "left_semi").mapInArrow(_full_sets, "node long, set binary")
+    sets = texts.join(rows.select("node").distinct(), "node", "left_semi").mapInArrow(tidy(_full_sets), "node long, set binary")
     rows = rows.join(sizes, "leader").join(sets, "node")
     rows = rows.withColumn("own", F.expr("pmod(xxhash64(node), blocks)"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
@@ -235,7 +237,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     leaders = lists.groupBy("value").agg(F.min("node").alias("a"))
     stars = lists.join(leaders, "value").where("a <> node").select("a", F.col("node").alias("b")).distinct()
     wide = stars.join(_side(classes, "a"), "a").join(_side(classes, "b"), "b")
-    pairs = wide.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_passing, "a long, b long").distinct()
+    pairs = wide.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(tidy(_passing), "a long, b long").distinct()
     linked = _confirmed(pairs, texts)
     same = base.join(equal, "digest").where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     first = components(linked.union(same))
@@ -306,7 +308,7 @@ def _texts(docs: DataFrame, doc_id: str, text: str, base: DataFrame) -> DataFram
     if not source.where("node is null").limit(1).count():
         return source
     made = base.where("doc_id is null").select("digest", F.col("node").alias("own")).distinct()
-    rest = source.where("node is null").select("text").mapInArrow(_digests, "digest binary, text string")
+    rest = source.where("node is null").select("text").mapInArrow(tidy(_digests), "digest binary, text string")
     return source.where("node is not null").union(rest.join(made, "digest").select("own", "text"))
 
 

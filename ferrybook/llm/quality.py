@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrybook.llm.common import pieces, scratch, stored
+from ferrybook.llm.common import give_back, pieces, scratch, stored, tidy
 from ferrybook.llm.shingles import SPACES, Words
 
 SHRINKAGE = 0.2
@@ -96,7 +96,7 @@ def featured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
             yield pa.RecordBatch.from_arrays([part.column(0), lists], ["doc_id", "f"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, f array<double>")
+    return rows.mapInArrow(tidy(run), "doc_id long, f array<double>")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -194,6 +194,7 @@ def _applied(function):
 def _from_text(function):
     def run(texts: pa.Array) -> pa.Array:
         parts = [function(features(p.column(0))) for p in pieces([pa.RecordBatch.from_arrays([texts], ["text"])], 0)]
+        give_back()
         return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
     return F.arrow_udf(run, "double")

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ferrybook.llm.common import pieces
+from ferrybook.llm.common import pieces, tidy
 from ferrybook.llm.tokens import WordEncoder, encoder
 
 END = 1
@@ -139,7 +139,7 @@ def write(
         F.monotonically_increasing_id().alias("place"),
     )
     rows = rows.repartitionByRange(*names_of_keys, "place").sortWithinPartitions(*names_of_keys, "place").select("doc_id", "text")
-    rows.mapInArrow(packed, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
+    rows.mapInArrow(tidy(packed), BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
 def _dictionary(spark: SparkSession, folder: str) -> tuple[str, bytes]:
@@ -193,7 +193,7 @@ def read(spark: SparkSession, folder: str, ids: bool = True) -> DataFrame:
     sums = sums.groupBy("part").agg(F.sum("n").alias("n"))  # a row per part: few, whatever the input
     past = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("part", F.coalesce(F.sum("n").over(past), F.lit(0)).alias("offset"))
-    rows = blocks.mapInArrow(unpacked, schema).join(offsets, "part")
+    rows = blocks.mapInArrow(tidy(unpacked), schema).join(offsets, "part")
     return rows.withColumn("start", F.col("start") + F.col("offset")).drop("part", "offset")
 
 
