@@ -64,13 +64,33 @@ def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
-def test_a_dense_table_has_all_links(spark, monkeypatch):
-    monkeypatch.setattr(embeddings, "CHUNK_BYTES", 50_000)  # several chunks
-    rng = np.random.default_rng(5)
-    centre = rng.standard_normal(24) / np.sqrt(24)
-    near = centre * np.sqrt(0.8) + rng.standard_normal((300, 24)) * np.sqrt(0.2 / 24)  # mutual cosines of about 0.8
-    near = np.concatenate([near, near[:150] + rng.standard_normal((150, 24)) * 0.06])
-    rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.concatenate([near, near[:5], rng.standard_normal((200, 24))]))]
+def dense(rng, near, planted, others, dim=24):
+    """``near`` vectors of mutual cosines of about 0.8, ``planted`` of them with a partner at about 0.96, and ``others``."""
+    centre = rng.standard_normal(dim)
+    centre /= np.linalg.norm(centre)
+    x = centre * np.sqrt(0.8) + rng.standard_normal((near, dim)) * np.sqrt(0.2 / dim)
+    x = np.concatenate([x, x[:planted] + rng.standard_normal((planted, dim)) * 0.29 / np.sqrt(dim)])
+    return np.concatenate([x, rng.standard_normal((others, dim))])
+
+
+def test_links_of_a_dense_third(spark):
+    for scale in (1, 3):
+        x = dense(np.random.default_rng(5), 400 * scale, 200 * scale, 1000 * scale, 64)
+        rows = [(i, [float(v) for v in e]) for i, e in enumerate(np.concatenate([x, x[:5]]))]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        unit = np.array([v for _, v in rows])
+        unit /= np.linalg.norm(unit, axis=1)[:, None]
+        want = (unit @ unit.T >= 0.95).sum(1) - 1
+        got = np.array([n for _, (n, _) in sorted(result(near_duplicates(df, window=4)).items())])
+        assert (got <= want).all() and got.sum() >= 0.95 * want.sum() > 200
+
+
+def test_components_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "BLOCK_BYTES", 6_000)  # some thirty vectors
+    rng = np.random.default_rng(6)
+    centre = rng.standard_normal(24)
+    x = np.concatenate([centre + 0.15 * rng.standard_normal((200, 24)), rng.standard_normal((50, 24))])
+    rows = [(i, [float(v) for v in e]) for i, e in enumerate(np.concatenate([x, x[:7], x[:7]]))]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    assert result(near_duplicates(df, passes=2, window=1)) == brute(rows)
-    assert sum(n > 0 for n, _ in brute(rows).values()) > 150
+    assert result(near_duplicates(df)) == brute(rows)
+    assert max(n for n, _ in brute(rows).values()) > 100
