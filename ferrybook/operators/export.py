@@ -164,3 +164,10 @@ def initialised(records: DataFrame, jobs: DataFrame, upstream: int) -> DataFrame
         )
         .drop("_waiting")
     )
+
+
+def initial_marks(records: DataFrame, jobs: DataFrame, upstream: int) -> DataFrame:
+    """What :func:`initialised` changes, as an update of a stored record table."""
+    waiting = jobs.where((F.col("client_id") == upstream) & (F.col("file_status") == "Not Available")).select("job_key")
+    unsent = records.where(F.col("out_job_key").isNull()).join(waiting, "job_key", "left_anti")
+    return unsent.select(*KEY, F.lit(0).cast("bigint").alias("out_job_key"))

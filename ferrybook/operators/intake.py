@@ -84,6 +84,12 @@ def mark_by_time(jobs: DataFrame, feed_id: int, start: datetime, end: datetime)
     return _marked(jobs, _waiting_of(feed_id) & F.col("start_ts").between(at(start), at(end)))
 
 
+def available_by_time(jobs: DataFrame, feed_id: int, start: datetime, end: datetime) -> DataFrame:
+    """What :func:`mark_by_time` changes, as an update of a stored job table."""
+    chosen = jobs.where(_waiting_of(feed_id) & F.col("start_ts").between(at(start), at(end)))
+    return chosen.select("job_key", F.lit("Available").alias("file_status"))
+
+
 def mark_by_names(jobs: DataFrame, feed_id: int, names: DataFrame) -> DataFrame:
     """The same for a list of names; refuses the whole list when one is not a waiting file."""
     wanted = names.select("file_name").distinct()
@@ -94,18 +100,20 @@ def mark_by_names(jobs: DataFrame, feed_id: int, names: DataFrame) -> DataFrame:
     return _marked(flagged, _waiting_of(feed_id) & F.coalesce("_named", F.lit(False))).select(*jobs.columns)
 
 
-def mark_complete_days(jobs: DataFrame, schedules: DataFrame) -> DataFrame:
-    """Makes waiting files available whose file-count window holds exactly the required number."""
+def available_by_days(jobs: DataFrame, schedules: DataFrame) -> DataFrame:
+    """Waiting files whose file-count window holds exactly the required number, as an update of a stored job table."""
     windows = with_windows(schedules.where(F.col("processing_type") == FILE_COUNT)).withColumn("window_end", F.col("window_end") - F.make_interval(secs=F.lit(1)))
     counted = window_counts(waiting(jobs), "start_ts", windows, "window_start", "window_end")
     complete = counted.where(F.col("files") == F.col("files_per_day")).select(
         "schedule_id", "feed_id", "window_start", "window_end"
     )
-    hit = (
-        in_windows(waiting(jobs).select("job_key", "feed_id", "start_ts"), "start_ts", complete, "window_start", "window_end")
-        .select("job_key", F.lit(True).alias("_hit"))
-        .distinct()
-    )
+    hit = in_windows(waiting(jobs).select("job_key", "feed_id", "start_ts"), "start_ts", complete, "window_start", "window_end")
+    return hit.select("job_key").distinct().select("job_key", F.lit("Available").alias("file_status"))
+
+
+def mark_complete_days(jobs: DataFrame, schedules: DataFrame) -> DataFrame:
+    """A new job snapshot with the files of :func:`available_by_days` made available."""
+    hit = available_by_days(jobs, schedules).select("job_key", F.lit(True).alias("_hit"))
     flagged = jobs.join(broadcast_if_small(hit), "job_key", "left")
     return _marked(flagged, F.coalesce("_hit", F.lit(False))).select(*jobs.columns)
 

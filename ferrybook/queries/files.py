@@ -13,6 +13,7 @@ from ferrybook.operators.layout import encode, encode_record, parse
 from ferrybook.queries.base import LOADED, SPEC, Tables, registry, with_relations
 from ferrybook.session import new_folder, small_table
 from ferrybook.sources import sinks, text
+from ferrybook.sources.tables import Table
 
 QUERIES, ORACLES, query = registry()
 
@@ -197,6 +198,39 @@ def purge_by_parent(t: Tables):
     return sinks.without_children(t.relation("line").select("job_key", "line_number"), parents, "job_key")
 
 
+SENT, LATE = 900, 901  # jobs that mark records as sent
+
+
+@query(
+    "reload_job",
+    with_relations(
+        "record job",
+        f"""select job_key, line_number, case when job_key % 5 = 0 then 'AGAIN' else tag end as tag,
+          case when job_key % 7 = 0 then {LATE} when job_key % 5 <> 0 and job_key % 3 = 0 then coalesce(out_job_key, {SENT})
+            else out_job_key end as out_job_key
+        from record where job_key % 5 = 0 or tag <> 'HIGH  ' and job_key not in
+          (select job_key from job where upper(file_name) like '%FEED3%')""",
+    ),
+)
+def reload_job(t: Tables):
+    """A stored record table: rows deleted by value and by parent, marked as sent, jobs reloaded, parts rewritten."""
+    records = t.record().select("job_key", "line_number", "tag", "out_job_key")
+    keys, again = ("job_key", "line_number"), F.col("job_key") % 5 == 0
+    schema = "job_key bigint, line_number bigint, tag string, out_job_key bigint"
+    held = Table(t.spark, new_folder(t.spark, "records"), schema, keys, "pmod(job_key, 16)", ["out_job_key"])
+    held.append("load", records)
+    held.delete("by value", held.rows().where("tag = 'HIGH  '").select(*keys))
+    parents = t.relation("job").where(F.upper("file_name").like("%FEED3%"))
+    held.delete("by parent", held.rows().join(parents.select("job_key"), "job_key", "left_semi").select(*keys))
+    unsent = held.rows().where("job_key % 3 = 0 and out_job_key is null")
+    held.update("sent", unsent.select(*keys, F.lit(SENT).alias("out_job_key")))
+    held.reload("again", records.where(again).withColumn("tag", F.lit("AGAIN")), held.rows().where(again).select(*keys))
+    held.compact("tidy")
+    for _ in range(2):  # a repeated run changes nothing
+        held.update("late", held.rows().where("job_key % 7 = 0").select(*keys, F.lit(LATE).alias("out_job_key")))
+    return held.rows()
+
+
 @query(
     "dup_file",
     with_relations(

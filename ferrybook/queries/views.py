@@ -9,7 +9,8 @@ from ferrybook.operators import views as V
 from ferrybook.operators.outcomes import rule_meta
 from ferrybook.queries.base import RECORD_SQL, Tables, registry, with_relations
 from ferrybook.queries.rules import ALL, DUPLICATES, FLAGS, duplicates, engine_sql, full_outcomes, q
-from ferrybook.session import small_table
+from ferrybook.session import new_folder, small_table
+from ferrybook.sources.tables import Table
 
 QUERIES, ORACLES, query = registry()
 
@@ -70,6 +71,23 @@ def view_recon_tagged(t: Tables):
     return V.tagged(t.record(), RECON, t.relation("job"), t.relation("feed"), ["job_key", "line_number"])
 
 
+@query("view_refresh", tagged_sql(PERSON) + " where r.job_key % 8 <> 3")
+def view_refresh(t: Tables):
+    """The report kept as a table: after each change of the records only the parts with changed jobs are computed."""
+    keys, bucket = ("job_key", "line_number"), "pmod(job_key, 8)"
+    records, jobs, feeds = t.record().select("job_key", "line_number", *PERSON), t.relation("job"), t.relation("feed")
+    build = lambda rows: V.tagged(rows, PERSON, jobs, feeds, list(keys))
+    kinds = lambda df: ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+    held = Table(t.spark, new_folder(t.spark, "records"), kinds(records), keys, bucket)
+    report = Table(t.spark, new_folder(t.spark, "report"), kinds(build(records)), keys, bucket)
+    held.append("first", records.where("job_key % 4 <> 0"))
+    report.refresh("first", held, build)
+    held.append("second", records.where("job_key % 4 = 0"))
+    held.delete("third", held.rows().where("job_key % 8 = 3").select(*keys))
+    report.refresh("second", held, build)
+    return report.rows()
+
+
 # Eastern summer time until 2006: from the first Sunday of April (the missing hour counts as winter) to
 # the last Sunday of October (the hour that comes twice counts as summer).
 SUMMER = """{0} >= make_date(year({0}), 4, 1) + cast((7 - isodow(make_date(year({0}), 4, 1))) % 7 as int) + interval 3 hour
