@@ -1,8 +1,12 @@
 import hashlib
+import math
 import re
+from collections import Counter
+
+import regex
 
 from ferrybook.llm.common import table
-from ferrybook.llm.pii import digests, sanitise
+from ferrybook.llm.pii import GENERALISE, ISSUER, LETTERS, PREFIX, PRIOR, REMOVE, TERM, WIDTH, digests, sanitise
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -83,3 +87,48 @@ def test_terms_near_entities_that_occur_once(spark):
     out = {r.doc_id: r for r in sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert out[0].text == "The famous [TERM] wrote from [EMAIL] this morning" and out[1].text == "a Zanzibar"
     assert out[10].text == "a  letter wrote [EMAIL] this morning" and out[100].text == rows[4][1]
+
+
+def brute_terms(texts):
+    """Per row the (start, end, removed) of disclosing terms, with plain loops over all documents."""
+    wide = {
+        "email": lambda e: e.split("@")[-1], "ip": lambda e: ".".join(e.split(".")[:3]), "card": lambda e: e[:ISSUER], "phone": lambda e: e[:PREFIX],
+    }
+    holds, seen, together, places = Counter(), Counter(), Counter(), []
+    for text in texts:
+        low = (text or "").lower()
+        holds.update({w for w in regex.split(r"[^\p{L}]+", low) if len(w) >= LETTERS})
+        spans = [(k, m.start(), m.end(), m[0]) for k, p in PATTERNS.items() for m in re.finditer(p, text or "") if good(k, m[0])]
+        terms = [(m.start(), m.end(), m[0].lower()) for m in regex.finditer(TERM, text or "")]
+        terms = [t for t in terms if not any(t[0] < e and t[1] > s for _, s, e, _ in spans)]
+        mine, pairs = set(), []
+        for kind, s, e, m in spans:
+            literal = m.lower() if kind == "email" else m if kind == "ip" else re.sub(r"[+ ().-]", "", m)
+            for entity in ((kind, literal), (kind, "class", wide[kind](literal))):
+                mine.add(entity)
+                near = [t for t in terms if s - WIDTH <= t[0] and t[1] <= s or e <= t[0] and t[1] <= e + WIDTH]
+                pairs += [(entity, t) for t in near]
+        seen.update(mine)
+        together.update({(entity, t[2]) for entity, t in pairs})
+        places.append(pairs)
+    out = []
+    for pairs in places:
+        marked = {}
+        for entity, (s, e, term) in pairs:
+            chance = seen[entity] / max(len(texts), seen[entity] + 1)
+            n = together[entity, term]
+            given = (n + PRIOR * chance) / (max(holds[term], n) + PRIOR)
+            share = math.log(given / chance) / -math.log(chance)
+            if share >= GENERALISE:
+                marked[s, e] = marked.get((s, e), False) or share >= REMOVE
+        out.append(sorted((s, e, r) for (s, e), r in marked.items()))
+    return out
+
+
+def test_term_spans_of_all_documents(spark, folder):
+    rows = [(r.doc_id, r.text) for r in table(spark, folder, "documents").collect()]
+    rows += [(-1, "Famous words of ceo@acme.example, (bracketed) well-known; then 10.1.2.3 and\nZanzibar"), (-2, "Zanzibar 10.1.2.9 Qadir. é@x"), (-3, None)]
+    want = dict(zip([i for i, _ in rows], brute_terms([t for _, t in rows])))
+    out = sanitise(spark.createDataFrame(rows, "doc_id long, text string"), keep_text=False).collect()
+    got = {r.doc_id: [tuple(t) for t in r.terms] for r in out}
+    assert got == want and sum(map(len, want.values())) > 20
