@@ -1,7 +1,7 @@
 import re
 
 from ferrybook.llm.common import table
-from ferrybook.llm.licenses import PHRASES, TEMPLATES, Automaton, digests, scan
+from ferrybook.llm.licenses import NEGATIONS, NOTICES, PHRASES, TEMPLATES, Automaton, digests, scan
 
 
 def words(text):
@@ -26,15 +26,31 @@ def pattern(template):
     return re.compile(out)
 
 
-EXPECTED = [(label, pattern(t)) for label, many in TEMPLATES.items() for t in many]
+def firsts(template):
+    """Words that a match can begin with."""
+    depth, out = 0, set()
+    for part in re.findall(r"\[\[|\]\]|\{\{[^}]*\}\}|[^\s\[\]{}]+", template):
+        depth += (part == "[[") - (part == "]]")
+        if part not in ("[[", "]]"):
+            out.add(part)
+            if not depth:
+                return out
+
+
+EXPECTED = [(label, firsts(t), pattern(t)) for label, many in TEMPLATES.items() for t in many]
+EXPECTED += [(f"notice:{label}", firsts(t), pattern(t)) for label, many in NOTICES.items() for t in many]
+FIRSTS = set().union(*(f for _, f, _ in EXPECTED))
 
 
 def brute(text):
     w = words(text)
     places = sorted(i for p in PHRASES for i in range(len(w)) if w[i : i + len(p.split())] == p.split())
     base = {PHRASES[p] for p in PHRASES for i in places if w[i : i + len(p.split())] == p.split()}
-    tail = [" ".join(w[i:]) + " " for i in range(len(w))] if "license" in w or "reserved" in w or "cc" in w or "granted" in w else []
-    more = {label for label, p in EXPECTED for t in tail if p.match(t)}
+    more = set()
+    for i in (i for i, x in enumerate(w) if x in FIRSTS):
+        tail = " ".join(w[i : i + 1000]) + " "
+        negated = i > 0 and w[i - 1] in NEGATIONS
+        more |= {label for label, f, p in EXPECTED if w[i] in f and p.match(tail) and not (negated and label.startswith("notice:"))}
     first, last = (places[0], places[-1]) if places else (None, None)
     return len(w), len(places), first, last, ",".join(sorted(base)), ",".join(sorted(base | more))
 
@@ -66,6 +82,52 @@ def test_shapes(spark):
     same(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as n_words", "'x' as phrases"), rows)
 
 
+def rendered(template):
+    """A text of the template without its optional regions, with the places of its mandatory words."""
+    out, mandatory, depth = [], [], 0
+    for part in re.findall(r"\[\[|\]\]|\{\{[^}]*\}\}|[^\s\[\]{}]+", template):
+        depth += (part == "[[") - (part == "]]")
+        if part in ("[[", "]]") or depth:
+            continue
+        if part.startswith("{{"):
+            out += ["owner"] * int(part[2:-2].split(":")[1].split("-")[0])
+        else:
+            mandatory.append(len(out))
+            out.append(part)
+    return out, mandatory
+
+
+def test_a_changed_mandatory_word_loses_the_label(spark):
+    rows, want = [], {}
+    for label, many in TEMPLATES.items():
+        for template in many:
+            text, mandatory = rendered(template)
+            assert len(mandatory) > 8
+            for at in (None, *mandatory):
+                changed = [x if i != at else "otherwise1" for i, x in enumerate(text)]
+                want[len(rows)] = (label, at is None)
+                rows.append((len(rows), "Copyright 2024 Some One\n\n" + " ".join(changed).upper() + ". More text follows here, and nothing else"))
+    assert len(rows) > 1500
+    for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        label, whole = want[r.doc_id]
+        found = {x.label: x.share for x in r.licenses}
+        assert (label in found) == whole, (label, rows[r.doc_id][1])
+        assert not whole or found[label] > 0.9 or label in ("cc0-1.0", "mpl-2.0")
+
+
+def test_conditions_and_negations(spark):
+    grant, _ = rendered(TEMPLATES["mit"][0])
+    texts = [
+        " ".join(grant[:50]) + " provided that you pay one dollar per use", "This product is not licensed under the MIT license",
+        "It is licensed under the MIT license", "GNU Affero General Public License", " ".join(grant).replace("merchantability", "merchantability merchantability"),
+    ]
+    rows = list(enumerate(texts))
+    same(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+    out = {r.doc_id: r for r in digests(scan(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert [out[i].labels for i in range(5)] == ["", "", "notice:mit", "gpl", ""]
+    assert out[2].score == 0.75
+
+
 def test_optional_and_replaceable_regions():
     numbers = {}
     automaton = Automaton("a [[b [[c]] ]] {{x:1-2}} d", numbers)
