@@ -162,3 +162,25 @@ def test_duplicates_against_brute_force(spark):
             want.add((j, n))
         seen.add((j, i))
     assert got == want
+
+
+def test_lines_of_wide_characters_are_cut_by_characters(spark):
+    from ferrybook.operators.layout import ByteCutter
+
+    spans = [(0, 3), (3, 5), (70, 75), (80, 90)]
+    cutter = ByteCutter(spans)
+    narrow = "".join(chr(33 + i % 90) for i in range(84))
+    values = [narrow, narrow.replace("!", "é"), "äöü" + narrow, "ab", "", None]
+    lines = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "line_number bigint, value string")
+    blocks = cutter.measured(lines, "line_number").selectExpr("line_number", *cutter.block_columns())
+    cut = blocks.selectExpr("line_number", *[f"{cutter.field(*s)} as f{i}" for i, s in enumerate(spans)]).orderBy("line_number")
+    assert [tuple(r)[1:] for r in cut.collect()] == [tuple(None if v is None else v[a:b] for a, b in spans) for v in values]
+
+
+def test_queries_keep_generated_methods_short_enough_to_compile(spark):
+    from ferrybook.queries.base import Tables
+
+    other = spark.newSession()
+    other.conf.set("spark.sql.codegen.hugeMethodLimit", 65535)
+    Tables(other, "/nowhere")
+    assert other.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
