@@ -198,3 +198,15 @@ def test_files_stream_in_with_memory(spark, tmp_path):
     got = {r.job_key.split("landing/")[1]: r.state for r in store.read("files").collect()}
     assert got == dict(zip((n for n, _ in files), ["Success", "Success", "Repeated", "Held", "Incomplete", "Unknown", "Fail", "Fail"]))
     assert store.runs().count() == 8 and store.read("log").where("records = 3000").count() == 1
+
+
+def test_a_run_writes_a_file_per_day_and_not_per_task_and_day(spark):
+    store = Store(spark, new_folder(spark, "store"))
+    rows = spark.range(0, 2000, 1, 8).selectExpr(
+        "id as job_key", "1 as feed_id", "'INBOUND' as file_type", "concat('f', id) as file_name", "'Success' as state",
+        "cast(timestamp_ntz'2020-01-01 08:00:00' + make_interval(0, 0, 0, cast(id % 120 as int)) as timestamp_ntz) as start_ts",
+    ).selectExpr("*", "cast(start_ts as date) as day")
+    store.put("files", rows, "one")
+    store.commit("one")
+    assert store.read("files").count() == 2000
+    assert len(spark.read.parquet(store.path("files")).inputFiles()) == 120
