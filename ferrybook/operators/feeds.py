@@ -67,18 +67,19 @@ def evaluate_feeds(lines: DataFrame, plans: Mapping[int, FeedPlan], compiled: in
 
     ``lines`` are best stored in a folder per ``catalogue``: every catalogue then reads its own part, and all
     lines are read once. Up to ``compiled`` catalogues are projections of their own; of more, the plain
-    ones are one projection together.
+    ones are one projection together. Lines are sorted by job and number within a partition, and their outcomes with them.
     """
+    order = ("job_key", "line_number")
     catalogues, _ = numbered(plans)
     data = {k: r for k, r in catalogues.items() if len(catalogues) > compiled and is_plain(r)}
     parts = []
     for number, rules in catalogues.items():
         if number not in data:
             own = lines.where(F.col("catalogue") == number).select("job_key", "line_number", "value")
-            parts.append(evaluate(with_first_value(own, rules), rules))
+            parts.append(evaluate(with_first_value(own, rules).sortWithinPartitions(*order), rules))
     if data:
         table = rule_table(lines.sparkSession, data)
-        parts.append(evaluate_from_data(lines.where(F.col("catalogue").isin(*data)), table))
+        parts.append(evaluate_from_data(lines.where(F.col("catalogue").isin(*data)).sortWithinPartitions(*order), table))
     return reduce(DataFrame.unionByName, parts)
 
 
