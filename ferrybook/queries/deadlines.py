@@ -90,7 +90,7 @@ UNDELIVERED = f"""select s.schedule_id, s.feed_id, cast(coalesce(n, 0) as bigint
 
 
 def undelivered(t: Tables, schedules):
-    blocked = O.level_one(all_failures(t), O.rule_meta(t.spark, R.ruled_columns()))
+    blocked = O.level_one(all_failures(t, level=1), O.rule_meta(t.spark, R.ruled_columns()))
     return D.undelivered(t.record(), t.relation("job"), t.relation("feed"), blocked, schedules, UPSTREAM)
 
 

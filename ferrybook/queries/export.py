@@ -94,7 +94,7 @@ FOR_UPSTREAM = f"""select r.* from record r where {OPEN} and job_key in (select
 
 
 def for_upstream(t: Tables):
-    blocked = O.level_one(all_failures(t), O.rule_meta(t.spark, R.ruled_columns()))
+    blocked = O.level_one(all_failures(t, level=1), O.rule_meta(t.spark, R.ruled_columns()))
     return X.eligible_for_upstream(t.record(), t.relation("job"), t.relation("feed"), blocked, UPSTREAM)
 
 
