@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +16,8 @@ from ferrybook.llm.common import give_back
 
 GROUP = 5000  # words that are encoded at once
 _TAIL = r"([A-Za-z0-9])[.,!?;:$%&*#]+$"
+# of the Latin, Greek and Cyrillic blocks, where no letter is composed with the one before it
+LETTERS = [c for c in map(chr, range(0x41, 0x530)) if c.isalpha()]
 
 
 class WordEncoder:
@@ -22,6 +26,9 @@ class WordEncoder:
     apart, lower-case them but for special tokens, and cut between a letter or digit and the marks of ``_TAIL``. So ids of
     a text are those of its words, one after the other. ``mark`` is a special token that stands
     between words when many are encoded at once. Words are remembered up to about ``limit`` bytes.
+
+    A word of ``LETTERS`` alone is one pre-token, made of what each letter becomes by itself: it goes
+    straight to the tokenizer's model. Other words take the whole way through the tokenizer.
     """
 
     def __init__(self, path: str, mark: str = "<|endoftext|>", limit: int = 128 << 20):
@@ -29,8 +36,20 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.mark, self.mark_id, self.limit = mark, self.tokenizer.token_to_id(mark), limit
+        self.merge = self.tokenizer.model.tokenize
+        self.shown = self._letters()
+        self.plain = re.compile(f"[{''.join(map(chr, self.shown))}]+").fullmatch
         self._forget()
 
+    def _letters(self) -> dict[int, str]:
+        """What normalizer and pre-tokenizer make of each letter that they do not cut from its neighbours."""
+        normal, cut, out = self.tokenizer.normalizer.normalize_str, self.tokenizer.pre_tokenizer.pre_tokenize_str, {}
+        for letter in LETTERS:
+            made = cut(normal(f"a{letter}a"))
+            if len(made) == 1:
+                out[ord(letter)] = made[0][0][1:-1]
+        return out
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {"": 0}
         self.flat = np.zeros(1 << 18, np.uint32)
@@ -38,8 +57,17 @@ class WordEncoder:
         self.count, self.size = 1, 0
 
     def _learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), GROUP):
-            group = words[i : i + GROUP]
+        shown, merge = self.shown, self.merge
+        plain, mixed = [], []
+        for w in words:
+            (plain if self.plain(w) else mixed).append(w)
+        for i in range(0, len(plain), GROUP):
+            group = plain[i : i + GROUP]
+            made = [[t.id for t in merge(w.lower() if w.isascii() else w.translate(shown))] for w in group]
+            sizes = np.fromiter(map(len, made), np.int64, len(made))
+            self._add(group, np.fromiter(chain.from_iterable(made), np.uint32, sizes.sum()), sizes)
+        for i in range(0, len(mixed), GROUP):
+            group = mixed[i : i + GROUP]
             # without the offsets in the text, which nobody asks for
             made = self.tokenizer.encode_batch_fast([self.mark.join(group)], add_special_tokens=False)
             ids = np.array(made[0].ids, np.uint32)
@@ -61,17 +89,20 @@ class WordEncoder:
         self.size += sum(map(len, group)) + 200 * len(group) + 4 * len(ids)
 
     def _places(self, distinct: pa.Array) -> np.ndarray:
-        words = distinct.to_pylist()
+        words = distinct.to_numpy(zero_copy_only=False).tolist()
         if self.size > self.limit:
             self._forget()
-        fresh = [w for w in words if w not in self.known]
+        known = self.known
+        places = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(places < 0)
+        fresh = [words[i] for i in missing.tolist()]
         marked = [w for w in fresh if "<|" in w]  # may hold special tokens themselves
         self._learn([w for w in fresh if "<|" not in w] if marked else fresh)
         for w in marked:
             ids = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32)
             self._add([w], ids, np.array([len(ids)]))
-        known = self.known
-        return np.fromiter((known[w] for w in words), np.int64, len(words))
+        places[missing] = np.fromiter(map(known.__getitem__, fresh), np.int64, len(fresh))
+        return places
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows one after the other, where each row ends). A null text is empty."""
@@ -81,7 +112,7 @@ class WordEncoder:
         cores = pc.replace_substring_regex(raw, _TAIL, r"\1")
         skip, sizes = pc.binary_length(cores).to_numpy(), pc.binary_length(raw).to_numpy()
         ended = np.flatnonzero(sizes > skip)
-        tails = [w[k:] for w, k in zip(raw.take(pa.array(ended)).cast(pa.large_binary()).to_pylist(), skip[ended])]
+        tails = [w[k:] for w, k in zip(raw.take(pa.array(ended)).cast(pa.large_binary()).to_numpy(zero_copy_only=False), skip[ended].tolist())]
         # special tokens are matched in the text as it is, before the tokenizer lower-cases the rest
         plain = pc.and_not(pc.string_is_ascii(cores), pc.match_substring(cores, "<|"))
         cores = pc.if_else(plain, pc.ascii_lower(cores), cores).dictionary_encode()

@@ -6,7 +6,7 @@ from tokenizers import Tokenizer
 
 from ferrybook.llm import token_files
 from ferrybook.llm.queries import tokenizer_path
-from ferrybook.llm.tokens import WordEncoder
+from ferrybook.llm.tokens import LETTERS, WordEncoder
 from ferrybook.session import new_folder
 
 PATH = str(tokenizer_path())
@@ -74,3 +74,30 @@ def test_the_dictionary_is_shaped_by_late_ids(spark):
     content = token_files.train(spark.createDataFrame(rows, "doc_id long, text string"), PATH)
     ids = Tokenizer.from_file(PATH).encode(phrase, add_special_tokens=False).ids
     assert np.array(ids[2:6], "<u4").tobytes() in content
+
+
+def test_words_of_letters_have_the_ids_of_the_whole_tokenizer():
+    """Every letter at the begin, inside and at the end of words, beside letters of all its blocks and capitals."""
+    plain, encoder = Tokenizer.from_file(PATH), WordEncoder(PATH)
+    words = [w for c in LETTERS for w in (c, c + c, f"a{c}", f"{c}e", f"Th{c}e", f"é{c}Σ", f"Σ{c}ж")]
+    words += ["".join(LETTERS[i : i + n]) for n in (3, 7, 40, 400) for i in range(0, len(LETTERS), n)]
+    words += [w + mark for w in ("ΑΣ", "İa", "ŉa", "Åb", "straße", "Ǆx", "xͺ", "ჯa", "日a", "a\u0301b", "İ", "a\u0345") for mark in ("", ".", "'s", "1", "\u0301")]
+    ids, ends = encoder.encode(pa.array(words))
+    assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [plain.encode(w, add_special_tokens=False).ids for w in words]
+
+
+def test_words_of_letters_skip_normalizer_and_pre_tokenizer():
+    """They are most distinct words of a text, and those two steps most of the time that one takes."""
+    encoder, whole = WordEncoder(PATH), []
+
+    class Watched:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            whole.extend(texts)
+            return inner.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    inner, encoder.tokenizer = encoder.tokenizer, Watched()
+    text = "Thereareining naïve. Überstraße, слово! it's b2b 漢字 12.5%"
+    ids, _ = encoder.encode(pa.array([text]))
+    assert ids.tolist() == inner.encode(text, add_special_tokens=False).ids
+    sent = {w for t in whole for w in t.split(encoder.mark)}
+    assert {"it's", "b2b", "漢字"} <= sent and not [w for w in sent if w and set(w) <= set(LETTERS) - {"İ"}]
