@@ -10,6 +10,7 @@ from ferrybook.plans import inbound
 from ferrybook.queries.base import SPEC, Tables
 from ferrybook.queries.rules import ALL
 from ferrybook.queries.streams import a_task_each
+from ferrybook.session import broadcast_if_small, plan_bytes, settle
 
 
 def plan(df):
@@ -90,3 +91,14 @@ def test_a_task_has_one_file(spark):
     rows = spark.range(250).selectExpr("id % 25 as k", "2 as part", "id as a", "0 as b", "'x' as value")
     tasks = a_task_each(rows, 25).select("k", F.spark_partition_id().alias("task")).distinct()
     assert tasks.count() == 25 and tasks.select("task").distinct().count() == 25
+
+
+def test_a_side_is_broadcast_by_its_rows_in_memory(spark):
+    keys = settle(spark.range(0, 300_000, 1, 2).selectExpr("id as job_key", "cast(1 as int) as feed_id"))
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    limit = 8 << 20
+    assert plan_bytes(keys) < limit < 300_000 * 40  # the files are smaller than what they unpack to
+    assert not hinted(broadcast_if_small(keys, limit))
+    assert not hinted(broadcast_if_small(keys.groupBy("job_key").agg(F.max("feed_id").alias("feed_id")), limit))
+    assert hinted(broadcast_if_small(keys.where("job_key < 1000"), limit))
+    assert hinted(broadcast_if_small(keys.groupBy("feed_id").count(), limit))
