@@ -4,13 +4,17 @@ from pyspark.sql import functions as F
 
 from ferrybook.fixtures import relations as R
 from ferrybook.fixtures.dialect import Dialect
+from ferrybook.functions.text import length_sql
 from ferrybook.operators import rules as E
 from ferrybook.operators import structure as S
+from ferrybook.operators.layout import ByteCutter
 from ferrybook.plans import inbound
 from ferrybook.queries.base import SPEC, Tables
 from ferrybook.queries.rules import ALL
 from ferrybook.queries.streams import a_task_each
-from ferrybook.session import broadcast_if_small, plan_bytes, settle
+from ferrybook.session import broadcast_if_small, new_folder, plan_bytes, settle
+from ferrybook.streaming import arrivals
+from ferrybook.streaming.arrivals import numbered as S_numbered
 
 
 def plan(df):
@@ -102,3 +106,61 @@ def test_a_side_is_broadcast_by_its_rows_in_memory(spark):
     assert not hinted(broadcast_if_small(keys.groupBy("job_key").agg(F.max("feed_id").alias("feed_id")), limit))
     assert hinted(broadcast_if_small(keys.where("job_key < 1000"), limit))
     assert hinted(broadcast_if_small(keys.groupBy("feed_id").count(), limit))
+
+
+def test_lines_of_whole_files_are_split_as_by_a_pattern(spark):
+    texts = ["a\r\nb\n", "a\r\r\nb\r", "\n", "\r\n", "\n\n", "a", "a\r", "é\r\nü\r\n", "\r", "a\n\r\n", "a\r\n\r", "", None]
+    files = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "job_key int, text string")
+    want = files.where(F.length("text") > 0).select("job_key", F.posexplode(F.split(F.regexp_replace("text", r"\r?\n\z", ""), r"\r?\n")))
+    assert sorted(map(tuple, S_numbered(files).collect())) == sorted((r.job_key, r.pos + 1, r.col) for r in want.collect())
+
+
+def dealt_again(text):
+    """Shuffles of a plan that stand above a scan of whole lines, stored relations left out."""
+    rows, found = [(len(x) - len(x.lstrip(" :+-*(0123456789)")), x) for x in text.split("\n")], []
+    for i, (depth, row) in enumerate(rows):
+        if "Exchange" in row:
+            inside = next((k for k in range(i + 1, len(rows)) if rows[k][0] <= depth), len(rows))
+            found += [row for _, x in rows[i + 1 : inside] if "value#" in x][:1]
+    return found
+
+
+def test_a_batch_of_the_stream_shuffles_its_lines_once(spark, monkeypatch):
+    shuffles = []
+
+    def counted(df, *rest, **kw):
+        found = dealt_again(df._jdf.queryExecution().executedPlan().toString())
+        shuffles.append([x for x in found if "SinglePartition" not in x and "repartition" not in x.lower()])
+        return evaluate(df, *rest, **kw)
+
+    evaluate = arrivals.evaluate
+    monkeypatch.setattr(arrivals, "evaluate", counted)
+    first = lines(spark, 9).groupBy("job_key").agg(F.array_join(F.sort_array(F.collect_list(F.struct("line_number", "value")))["value"], "\n").alias("text"))
+    path, verdicts, outcomes, state = (new_folder(spark, n) for n in ("files", "verdicts", "outcomes", "state"))
+    first.write.parquet(path)
+    files = spark.readStream.schema("job_key bigint, text string").parquet(path)
+    arrivals.intake(files, SPEC, R.rule_set(), verdicts, outcomes, state).awaitTermination()
+    assert shuffles == [[]]
+    status = {r.job_key: r.status for r in spark.read.parquet(verdicts).collect()}
+    assert status == {j: "Fail" if j == 3 else "Success" for j in range(1, 10)}
+    told = spark.read.parquet(outcomes).where("rule_id = 10").groupBy("job_key").count().collect()
+    assert {r.job_key: r["count"] for r in told} == {j: 5 for j in range(1, 10) if j != 3}
+
+
+def test_narrow_lines_are_told_without_counting_characters(spark):
+    rows = [("x" * 40,), ("x\x01" * 20,), ("é" * 40,), ("",), (None,), ("y" * 39 + "\x7f",)]
+    given = spark.createDataFrame(rows, "value string")
+    cut = ByteCutter([(0, 5), (5, 30)])
+    told = cut.measured(given)
+    assert "char_length" not in plan(told) and " length(" not in plan(told)
+    blocks = told.selectExpr("value", *cut.block_columns()).selectExpr("value", f"{cut.field(0, 5)} as a", f"{cut.field(5, 30)} as b")
+    assert blocks.where("a is distinct from substring(value, 1, 5) or b is distinct from substring(value, 6, 25)").count() == 0
+    assert given.where(f"{length_sql('value')} is distinct from length(value)").count() == 0
+
+
+def test_wide_lines_equal_the_plain_text(spark, folder):
+    wide = Tables(spark, folder).relation("wide_line")
+    assert "length(made" not in plan(wide).replace("octet_length", "")
+    section = "rpad(substring(value, 17, 10), 10, ' ') || rpad(substring(value, 29, 10), 10, ' ') || substring(value, 9, 8) || '  '"
+    got = wide.selectExpr("length(value) as n", f"substring(value, 134, 30) = {section} as same", "substring(value, 134, 130) = substring(value, 1564, 130) as last")
+    assert [tuple(r) for r in got.distinct().collect()] == [(R.WIDE_LENGTH, True, True)]
